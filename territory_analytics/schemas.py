@@ -5,14 +5,30 @@ from pyspark.sql import types as T
 from . import fixed_values as V
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "boolean": T.BooleanType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Flat schema from "name type, name type", without needing a session."""
+    pairs = [field.split() for field in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 def text_columns(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def with_columns(schema: T.StructType, spec: str) -> T.StructType:
+    return T.StructType(schema.fields + _struct(spec).fields)
+
+
 RAW_CERTIFICATE = text_columns(V.RAW_CERTIFICATE_COLUMNS)
 RAW_SALE = text_columns(V.RAW_SALE_COLUMNS)
 
@@ -57,12 +73,10 @@ MART_COMMUNE_TYPE = _struct(
     "pct_passoires double, cout_energie_annuel_median double, annee_construction_mediane double, "
     "nom string, departement string, region string"
 )
-MART_OPPORTUNITES = T.StructType(
-    MART_COMMUNE_TYPE.fields
-    + _struct(
-        "prix_m2_median_dpt double, z double, ecart_pct double, est_opportunite boolean, "
-        "score_opportunite double, etiquette_opportunite string"
-    ).fields
+MART_OPPORTUNITES = with_columns(
+    MART_COMMUNE_TYPE,
+    "prix_m2_median_dpt double, z double, ecart_pct double, est_opportunite boolean, "
+    "score_opportunite double, etiquette_opportunite string",
 )
 SALE_STATS = _struct(
     "code_insee string, type_bien string, nom string, departement string, region string, "
@@ -81,7 +95,14 @@ CERTIFICATE_PAGE = T.StructType(
 COMMUNE_LIST = _struct(
     "code string, nom string, codeDepartement string, codeRegion string, population string"
 )
-GEO_PAYLOAD = _struct(
-    "code string, nom string, departement string, "
-    "centre struct<type: string, coordinates: array<double>>, contour string"
+CENTRE = T.StructType(
+    [
+        T.StructField("type", T.StringType()),
+        T.StructField("coordinates", T.ArrayType(T.DoubleType())),
+    ]
+)
+# The contour stays JSON text.
+GEO_PAYLOAD = T.StructType(
+    _struct("code string, nom string, departement string").fields
+    + [T.StructField("centre", CENTRE), T.StructField("contour", T.StringType())]
 )

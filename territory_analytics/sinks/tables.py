@@ -41,28 +41,31 @@ def replace_table(df: DataFrame, root: str, **options) -> int:
 
 def add_raw_parts(
     df: DataFrame, root: str, ds: str, departements, rows_per_part: int = V.ROWS_PER_PART
-) -> DataFrame:
+) -> dict[str, int]:
     """Replace the listed départements of one date, leave all others; rows per département back.
 
     Rows are rebalanced by département, which splits a dominant one over several tasks, and each
-    file is closed after ``rows_per_part`` rows.
+    file is closed after ``rows_per_part`` rows.  Listed départements without rows end up empty.
     """
     spark, day = df.sparkSession, f"{root}/dt={ds}"
     rows = df.drop("dt").where(F.col("dep").isin(*departements))
-    for dep in departements:
-        # Clears listed départements that have no row this time.
-        empty = spark.createDataFrame([], rows.drop("dep").schema)
-        empty.write.mode("overwrite").parquet(f"{day}/dep={dep}")
+    seen = Observation()
+    counts = [F.count_if(F.col("dep") == dep).alias(dep) for dep in departements]
     (
-        rows.hint("rebalance", "dep")
-        .write.mode("append")
-        .options(compression="zstd", maxRecordsPerFile=rows_per_part)
+        rows.observe(seen, *counts)
+        .hint("rebalance", "dep")
+        .write.mode("overwrite")
+        .options(
+            compression="zstd", maxRecordsPerFile=rows_per_part, partitionOverwriteMode="dynamic"
+        )
         .partitionBy("dep")
         .parquet(day)
     )
-    schema = rows.drop("dep").schema.add("dep", "string")
-    landed = spark.read.schema(schema).parquet(day)
-    return landed.groupBy("dep").agg(F.count("*").alias("rows"))
+    written = {dep: seen.get[dep] for dep in departements}
+    for dep in (d for d, n in written.items() if n == 0):
+        nothing = spark.createDataFrame([], rows.drop("dep").schema)
+        nothing.write.mode("overwrite").parquet(f"{day}/dep={dep}")
+    return written
 
 
 def row_identity(spark: SparkSession, root: str) -> DataFrame:

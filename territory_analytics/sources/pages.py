@@ -8,8 +8,8 @@ from .. import schemas
 def read_pages(
     spark: SparkSession, root: str, schema: T.StructType = schemas.CERTIFICATE_PAGE, partitions=("dep",)
 ) -> DataFrame:
-    fields = schema.fields + [T.StructField(p, T.StringType()) for p in partitions]
-    return spark.read.schema(T.StructType(fields)).json(root)
+    own = ", ".join(f"{p} string" for p in partitions)
+    return spark.read.schema(schemas.with_columns(schema, own)).json(root)
 
 
 def page_rows(

@@ -6,11 +6,13 @@ from .. import schemas
 from ..operators.cleaning import clean_certificates
 from ..sinks.tables import replace_partition
 
+PARTITIONS = "dt string, dep string"
+
 
 def new_raw_rows(spark: SparkSession, raw_root: str, schema: T.StructType) -> DataFrame:
     """Stream of rows of files not seen before, with their partition date."""
-    fields = schema.fields + [T.StructField(p, T.StringType()) for p in ("dt", "dep")]
-    return spark.readStream.schema(T.StructType(fields)).parquet(raw_root)
+    dated = schemas.with_columns(schema, PARTITIONS)
+    return spark.readStream.schema(dated).parquet(raw_root)
 
 
 def refresh_silver(
@@ -26,13 +28,12 @@ def refresh_silver(
     A date with new files is recomputed from all of its raw files, so late parts, repeated batches
     and restarts from ``progress`` give the same silver partition.
     """
-    fields = schema.fields + [T.StructField(p, T.StringType()) for p in ("dt", "dep")]
-    whole = T.StructType(fields)
+    dated = schemas.with_columns(schema, PARTITIONS)
 
     def recompute(batch: DataFrame, _batch_id: int) -> None:
         # Dates, not rows, come back: one per touched day.
         for (ds,) in batch.select("dt").distinct().collect():
-            raw = batch.sparkSession.read.schema(whole).parquet(raw_root).where(F.col("dt") == ds)
+            raw = batch.sparkSession.read.schema(dated).parquet(raw_root).where(F.col("dt") == ds)
             replace_partition(clean_certificates(raw, ds, ties), silver_root, ds)
 
     query = (
