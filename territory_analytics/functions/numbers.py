@@ -10,12 +10,12 @@ def half_away(value: Column, digits: int = 0) -> Column:
     """Round halves away from zero on the scaled double.
 
     ``F.round(1.005, 2)`` works on the decimal text of the number and gives 1.01; the reference
-    results scale first and give 1.0.
+    results scale first and give 1.0.  The sign survives, so a small negative gap reads -0.0.
     """
-    if digits == 0:
-        return F.round(value, 0)
     scale = F.lit(float(10**digits))
-    return F.round(value * scale, 0) / scale
+    scaled = value * scale if digits else value
+    rounded = F.signum(scaled) * F.round(F.abs(scaled), 0)
+    return rounded / scale if digits else rounded
 
 
 def half_even(value: Column, digits: int = 0) -> Column:

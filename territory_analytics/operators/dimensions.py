@@ -42,7 +42,8 @@ def build_dim_commune(communes: DataFrame, arrondissements: DataFrame, ties=())
 
 
 def label_scale(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(V.LABEL_SCALE), schemas.DIM_LABEL)
+    """The seven labels; fixed rows, so always fit to broadcast."""
+    return F.broadcast(spark.createDataFrame(list(V.LABEL_SCALE), schemas.DIM_LABEL))
 
 
 def property_types(spark: SparkSession) -> DataFrame:

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions.labels import band, property_type
-from .quantiles import grouped_quantiles, largest_group
+from ..functions.numbers import half_away
+from .quantiles import GROUP_LIMIT, grouped_quantiles, largest_group
 
 WHOLE_AREA = "*"
 SHARES = {"prix_m2_p10": 0.10, "prix_m2_p25": 0.25, "prix_m2_median": 0.50, "prix_m2_p75": 0.75,
@@ -14,18 +15,23 @@ SHARES = {"prix_m2_p10": 0.10, "prix_m2_p25": 0.25, "prix_m2_median": 0.50, "pri
 def reference_prices(sales: DataFrame, largest: int | None = None, **limits) -> DataFrame:
     """Median unit price by (area, type, floor-area band), with band ``*`` for the whole area.
 
-    Each sale is counted in its band and in ``*``, so one scan and one shuffle give both levels.
+    Each sale is counted in its band and in ``*``, so one scan and one shuffle give both levels; the
+    doubling happens after the shuffle, whose keys also serve the finer grouping.
     """
     keys = ["code_insee", "type_bien"]
     usable = sales.where((F.col("prix_m2") > 0) & (F.col("surface") > 0))
+    limit = limits.get("limit", GROUP_LIMIT)
     if largest is None:
-        largest = largest_group(usable, keys)
+        largest = largest_group(usable, keys, limit)
+    if largest <= limit:
+        usable = usable.select(*keys, "surface", "prix_m2").repartition(*keys)
     levels = F.explode(F.array(band(F.col("surface")), F.lit(WHOLE_AREA))).alias("tranche_surface")
     return grouped_quantiles(
         usable.select(*keys, levels, "prix_m2"),
         [*keys, "tranche_surface"],
         {"prix_m2": ("prix_m2", 0.5)},
         largest=largest,
+        gather=False,
         **limits,
     )
 
@@ -77,8 +83,8 @@ def price_dwellings(
 ) -> DataFrame:
     """The fact table: every known dwelling with the price of its band, else of its area.
 
-    One join with the price card serves both levels.  A caller that stored the card may pass it
-    with a size-checked broadcast; otherwise a hot (area, type) is split by adaptive execution.
+    One join with the price card serves both levels.  Pass a stored card: its size decides whether
+    it is broadcast, and beyond that a hot (area, type) is split by adaptive execution.
     Dwellings of areas without sales keep a NULL price.
     """
     homes = known_only(dwellings(certificates), communes, scale)
@@ -126,5 +132,5 @@ def price_distribution(
         "departement",
         "region",
         "nb_transactions",
-        *[F.round(name, 0).alias(name) for name in SHARES],
+        *[half_away(F.col(name)).alias(name) for name in SHARES],
     )

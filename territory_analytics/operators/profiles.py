@@ -1,12 +1,13 @@
 """Area indicators, profiles against the parent area and the under-pricing detector."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .. import fixed_values as V
 from ..functions.labels import is_sieve, mart_wording, opportunity_score, underpriced
 from ..functions.numbers import half_away, percent_gap, percent_true, ratio
+from ..storage import durable
 from .joins import join_groups
-from .quantiles import grouped_quantiles
+from .quantiles import GROUP_LIMIT, grouped_quantiles, largest_group
 from .ranking import rank_in_group
 
 FLAG = "_sieve"
@@ -31,6 +32,8 @@ def area_kpi(fact: DataFrame, scale: DataFrame, ds: str, **limits) -> DataFrame:
             half_away(discount, 2).alias("decote_passoire_pct"),
             F.count("*").alias("nb_transactions"),
         ],
+        # An area has at most six distinct prices per type.
+        gather=False,
         **limits,
     )
     return kpi.select(
@@ -44,23 +47,44 @@ def area_kpi(fact: DataFrame, scale: DataFrame, ds: str, **limits) -> DataFrame:
 
 
 def parent_position(
-    df: DataFrame, parent, value: str, gap: str, z: str, median: str | None = None, **limits
+    df: DataFrame,
+    parent,
+    value: str,
+    gap: str,
+    z: str,
+    median: str | None = None,
+    largest: int | None = None,
+    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Add the percent gap to the parent median and the z-score among the rows of one parent.
 
-    Mean, deviation and median are one small table per parent joined back, so a parent with very
-    many rows is never gathered the way an unordered window would gather it.
+    Moderate parents are one window.  Without a known bound the table is stored and counted first;
+    where a parent exceeds ``limit`` its mean, deviation and median are aggregated, combining before
+    the shuffle, and joined back, so no task gathers a whole parent.
     """
     centre = median or "_median"
-    stats = grouped_quantiles(
-        df.select(*parent, value),
-        parent,
-        {centre: (value, 0.5)},
-        others=[F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_spread")],
-        **limits,
-    )
+    if largest is None or largest > limit:
+        df = durable(df)
+        largest = largest_group(df, parent, limit)
+    mean, spread = F.avg(value), F.stddev_pop(value)
+    if largest <= limit:
+        siblings = W.partitionBy(*parent)
+        middle = F.median(value).over(siblings)
+        with_stats = df.withColumns(
+            {"_mean": mean.over(siblings), "_spread": spread.over(siblings), centre: middle}
+        )
+    else:
+        stats = grouped_quantiles(
+            df.select(*parent, value),
+            parent,
+            {centre: (value, 0.5)},
+            others=[mean.alias("_mean"), spread.alias("_spread")],
+            largest=largest,
+            limit=limit,
+        )
+        with_stats = join_groups(df, durable(stats), parent)
     x = F.col(value)
-    placed = join_groups(df, stats, parent).withColumns(
+    placed = with_stats.withColumns(
         {
             z: half_away(ratio(x - F.col("_mean"), F.col("_spread")), 3),
             gap: half_away(percent_gap(x, F.col(centre)), 1),
@@ -101,6 +125,9 @@ def area_profile(
     """
     named = area_summary(fact, scale, **limits).join(communes, "code_insee")
     parent = ["departement"]
+    if parent_size is None or parent_size > GROUP_LIMIT:
+        named = durable(named)
+        parent_size = largest_group(named, parent)
     placed = parent_position(
         named, parent, "prix_m2_median", "indice_sous_cotation", "z_prix_dpt", largest=parent_size
     )

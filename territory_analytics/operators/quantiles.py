@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.numbers import even_slot, ordered_slot
-from ..storage import broadcast_if_small, durable
+from ..storage import durable
 from .joins import join_groups
 
 GROUP_LIMIT = 1_000_000
@@ -23,9 +23,15 @@ MOST_ROUNDS = 7
 _METRIC, _VALUE, _ALL = "_metric", "_value", "_all"
 
 
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows in the biggest group; the count combines map-side and one number comes back."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def largest_group(df: DataFrame, keys, limit: int = GROUP_LIMIT) -> int:
+    """Upper bound of the rows per group: the table's rows if they are few, else the biggest group.
+
+    Both counts combine map-side and bring one number back.
+    """
+    rows = df.count()
+    if rows <= limit or not keys:
+        return rows
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0]
 
 
 def grouped_quantiles(
@@ -35,17 +41,21 @@ def grouped_quantiles(
     others: tuple[Column, ...] | list[Column] = (),
     largest: int | None = None,
     limit: int = GROUP_LIMIT,
+    gather: bool = True,
 ) -> DataFrame:
     """``keys``, the ``others`` aggregates, then one column per wanted ``name: (column, p)``.
 
     ``largest`` is an upper bound of the rows (or distinct values) per group when the caller knows
     one; otherwise it is counted.  NULL values are ignored; a group without values gets NULL.
+    ``gather`` shuffles plain rows by key before grouping, the cheaper way when values hardly repeat;
+    without it value counts combine before the shuffle, which pays when they do.
     """
     keys = list(keys)
     if largest is None:
-        largest = largest_group(df, keys)
+        largest = largest_group(df, keys, limit)
     if largest <= limit:
-        return _one_pass(df, keys, wanted, others)
+        together = df.repartition(*keys) if gather and keys else df
+        return _one_pass(together, keys, wanted, others)
     return _by_counting(df, keys, wanted, others, limit)
 
 
@@ -119,9 +129,7 @@ def _by_counting(df, keys, wanted, others, limit) -> DataFrame:
             )
         )
         widest = open_slots.where("_high > _low").agg(F.max("_n")).first()[0] or 0
-        rows = join_groups(
-            rows.select(*path, _VALUE), broadcast_if_small(open_slots), path, "inner"
-        )
+        rows = join_groups(rows.select(*path, _VALUE), open_slots, path, "inner")
         if widest <= limit:
             break
         finer = f"_slot{round_no + 1}"

@@ -24,7 +24,7 @@ def rank_in_group(
     """
     keys = list(keys)
     if largest is None:
-        largest = largest_group(df, keys)
+        largest = largest_group(df, keys, limit)
     order = F.col(value).desc_nulls_last()
     if largest <= limit:
         return df.withColumn(name, F.rank().over(W.partitionBy(*keys).orderBy(order)).cast("bigint"))

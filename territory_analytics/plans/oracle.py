@@ -33,7 +33,35 @@ def _score(z: str, share: str) -> str:
     )
 
 
-_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+def _by_type(fact: str, communes: str) -> str:
+    return f"""
+        SELECT t.*, nom, departement, region FROM (
+          SELECT code_insee, type_bien, median(prix_m2) AS prix_m2_median, count(*) AS nb_dpe,
+            round(100.0::DOUBLE * avg((etiquette IN ('F', 'G'))::INTEGER), 2) AS pct_passoires,
+            median(cout_energie_annuel) AS cout_energie_annuel_median,
+            median(annee_construction) AS annee_construction_mediane
+          FROM {fact} GROUP BY ALL) t JOIN {communes} USING (code_insee)"""
+
+
+def _type_parents(mart_type: str) -> str:
+    return f"""
+        SELECT departement, type_bien, median(prix_m2_median) AS prix_m2_median_dpt,
+          avg(prix_m2_median) AS mean, stddev_pop(prix_m2_median) AS spread
+        FROM {mart_type} WHERE nb_dpe >= 30 GROUP BY ALL"""
+
+
+def _scored(mart_type: str, parents: str) -> str:
+    return f"""
+        SELECT *, z < -1.0 AS est_opportunite, {_score('z', 'pct_passoires')} AS score_opportunite,
+          CASE WHEN coalesce(z >= -1.0, true) THEN 'survalorisee'
+            WHEN pct_passoires >= 20 THEN 'sous-cotee + parc passoires (potentiel renovation)'
+            ELSE 'sous-cotee' END AS etiquette_opportunite
+        FROM (
+          SELECT m.*, prix_m2_median_dpt, round((prix_m2_median - mean) / nullif(spread, 0), 3) AS z,
+            round(100.0::DOUBLE * (prix_m2_median - prix_m2_median_dpt) / nullif(prix_m2_median_dpt, 0), 1)
+              AS ecart_pct
+          FROM {mart_type} m JOIN {parents} USING (departement, type_bien) WHERE nb_dpe >= 30)"""
+
 
 
 def _whole(text: str) -> str:
@@ -58,7 +86,7 @@ _PARTS = {
     "raw_certs": f"""
         SELECT 'D' || l_orderkey || '-' || l_linenumber AS numero,
           CASE WHEN l_discount = 0.09 THEN '2026-01' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date_txt,
-          CASE WHEN l_quantity <> 13 THEN CAST(l_suppkey AS VARCHAR) END AS code_insee,
+          CASE WHEN l_quantity <> 13 THEN printf('%05d', l_suppkey) END AS code_insee,
           l_suppkey || '0' AS code_postal, 'Commune ' || l_suppkey AS nom_commune,
           lower({_KIND}) AS type_batiment,
           CASE WHEN l_tax = 0 THEN NULL WHEN l_tax = 0.01 THEN '0' WHEN l_tax = 0.02 THEN 'abc'
@@ -158,27 +186,12 @@ _PARTS = {
           round((prix_m2_median - mean) / nullif(spread, 0), 3) AS z_prix_dpt,
           rank() OVER (PARTITION BY departement ORDER BY prix_m2_median DESC NULLS LAST) AS rang_prix_dpt
         FROM areas JOIN communes USING (code_insee) JOIN parents USING (departement)""",
-    "mart_type": """
-        SELECT t.*, nom, departement, region FROM (
-          SELECT code_insee, type_bien, median(prix_m2) AS prix_m2_median, count(*) AS nb_dpe,
-            round(100.0::DOUBLE * avg((etiquette IN ('F', 'G'))::INTEGER), 2) AS pct_passoires,
-            median(cout_energie_annuel) AS cout_energie_annuel_median,
-            median(annee_construction) AS annee_construction_mediane
-          FROM fact GROUP BY ALL) t JOIN communes USING (code_insee)""",
-    "type_parents": """
-        SELECT departement, type_bien, median(prix_m2_median) AS prix_m2_median_dpt,
-          avg(prix_m2_median) AS mean, stddev_pop(prix_m2_median) AS spread
-        FROM mart_type WHERE nb_dpe >= 30 GROUP BY ALL""",
-    "scored": f"""
-        SELECT *, z < -1.0 AS est_opportunite, {_score('z', 'pct_passoires')} AS score_opportunite,
-          CASE WHEN coalesce(z >= -1.0, true) THEN 'survalorisee'
-            WHEN pct_passoires >= 20 THEN 'sous-cotee + parc passoires (potentiel renovation)'
-            ELSE 'sous-cotee' END AS etiquette_opportunite
-        FROM (
-          SELECT m.*, prix_m2_median_dpt, round((prix_m2_median - mean) / nullif(spread, 0), 3) AS z,
-            round(100.0::DOUBLE * (prix_m2_median - prix_m2_median_dpt) / nullif(prix_m2_median_dpt, 0), 1)
-              AS ecart_pct
-          FROM mart_type m JOIN type_parents USING (departement, type_bien) WHERE nb_dpe >= 30)""",
+    "mart_type": _by_type("fact", "communes"),
+    "type_parents": _type_parents("mart_type"),
+    "scored": _scored("mart_type", "type_parents"),
+    "run_type": _by_type("run_fact", "run_communes"),
+    "run_parents": _type_parents("run_type"),
+    "run_scored": _scored("run_type", "run_parents"),
     "market": """
         SELECT coalesce(nom, code_insee) AS commune, code_insee, departement, region, 'tous' AS type_bien,
           CAST(NULL AS VARCHAR) AS etiquette, prix_m2_median AS prix_m2, CAST(NULL AS DOUBLE) AS surface,
@@ -200,6 +213,22 @@ _PARTS = {
         FROM deals
         WHERE type_bien IN ('appartement', 'maison') AND nb_dpe >= 30
           AND (coalesce(z, 0) <= -1.0 OR coalesce(indice_sous_cotation, 0) < 0)""",
+    "run_communes": """
+        SELECT * REPLACE (printf('%05d', CAST(code_insee AS BIGINT)) AS code_insee) FROM communes""",
+    "run_homes": f"""
+        SELECT code_insee, etiquette_dpe AS etiquette,
+          CASE type_batiment WHEN 'immeuble' THEN 'autre' ELSE type_batiment END AS type_bien,
+          {_band('surface_habitable')} AS tranche_surface, annee_construction, cout_energie_annuel
+        FROM clean_certs
+        WHERE surface_habitable > 0 AND code_insee IN (SELECT code_insee FROM run_communes)""",
+    "run_band": f"""
+        SELECT code_insee, type_bien, {_band('surface')} AS tranche_surface, median(prix_m2) AS prix_m2
+        FROM clean_sold GROUP BY ALL""",
+    "run_area": "SELECT code_insee, type_bien, median(prix_m2) AS prix_m2 FROM clean_sold GROUP BY ALL",
+    "run_fact": """
+        SELECT h.*, coalesce(b.prix_m2, a.prix_m2) AS prix_m2 FROM run_homes h
+        LEFT JOIN run_band b USING (code_insee, type_bien, tranche_surface)
+        LEFT JOIN run_area a ON a.code_insee = h.code_insee AND a.type_bien = h.type_bien""",
     "area_named": """
         SELECT code_insee, type_bien, departement, prix_m2 FROM by_area JOIN communes USING (code_insee)""",
 }
@@ -223,6 +252,14 @@ _NEEDS = {
     "shown": ["market"],
     "served": ["deals"],
     "area_named": ["by_area", "communes"],
+    "run_communes": ["communes"],
+    "run_homes": ["clean_certs", "run_communes"],
+    "run_band": ["clean_sold"],
+    "run_area": ["clean_sold"],
+    "run_fact": ["run_homes", "run_band", "run_area"],
+    "run_type": ["run_fact", "run_communes"],
+    "run_parents": ["run_type"],
+    "run_scored": ["run_type", "run_parents"],
 }
 
 
@@ -523,7 +560,7 @@ ORACLE = {
           = max(l_linenumber) AND count(*) = max(l_linenumber), false) AS complete
         FROM lineitem GROUP BY l_orderkey""",
     "source_filter": f"""
-        SELECT l_linestatus AS dep, '7' AS code_insee_ban, count(*) AS n FROM {_LINES}
+        SELECT l_linestatus AS dep, '00007' AS code_insee_ban, count(*) AS n FROM {_LINES}
         WHERE l_linestatus = 'F' AND l_suppkey = 7 AND l_quantity <> 13 GROUP BY l_linestatus""",
     "scoped_partitions": """
         SELECT o_orderkey, o_orderstatus AS dep FROM orders WHERE o_orderstatus IN ('F', 'O')""",
@@ -558,6 +595,7 @@ ORACLE = {
         UNION ALL SELECT 'mart_opportunites', count(*) FROM scored
         UNION ALL SELECT 'dvf_stats_commune_type', count(*) FROM ({_SPREAD})
         UNION ALL SELECT 'fact_biens', least(2000, count(*)) FROM fact"""),
+    "daily_run": _with("run_scored", "SELECT * FROM run_scored"),
     "stream_refresh": _with("typed_certs", """
         SELECT CASE WHEN etiquette_ges = 'F' THEN '2026-06-17' ELSE dt END AS dt, etiquette_dpe, count(*) AS n,
           count(surface_habitable) AS n_surface

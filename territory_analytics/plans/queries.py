@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import fixed_values as V
+from .. import fixed_values as V, schemas
 from ..functions import casts, colours, labels, numbers
 from ..operators import (
     cleaning, dimensions, geography, latest, pricing, profiles, quality, ranking, reports, sampling,
@@ -646,7 +646,7 @@ def source_filter(spark, sf):
         F.trim("code_postal_ban").alias("code_postal_ban"),
         F.trim("code_insee_ban").alias("code_insee_ban"),
     )
-    kept = raw.where(text_files.source_filter(departement="F", code_insee="7"))
+    kept = raw.where(text_files.source_filter(departement="F", code_insee="00007"))
     return kept.groupBy("dep", "code_insee_ban").agg(F.count("*").alias("n"))
 
 
@@ -806,19 +806,24 @@ def snapshot_export(spark, sf):
 
 @registered
 def daily_run(spark, sf):
-    """Raw files to marts through the written tables; the opportunity mart comes back."""
+    """Raw files to marts through the written tables; the opportunity mart comes back.
+
+    Département 99 is in scope without data.
+    """
     lake = Lake(scratch_path(spark, "lake"))
     certificates = S.raw_certificates(spark, sf).withColumn("dep", F.lit("01"))
     sinks.add_raw_parts(certificates, lake.at("raw", "dpe"), S.DS, ["01"])
     S.raw_sales(spark, sf).write.option("header", "true").option("compression", "gzip").csv(
         f"{lake.at('raw', 'dvf')}/dt={S.DS}/dep=01"
     )
-    padded = S.communes(spark, sf).withColumn("code_insee", F.lpad("code_insee", V.CODE_WIDTH, "0"))
-    known = padded.unionByName(S.communes(spark, sf)).dropDuplicates(["code_insee"])
+    code = F.format_string("%05d", F.col("code_insee").cast("bigint"))
+    known = S.communes(spark, sf).withColumn("code_insee", code)
     sinks.replace_table(known, lake.at("ref", "dim_commune"))
     sinks.replace_table(dimensions.label_scale(spark), lake.at("ref", "dim_dpe"))
     run_day(spark, lake, S.DS, departements=["01", "99"])
-    return sources.read_table(spark, f"{lake.root}/gold/mart_commune_type")
+    return sources.read_table(
+        spark, lake.at("gold", "mart_opportunites"), schemas.MART_OPPORTUNITES
+    )
 
 
 @registered

@@ -10,9 +10,11 @@ from ..operators import pricing, profiles
 from ..operators.cleaning import plausible
 from ..operators.dimensions import label_scale
 from ..operators.filters import Filters
-from ..operators.quantiles import largest_group
+from ..operators.quantiles import GROUP_LIMIT, largest_group
+from ..storage import durable
 
 DS = "2026-06-18"
+BROADCAST_ROWS = 100_000
 KIND = (
     "CASE WHEN p_type IN ('ECONOMY', 'STANDARD', 'SMALL') THEN 'Appartement' "
     "WHEN p_type IN ('MEDIUM', 'LARGE') THEN 'Maison' ELSE 'Immeuble' END"
@@ -21,8 +23,28 @@ LETTER = "substring('ABCDEFG', l_linenumber, 1)"
 GES_LETTER = "CASE l_returnflag WHEN 'R' THEN 'F' WHEN 'A' THEN 'C' ELSE 'E' END"
 
 
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table under its declared schema, so no footer is read to plan a query."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +86,7 @@ def raw_certificates(spark: SparkSession, sf: str) -> DataFrame:
         "concat('D', l_orderkey, '-', l_linenumber) AS numero_dpe",
         "CASE WHEN l_discount = 0.09 THEN '2026-01' "
         "ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS date_etablissement_dpe",
-        "CASE WHEN l_quantity = 13 THEN NULL ELSE concat(' ', l_suppkey) END AS code_insee_ban",
+        "CASE WHEN l_quantity = 13 THEN NULL ELSE format_string(' %05d', l_suppkey) END AS code_insee_ban",
         "concat(l_suppkey, '0 ') AS code_postal_ban",
         "concat(' Commune ', l_suppkey) AS nom_commune_ban",
         f"concat(' ', {KIND}) AS type_batiment",
@@ -103,13 +125,14 @@ def communes(spark: SparkSession, sf: str) -> DataFrame:
     placed = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).join(
         region, nation["n_regionkey"] == region["r_regionkey"]
     )
-    return placed.where("s_acctbal > 0").selectExpr(
+    named = placed.where("s_acctbal > 0").selectExpr(
         "CAST(s_suppkey AS STRING) AS code_insee",
         "s_name AS nom",
         "r_name AS departement",
         "CASE WHEN r_regionkey < 3 THEN 'NORD' ELSE 'SUD' END AS region",
         "CAST(floor(s_acctbal) AS BIGINT) AS population",
     )
+    return F.broadcast(named) if supplier.count() <= BROADCAST_ROWS else named
 
 
 def geo(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,7 +155,9 @@ def area_bound(spark: SparkSession, sf: str) -> int:
 
 
 def parent_bound(spark: SparkSession, sf: str) -> int:
-    return largest_group(communes(spark, sf), ["departement"])
+    """Most suppliers of one nation's region: bounds every group of areas by parent."""
+    rows = table(spark, sf, "supplier").count()
+    return rows if rows <= GROUP_LIMIT else largest_group(communes(spark, sf), ["departement"])
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +165,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:
-    card = pricing.price_card(prices(spark, sf))
+    card = durable(pricing.price_card(prices(spark, sf)))
     return pricing.price_dwellings(
         certificates(spark, sf), card, communes(spark, sf), label_scale(spark), DS
     )

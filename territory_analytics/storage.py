@@ -1,19 +1,16 @@
-"""Shared folder of the cluster, durable intermediate tables and size-checked broadcasts."""
+"""Shared folder of the cluster and durable intermediate tables."""
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-BROADCAST_ROWS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names for checkpoints; only a session that names none gets its own."""
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="run-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -26,14 +23,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared folder and cut its lineage; lost executors cannot change it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def broadcast_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a stored table counted to be small.
+    """Store ``df`` as a table in the shared folder and read it back.
 
-    A larger one keeps no hint: it is joined by a shuffle, where adaptive execution splits hot keys.
+    It is computed once, survives lost executors, and its real size is known to the optimiser: a
+    small one is broadcast, a large one is joined by a shuffle where hot keys are split at run time.
     """
-    return F.broadcast(stored) if stored.count() <= rows else stored
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
