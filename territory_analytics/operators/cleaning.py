@@ -54,20 +54,22 @@ def plausible(sales: DataFrame) -> DataFrame:
 
 
 def clean_sales(raw: DataFrame, types=V.SALE_TYPES) -> DataFrame:
-    """Typed plausible sales with their unit price; ``types`` is matched case-sensitively."""
-    typed = (
-        raw.where(F.col("type_local").isin(*types))
-        .select(
-            F.lpad(text("code_commune"), V.CODE_WIDTH, "0").alias("code_insee"),
-            property_type(F.lower("type_local")).alias("type_bien"),
-            number(F.col("surface_reelle_bati")).alias("surface"),
-            number(F.col("valeur_fonciere")).alias("prix"),
-            calendar_date(F.col("date_mutation")).alias("date_mutation"),
-            number(F.col("longitude")).alias("longitude"),
-            number(F.col("latitude")).alias("latitude"),
-        )
-        .withColumn("prix_m2", ratio(F.col("prix"), F.col("surface")))
+    """Typed plausible sales with their unit price; ``types`` is matched case-sensitively.
+
+    The casts run behind a one-element ``inline``: guards pushed below a plain projection would
+    parse price and area again for every comparison.
+    """
+    row = F.struct(
+        F.lpad(text("code_commune"), V.CODE_WIDTH, "0").alias("code_insee"),
+        property_type(F.lower("type_local")).alias("type_bien"),
+        number(F.col("surface_reelle_bati")).alias("surface"),
+        number(F.col("valeur_fonciere")).alias("prix"),
+        calendar_date(F.col("date_mutation")).alias("date_mutation"),
+        number(F.col("longitude")).alias("longitude"),
+        number(F.col("latitude")).alias("latitude"),
     )
+    typed = raw.where(F.col("type_local").isin(*types)).select(F.inline(F.array(row)))
+    typed = typed.withColumn("prix_m2", ratio(F.col("prix"), F.col("surface")))
     return plausible(typed).select(
         "code_insee", "type_bien", "surface", "prix", "prix_m2", "date_mutation", "longitude", "latitude"
     )

@@ -23,7 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def registered(query):
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__] = lambda spark, sf: query(S.Tables(spark, sf))
     return query
 
 
@@ -35,15 +35,15 @@ def text_dates(df: DataFrame, *names: str) -> DataFrame:
 
 
 @registered
-def keep_latest(spark, sf):
-    events = S.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+def keep_latest(t):
+    events = t.given("events").select("event_id", "ts", "user_id", "event_type", "value")
     newest = latest.keep_latest(events, ["user_id", "event_type"], "ts", ["event_id"])
     return newest.select("user_id", "event_type", "event_id", "value")
 
 
 @registered
-def safe_casts(spark, sf):
-    raw = S.raw_certificates(spark, sf)
+def safe_casts(t):
+    raw = t.raw_certificates
     return raw.groupBy(
         casts.number(F.col("surface_habitable_logement")).alias("surface"),
         casts.whole_number(F.col("annee_construction")).alias("annee"),
@@ -53,25 +53,25 @@ def safe_casts(spark, sf):
 
 
 @registered
-def clean_certificates(spark, sf):
-    cleaned = cleaning.clean_certificates(S.raw_certificates(spark, sf), S.DS)
+def clean_certificates(t):
+    cleaned = cleaning.clean_certificates(t.raw_certificates, S.DS)
     return text_dates(cleaned, "dt", "date_etablissement")
 
 
 @registered
-def clean_sales(spark, sf):
-    return text_dates(cleaning.clean_sales(S.raw_sales(spark, sf)), "date_mutation")
+def clean_sales(t):
+    return text_dates(cleaning.clean_sales(t.raw_sales), "date_mutation")
 
 
 @registered
-def type_case(spark, sf):
+def type_case(t):
     kind = labels.property_type(F.lower("type_local"))
-    return S.raw_sales(spark, sf).groupBy(kind.alias("type_bien")).agg(F.count("*").alias("n"))
+    return t.raw_sales.groupBy(kind.alias("type_bien")).agg(F.count("*").alias("n"))
 
 
 @registered
-def area_band(spark, sf):
-    area = S.certificates(spark, sf).groupBy(labels.band(F.col("surface_habitable")).alias("tranche"))
+def area_band(t):
+    area = t.certificates.groupBy(labels.band(F.col("surface_habitable")).alias("tranche"))
     return area.agg(
         F.count("*").alias("n"),
         F.min("surface_habitable").alias("surface_min"),
@@ -80,10 +80,10 @@ def area_band(spark, sf):
 
 
 @registered
-def known_area_semi(spark, sf):
-    scale = dimensions.label_scale(spark).where(~F.col("etiquette").isin("A"))
-    homes = pricing.dwellings(S.certificates(spark, sf))
-    known = pricing.known_only(homes, S.communes(spark, sf), scale)
+def known_area_semi(t):
+    scale = dimensions.label_scale(t.spark).where(~F.col("etiquette").isin("A"))
+    homes = pricing.dwellings(t.certificates)
+    known = pricing.known_only(homes, t.communes, scale)
     return known.groupBy("code_insee", "etiquette").agg(F.count("*").alias("n"))
 
 
@@ -91,37 +91,37 @@ def known_area_semi(spark, sf):
 
 
 @registered
-def ref_price_band(spark, sf):
-    return pricing.band_prices(S.prices(spark, sf))
+def ref_price_band(t):
+    return pricing.band_prices(t.prices)
 
 
 @registered
-def ref_price_fallback(spark, sf):
-    return pricing.area_prices(S.prices(spark, sf))
+def ref_price_fallback(t):
+    return pricing.area_prices(t.prices)
 
 
 @registered
-def enriched_fact(spark, sf):
-    return text_dates(S.fact(spark, sf), "dt", "date_etablissement")
+def enriched_fact(t):
+    return text_dates(t.fact, "dt", "date_etablissement")
 
 
 @registered
-def price_quantiles(spark, sf):
+def price_quantiles(t):
     return pricing.price_distribution(
-        S.sales(spark, sf), S.communes(spark, sf), largest=S.area_bound(spark, sf)
+        t.sales, t.communes, largest=t.area_bound
     )
 
 
 @registered
-def quantiles_by_counting(spark, sf):
+def quantiles_by_counting(t):
     """The same quantiles forced through the counting plan that serves oversized groups."""
-    return pricing.price_distribution(S.sales(spark, sf), S.communes(spark, sf), limit=200)
+    return pricing.price_distribution(t.sales, t.communes, limit=200)
 
 
 @registered
-def exact_median_whole_table(spark, sf):
+def exact_median_whole_table(t):
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    rows = S.table(spark, sf, "lineitem").select(unit.alias("prix_m2"), "l_quantity")
+    rows = t.given("lineitem").select(unit.alias("prix_m2"), "l_quantity")
     return grouped_quantiles(
         rows,
         [],
@@ -134,15 +134,15 @@ def exact_median_whole_table(spark, sf):
 
 
 @registered
-def area_kpi(spark, sf):
-    scale = dimensions.label_scale(spark)
-    kpi = profiles.area_kpi(S.fact(spark, sf), scale, S.DS, largest=S.area_bound(spark, sf))
+def area_kpi(t):
+    scale = dimensions.label_scale(t.spark)
+    kpi = profiles.area_kpi(t.fact, scale, S.DS, largest=t.area_bound)
     return text_dates(kpi, "dt")
 
 
 @registered
-def discount_filtered_avg(spark, sf):
-    flagged = profiles.flag_sieves(S.fact(spark, sf), dimensions.label_scale(spark))
+def discount_filtered_avg(t):
+    flagged = profiles.flag_sieves(t.fact, dimensions.label_scale(t.spark))
     flag, price = F.col(profiles.FLAG), F.col("prix_m2")
     gap = numbers.percent_gap(F.avg(F.when(flag, price)), F.avg(F.when(~flag, price)))
     return flagged.groupBy("type_bien").agg(
@@ -153,76 +153,76 @@ def discount_filtered_avg(spark, sf):
 
 
 @registered
-def area_profile(spark, sf):
-    return S.mart_commune(spark, sf)
+def area_profile(t):
+    return t.mart_commune
 
 
 @registered
-def area_type_profile(spark, sf):
-    return S.mart_commune_type(spark, sf)
+def area_type_profile(t):
+    return t.mart_commune_type
 
 
-def _area_prices(spark, sf):
-    named = pricing.area_prices(S.prices(spark, sf)).join(S.communes(spark, sf), "code_insee")
+def _area_prices(t):
+    named = pricing.area_prices(t.prices).join(t.communes, "code_insee")
     return named.select("code_insee", "type_bien", "departement", "prix_m2")
 
 
 @registered
-def rank_in_parent(spark, sf):
+def rank_in_parent(t):
     return ranking.rank_in_group(
-        _area_prices(spark, sf), ["departement", "type_bien"], "prix_m2", "rang",
-        largest=S.parent_bound(spark, sf),
+        _area_prices(t), ["departement", "type_bien"], "prix_m2", "rang",
+        largest=t.parent_bound,
     )
 
 
 @registered
-def rank_by_counting(spark, sf):
+def rank_by_counting(t):
     """Line items ranked by price inside their shipping flag: three groups hold the whole table."""
-    items = S.table(spark, sf, "lineitem").select(
+    items = t.given("lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
     )
     return ranking.rank_in_group(items, ["l_returnflag"], "l_extendedprice", "rang", limit=1000)
 
 
-def _placed(spark, sf):
+def _placed(t):
     return profiles.parent_position(
-        _area_prices(spark, sf), ["departement", "type_bien"], "prix_m2", "ecart_pct", "z",
-        median="mediane_parent", largest=S.parent_bound(spark, sf),
+        _area_prices(t), ["departement", "type_bien"], "prix_m2", "ecart_pct", "z",
+        median="mediane_parent", largest=t.parent_bound,
     )
 
 
 @registered
-def zscore_in_parent(spark, sf):
-    return _placed(spark, sf).select("code_insee", "type_bien", "z")
+def zscore_in_parent(t):
+    return _placed(t).select("code_insee", "type_bien", "z")
 
 
 @registered
-def gap_to_median(spark, sf):
-    return _placed(spark, sf).select("code_insee", "type_bien", "mediane_parent", "ecart_pct")
+def gap_to_median(t):
+    return _placed(t).select("code_insee", "type_bien", "mediane_parent", "ecart_pct")
 
 
 @registered
-def flagship_opportunities(spark, sf):
-    return S.mart_opportunites(spark, sf)
+def flagship_opportunities(t):
+    return t.mart_opportunites
 
 
 @registered
-def opportunity_count(spark, sf):
-    return profiles.opportunity_count(S.mart_opportunites(spark, sf))
+def opportunity_count(t):
+    return profiles.opportunity_count(t.mart_opportunites)
 
 
 # --- Quality -----------------------------------------------------------------------------------
 
 
 @registered
-def quality_counts(spark, sf):
-    return quality.quality_gate(S.fact(spark, sf), quality.fact_rules())
+def quality_counts(t):
+    return quality.quality_gate(t.fact, quality.fact_rules())
 
 
 @registered
-def quality_counts_dirty(spark, sf):
+def quality_counts_dirty(t):
     """The gate on unfiltered raw certificates, where every rule has something to count."""
-    raw = S.raw_certificates(spark, sf).select(
+    raw = t.raw_certificates.select(
         F.trim("code_insee_ban").alias("code_insee"),
         F.trim("etiquette_dpe").alias("etiquette"),
         F.lit("2999-01-01").cast("date").alias("dt"),
@@ -233,21 +233,21 @@ def quality_counts_dirty(spark, sf):
 # --- Serving -----------------------------------------------------------------------------------
 
 
-def _dated(spark, sf):
+def _dated(t):
     """Certificate-like rows in yearly partitions, from order dates."""
     year = F.date_trunc("year", "o_orderdate").cast("date")
-    return S.table(spark, sf, "orders").withColumn("dt", year)
+    return t.given("orders").withColumn("dt", year)
 
 
-def _homes(spark, sf):
+def _homes(t):
     """Located dwellings in the dashboard's column names."""
-    homes = pricing.dwellings(S.certificates(spark, sf))
-    names = S.communes(spark, sf).select("code_insee", F.col("nom").alias("commune"), "departement", "region")
+    homes = pricing.dwellings(t.certificates)
+    names = t.communes.select("code_insee", F.col("nom").alias("commune"), "departement", "region")
     return homes.join(names, "code_insee")
 
 
 @registered
-def filter_compile(spark, sf):
+def filter_compile(t):
     chosen = Filters(
         regions=("NORD",),
         types_bien=("appartement", "maison"),
@@ -257,154 +257,158 @@ def filter_compile(spark, sf):
         surface_max=120,
         nb_dpe_min=0,
     )
-    kept = _homes(spark, sf).where(predicate(chosen))
+    kept = _homes(t).where(predicate(chosen))
     return kept.groupBy("commune", "type_bien", "etiquette").agg(F.count("*").alias("n"))
 
 
 @registered
-def market_view(spark, sf):
-    return serving.market_view(S.mart_commune(spark, sf), S.geo(spark, sf))
+def market_view(t):
+    return serving.market_view(t.mart_commune, t.geo)
 
 
-def _market(spark, sf, filters=Filters()):
-    return serving.market(S.mart_commune(spark, sf), S.geo(spark, sf), filters)
+def _market(t, filters=Filters()):
+    return serving.market(t.mart_commune, t.geo, filters)
 
 
 @registered
-def commune_grain(spark, sf):
+def commune_grain(t):
     """Type, label and area filters are lifted for communes; the rest of the filter acts."""
     chosen = Filters(
         regions=("NORD",), types_bien=("maison",), etiquettes=("G",), surface_min=500,
         prix_m2_min=1000, prix_m2_max=4000,
     )
-    return _market(spark, sf, chosen).select("commune", "departement", "region", "prix_m2", "nb_dpe")
+    return _market(t, chosen).select("commune", "departement", "region", "prix_m2", "nb_dpe")
 
 
 @registered
-def opportunity_view(spark, sf):
-    return serving.opportunity_view(S.mart_opportunites(spark, sf), S.geo(spark, sf))
+def opportunity_view(t):
+    return serving.opportunity_view(t.mart_opportunites, t.geo)
 
 
 @registered
-def typed_grain(spark, sf):
+def typed_grain(t):
     chosen = Filters(types_bien=("tous", "maison"), etiquettes=("G",), passoires_only=True)
-    rows = serving.opportunity_view(S.mart_opportunites(spark, sf), S.geo(spark, sf))
+    rows = serving.opportunity_view(t.mart_opportunites, t.geo)
     kept = rows.where(predicate(serving.typed_grain(chosen)))
     return kept.select("commune", "type_bien", "prix_m2", "nb_dpe")
 
 
 @registered
-def city_alias(spark, sf):
+def city_alias(t):
     """Choosing a region name also chooses its nations; customers of the chosen places."""
-    region, nation = S.table(spark, sf, "region"), S.table(spark, sf, "nation")
+    region, nation = t.given("region"), t.given("nation")
     members = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
         F.col("r_name").alias("city"), F.col("n_name").alias("member")
     )
-    chosen = spark.createDataFrame([("ASIA",), ("EUROPE",), ("NATION_1",)], "commune string")
+    chosen = t.spark.createDataFrame([("ASIA",), ("EUROPE",), ("NATION_1",)], "commune string")
     names = dimensions.chosen_with_members(chosen, members)
-    customer = S.table(spark, sf, "customer")
+    customer = t.given("customer")
     placed = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
     kept = placed.join(names, placed["n_name"] == names["commune"], "left_semi")
     return kept.groupBy("n_name").agg(F.count("*").alias("n"))
 
 
 @registered
-def serve_opportunities(spark, sf):
+def serve_opportunities(t):
+    t.store("mart_opportunites")
     return serving.serve_opportunities(
-        S.mart_opportunites(spark, sf), S.mart_commune(spark, sf), S.geo(spark, sf), S.DEALS
+        t.mart_opportunites, t.mart_commune, t.geo, S.DEALS
     )
 
 
 @registered
-def serve_opportunities_fallback(spark, sf):
+def serve_opportunities_fallback(t):
     """No scored row matches the type filter, so the market stands in."""
+    t.store("fact", "mart_opportunites")
     chosen = Filters(types_bien=("chateau",), opportunite_k=0.5)
     return serving.serve_opportunities(
-        S.mart_opportunites(spark, sf), S.mart_commune(spark, sf), S.geo(spark, sf), chosen
+        t.mart_opportunites, t.mart_commune, t.geo, chosen
     )
 
 
 @registered
-def label_distribution_topn(spark, sf):
-    return serving.label_distribution(S.fact(spark, sf), S.communes(spark, sf), S.ENERGY)
+def label_distribution_topn(t):
+    return serving.label_distribution(t.fact, t.communes, S.ENERGY)
 
 
 @registered
-def label_order(spark, sf):
-    counts = serving.label_counts(S.fact(spark, sf), S.communes(spark, sf))
+def label_order(t):
+    counts = serving.label_counts(t.fact, t.communes)
     place = labels.label_position(F.col("etiquette")).cast("bigint")
     return reports.in_label_order(counts).withColumn("place", place)
 
 
 @registered
-def filter_choices(spark, sf):
-    rows = _market(spark, sf, Filters(nb_dpe_min=1))
-    return serving.filter_choices(rows, S.mart_commune_type(spark, sf))
+def filter_choices(t):
+    t.store("fact")
+    rows = _market(t, Filters(nb_dpe_min=1))
+    return serving.filter_choices(rows, t.mart_commune_type)
 
 
 @registered
-def filter_options(spark, sf):
-    return serving.slider_bounds(_market(spark, sf, Filters(nb_dpe_min=1)))
+def filter_options(t):
+    return serving.slider_bounds(_market(t, Filters(nb_dpe_min=1)))
 
 
 @registered
-def slider_bounds_areas(spark, sf):
-    homes = _homes(spark, sf).withColumn("prix_m2", F.col("cout_energie_annuel"))
+def slider_bounds_areas(t):
+    homes = _homes(t).withColumn("prix_m2", F.col("cout_energie_annuel"))
     return serving.slider_bounds(homes)
 
 
 @registered
-def present_types(spark, sf):
-    return serving.present_types(S.mart_commune_type(spark, sf))
+def present_types(t):
+    return serving.present_types(t.mart_commune_type)
 
 
-def _compared(spark, sf):
-    rows = serving.market_view(S.mart_commune(spark, sf), S.geo(spark, sf))
+def _compared(t):
+    rows = serving.market_view(t.mart_commune, t.geo)
     names = tuple(f"Supplier#{n:09d}" for n in (3, 4, 5, 7))
     return serving.chosen_communes(rows, names)
 
 
 @registered
-def compare(spark, sf):
-    return _compared(spark, sf).select(
+def compare(t):
+    return _compared(t).select(
         "commune", "prix_m2", "pct_passoires", "conso_energie_med", "indice_sous_cotation", "nb_dpe"
     )
 
 
 @registered
-def compare_long(spark, sf):
-    return serving.compare_long(serving.market_view(S.mart_commune(spark, sf), S.geo(spark, sf)))
+def compare_long(t):
+    return serving.compare_long(serving.market_view(t.mart_commune, t.geo))
 
 
 @registered
-def compare_normalised(spark, sf):
-    rows = serving.market_view(S.mart_commune(spark, sf), S.geo(spark, sf))
+def compare_normalised(t):
+    t.store("mart_commune")
+    rows = serving.market_view(t.mart_commune, t.geo)
     shares = serving.compare_normalised(rows)
     return shares.withColumn("score_normalise", numbers.half_away(F.col("score_normalise"), 6))
 
 
 @registered
-def headline_kpis(spark, sf):
-    bound = S.communes(spark, sf).count()
-    kpi = reports.headline_kpis(_market(spark, sf), V.MIN_CERTIFICATES, largest=bound)
+def headline_kpis(t):
+    bound = t.communes.count()
+    kpi = reports.headline_kpis(_market(t), V.MIN_CERTIFICATES, largest=bound)
     return _rounded(kpi, "pct_passoires_moyen", "sous_cotation_moyenne")
 
 
 @registered
-def energy_kpis(spark, sf):
-    kpi = reports.energy_kpis(_market(spark, sf), largest=S.communes(spark, sf).count())
+def energy_kpis(t):
+    kpi = reports.energy_kpis(_market(t), largest=t.communes.count())
     return _rounded(kpi, "pct_passoires_moyen", "pct_ges_moyen")
 
 
 @registered
-def map_kpis(spark, sf):
-    rows = serving.map_points(_market(spark, sf))
-    return _rounded(reports.map_kpis(rows, largest=S.communes(spark, sf).count()), "pct_passoires_moyen")
+def map_kpis(t):
+    rows = serving.map_points(_market(t))
+    return _rounded(reports.map_kpis(rows, largest=t.communes.count()), "pct_passoires_moyen")
 
 
 @registered
-def opportunity_kpis(spark, sf):
-    return _rounded(reports.opportunity_kpis(serve_opportunities(spark, sf)), "pct_passoires_moyen")
+def opportunity_kpis(t):
+    return _rounded(reports.opportunity_kpis(serve_opportunities(t)), "pct_passoires_moyen")
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -412,49 +416,49 @@ def _rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 @registered
-def signals(spark, sf):
-    return reports.signals(_market(spark, sf))
+def signals(t):
+    return reports.signals(_market(t))
 
 
 @registered
-def top_price(spark, sf):
-    return reports.dearest(_market(spark, sf)).select("commune", "prix_m2", "departement")
+def top_price(t):
+    return reports.dearest(_market(t)).select("commune", "prix_m2", "departement")
 
 
 @registered
-def top_cost(spark, sf):
-    return reports.costliest(_market(spark, sf)).select(
+def top_cost(t):
+    return reports.costliest(_market(t)).select(
         "commune", "cout_energie_annuel_median", "pct_ges_passoires"
     )
 
 
 @registered
-def by_sieve_share(spark, sf):
-    return reports.by_value(_market(spark, sf), "pct_passoires").select("commune", "pct_passoires")
+def by_sieve_share(t):
+    return reports.by_value(_market(t), "pct_passoires").select("commune", "pct_passoires")
 
 
 @registered
-def badges(spark, sf):
-    rows = serve_opportunities(spark, sf)
+def badges(t):
+    rows = serve_opportunities(t)
     wording = labels.badges(F.col("indice_sous_cotation"), F.col("pct_passoires"))
     return rows.select("commune", "type_bien", wording.alias("badges"))
 
 
 @registered
-def leaderboard(spark, sf):
-    return reports.leaders(serve_opportunities(spark, sf), 5).select(
+def leaderboard(t):
+    return reports.leaders(serve_opportunities(t), 5).select(
         "commune", "departement", "type_bien", "prix_m2", "score_opportunite", "badges"
     )
 
 
 @registered
-def double_signal(spark, sf):
-    return reports.featured(serve_opportunities(spark, sf)).select("commune", "type_bien", "score_opportunite")
+def double_signal(t):
+    return reports.featured(serve_opportunities(t)).select("commune", "type_bien", "score_opportunite")
 
 
 @registered
-def latest_partition(spark, sf):
-    newest = latest.latest_partition(_dated(spark, sf))
+def latest_partition(t):
+    newest = latest.latest_partition(_dated(t))
     return text_dates(newest.select("o_orderkey", "o_orderpriority", "dt"), "dt")
 
 
@@ -462,18 +466,18 @@ def latest_partition(spark, sf):
 
 
 @registered
-def map_points(spark, sf):
-    return serving.map_points(_market(spark, sf)).select("commune", "latitude", "longitude")
+def map_points(t):
+    return serving.map_points(_market(t)).select("commune", "latitude", "longitude")
 
 
 @registered
-def metric_range(spark, sf):
-    return serving.metric_range(_market(spark, sf), "prix_m2")
+def metric_range(t):
+    return serving.metric_range(_market(t), "prix_m2")
 
 
 @registered
-def map_centre(spark, sf):
-    return _rounded(serving.map_centre(serving.map_points(_market(spark, sf))), "latitude", "longitude")
+def map_centre(t):
+    return _rounded(serving.map_centre(serving.map_points(_market(t))), "latitude", "longitude")
 
 
 def _channels(colour: Column) -> list[Column]:
@@ -481,8 +485,9 @@ def _channels(colour: Column) -> list[Column]:
 
 
 @registered
-def map_features(spark, sf):
-    rows = serving.map_points(_market(spark, sf))
+def map_features(t):
+    t.store("mart_commune")
+    rows = serving.map_points(_market(t))
     features = serving.map_features(rows, "prix_m2")
     return features.select(
         "commune",
@@ -495,8 +500,9 @@ def map_features(spark, sf):
 
 
 @registered
-def map_point_features(spark, sf):
-    rows = serving.map_points(_market(spark, sf))
+def map_point_features(t):
+    t.store("mart_commune")
+    rows = serving.map_points(_market(t))
     features = serving.map_point_features(rows, "pct_passoires")
     coordinate = "$.geometry.coordinates[{}]"
     return features.select(
@@ -508,8 +514,8 @@ def map_point_features(spark, sf):
 
 
 @registered
-def colour_of_every_sale(spark, sf):
-    sold = S.sales(spark, sf).select("code_insee", "prix_m2")
+def colour_of_every_sale(t):
+    sold = t.sales.select("code_insee", "prix_m2")
     ends = colours.V.UNIT_PRICE_RANGE
     colour = colours.fill_colour(
         F.col("prix_m2"), F.lit(float(ends[0])), F.lit(float(ends[1])), V.PALETTE_PRICE
@@ -521,8 +527,8 @@ def colour_of_every_sale(spark, sf):
 # --- Dimensions and geography ------------------------------------------------------------------
 
 
-def _commune_list(spark, sf, table, prefix, key, name, place):
-    return S.table(spark, sf, table).selectExpr(
+def _commune_list(t, table, prefix, key, name, place):
+    return t.given(table).selectExpr(
         f"concat(' ', {key}, '\t') AS code",
         f"{name} AS nom",
         f"CAST({place} AS STRING) AS codeDepartement",
@@ -532,14 +538,14 @@ def _commune_list(spark, sf, table, prefix, key, name, place):
 
 
 @registered
-def dim_union_first_wins(spark, sf):
+def dim_union_first_wins(t):
     """Suppliers and customers share keys; the supplier list comes first and wins."""
-    first = _commune_list(spark, sf, "supplier", "S", "s_suppkey", "s_name", "s_nationkey")
-    second = _commune_list(spark, sf, "customer", "C", "c_custkey", "c_name", "c_nationkey")
+    first = _commune_list(t, "supplier", "S", "s_suppkey", "s_name", "s_nationkey")
+    second = _commune_list(t, "customer", "C", "c_custkey", "c_name", "c_nationkey")
     return dimensions.build_dim_commune(first, second)
 
 
-def _payloads(spark, sf):
+def _payloads(t):
     """Suppliers as landed payloads: longitude first, a list without its second number, no centre."""
     text = (
         "CASE WHEN s_nationkey = 3 THEN '{\"centre\":null}' "
@@ -548,7 +554,7 @@ def _payloads(spark, sf):
         "41 + s_suppkey % 10, '.25]},\"contour\":{\"type\":\"Polygon\"}}') END"
     )
     schema = "centre struct<type: string, coordinates: array<double>>, contour string"
-    supplier = S.table(spark, sf, "supplier").withColumn("payload", F.from_json(F.expr(text), schema))
+    supplier = t.given("supplier").withColumn("payload", F.from_json(F.expr(text), schema))
     return supplier.select(
         F.col("s_suppkey").cast("string").alias("code"),
         F.col("s_name").alias("nom"),
@@ -559,13 +565,13 @@ def _payloads(spark, sf):
 
 
 @registered
-def geo_payload(spark, sf):
-    return geography.flatten_payload(_payloads(spark, sf))
+def geo_payload(t):
+    return geography.flatten_payload(_payloads(t))
 
 
-def _centres(spark, sf):
+def _centres(t):
     """Customers as fallback centres; their keys overlap the suppliers'."""
-    return S.table(spark, sf, "customer").selectExpr(
+    return t.given("customer").selectExpr(
         "CAST(c_custkey AS STRING) AS code_insee",
         "c_name AS nom",
         "CAST(c_nationkey AS DOUBLE) AS latitude",
@@ -576,17 +582,17 @@ def _centres(spark, sf):
 
 
 @registered
-def geo_by_codes(spark, sf):
-    codes = S.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("code_insee"))
-    return geography.geo_by_codes(codes, _payloads(spark, sf), _centres(spark, sf))
+def geo_by_codes(t):
+    codes = t.given("customer").select(F.col("c_custkey").cast("string").alias("code_insee"))
+    return geography.geo_by_codes(codes, _payloads(t), _centres(t))
 
 
 @registered
-def geo_priority_union(spark, sf):
+def geo_priority_union(t):
     nations = [str(n) for n in range(0, 10)]
-    codes = S.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("code_insee"))
+    codes = t.given("customer").select(F.col("c_custkey").cast("string").alias("code_insee"))
     return geography.geo_by_departements(
-        _payloads(spark, sf), nations, codes, _centres(spark, sf), with_contour=False
+        _payloads(t), nations, codes, _centres(t), with_contour=False
     )
 
 
@@ -594,24 +600,24 @@ def geo_priority_union(spark, sf):
 
 
 @registered
-def page_flatten(spark, sf):
+def page_flatten(t):
     """Conversations landed as pages of at most four turns, then flattened again."""
-    turns = S.table(spark, sf, "conversations")
+    turns = t.given("conversations")
     page = F.floor(F.col("turn") / 4).cast("bigint")
     landed = turns.groupBy("conv_id", page.alias("page")).agg(
         F.collect_list(F.struct("turn", "role", "text")).alias("results")
     )
-    path = scratch_path(spark, "pages")
+    path = scratch_path(t.spark, "pages")
     landed.write.json(path)
     schema = "page bigint, conv_id bigint, results array<struct<turn: bigint, role: string, text: string>>"
-    stored = spark.read.schema(schema).json(path)
+    stored = t.spark.read.schema(schema).json(path)
     rows = pages.page_rows(stored, ["turn", "role", "text"], partitions=("conv_id", "page"))
     return rows
 
 
 @registered
-def first_pages(spark, sf):
-    turns = S.table(spark, sf, "conversations").select(
+def first_pages(t):
+    turns = t.given("conversations").select(
         F.floor(F.col("turn") / 4).cast("bigint").alias("page"),
         F.col("conv_id"),
         F.array(F.struct("turn", "role")).alias("results"),
@@ -620,17 +626,17 @@ def first_pages(spark, sf):
 
 
 @registered
-def cursor_parse(spark, sf):
-    parsed = S.table(spark, sf, "pages").select(
+def cursor_parse(t):
+    parsed = t.given("pages").select(
         "page_id", pages.cursor(F.col("url"), "page").alias("curseur")
     )
     return parsed
 
 
 @registered
-def page_set_status(spark, sf):
+def page_set_status(t):
     """Line items of an order as its pages: gaps in the numbering make a set incomplete."""
-    landed = S.table(spark, sf, "lineitem").select(
+    landed = t.given("lineitem").select(
         F.col("l_orderkey").alias("dep"),
         (F.col("l_linenumber") - 1).cast("bigint").alias("page"),
         F.when(F.col("l_returnflag") != "R", F.lit("http://x.org/lines?after=c")).alias("next"),
@@ -640,8 +646,8 @@ def page_set_status(spark, sf):
 
 
 @registered
-def source_filter(spark, sf):
-    raw = S.raw_certificates(spark, sf).select(
+def source_filter(t):
+    raw = t.raw_certificates.select(
         F.trim("type_energie_principale_chauffage").alias("dep"),
         F.trim("code_postal_ban").alias("code_postal_ban"),
         F.trim("code_insee_ban").alias("code_insee_ban"),
@@ -651,20 +657,20 @@ def source_filter(spark, sf):
 
 
 @registered
-def scoped_partitions(spark, sf):
-    path = scratch_path(spark, "scope")
-    orders = S.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("dep"))
+def scoped_partitions(t):
+    path = scratch_path(t.spark, "scope")
+    orders = t.given("orders").select("o_orderkey", F.col("o_orderstatus").alias("dep"))
     orders.write.partitionBy("dep").parquet(path)
     scope = text_files.scope_list("", fallback=" F, O ,, Z")
-    kept = text_files.in_scope(sources.read_table(spark, path), scope)
+    kept = text_files.in_scope(sources.read_table(t.spark, path), scope)
     return kept.select("o_orderkey", "dep")
 
 
 @registered
-def union_by_name_scan(spark, sf):
+def union_by_name_scan(t):
     """Events written as parts whose types and columns drift, read back as one text table."""
-    path = scratch_path(spark, "parts")
-    events = S.table(spark, sf, "events")
+    path = scratch_path(t.spark, "parts")
+    events = t.given("events")
     kinds = {
         "01": events.where("event_type IN ('click', 'view')").select("event_id", "user_id", "value"),
         "2A": events.where("event_type IN ('error')").select(
@@ -677,32 +683,32 @@ def union_by_name_scan(spark, sf):
     for dep, part in kinds.items():
         part.write.parquet(f"{path}/dt={S.DS}/dep={dep}")
     return drifting_parquet.read_text_parts(
-        spark, path, ["event_id", "user_id", "value"], scope={"dt": [S.DS]}
+        t.spark, path, ["event_id", "user_id", "value"], scope={"dt": [S.DS]}
     )
 
 
 @registered
-def tolerant_csv_scan(spark, sf):
+def tolerant_csv_scan(t):
     """Customers as gzip CSV with quoted commas, doubled quotes and broken lines."""
-    path = scratch_path(spark, "csv")
+    path = scratch_path(t.spark, "csv")
     line = (
         "concat_ws(',', CAST(c_custkey AS STRING), concat('\"', c_name, ', \"\"', c_mktsegment, '\"\"\"'), "
         "CASE WHEN c_nationkey = 3 THEN 'one,field,too,many' WHEN c_nationkey = 5 THEN NULL "
         "ELSE lpad(c_nationkey, 5, '0') END)"
     )
-    body = S.table(spark, sf, "customer").selectExpr(f"{line} AS value")
+    body = t.given("customer").selectExpr(f"{line} AS value")
     # Every file of the source opens with its header line.
     with_header = body.selectExpr("concat('code_commune,adresse,code\n', value) AS value")
     with_header.write.option("compression", "gzip").option("lineSep", "\n").text(path)
-    rows = text_files.read_csv_text(spark, path)
+    rows = text_files.read_csv_text(t.spark, path)
     return rows.where("code_commune <> 'code_commune'").select("code_commune", "adresse", "code")
 
 
 @registered
-def json_array_scan(spark, sf):
+def json_array_scan(t):
     """Nations landed as one JSON array per region file."""
-    path = scratch_path(spark, "json")
-    nation = S.table(spark, sf, "nation")
+    path = scratch_path(t.spark, "json")
+    nation = t.given("nation")
     body = nation.groupBy("n_regionkey").agg(
         F.to_json(F.collect_list(F.struct(
             F.col("n_nationkey").cast("string").alias("code"),
@@ -712,24 +718,24 @@ def json_array_scan(spark, sf):
     )
     body.write.partitionBy("n_regionkey").text(path)
     schema = "code string, nom string, codeRegion string"
-    return text_files.read_json_array(spark, path, spark.createDataFrame([], schema).schema).select(
+    return text_files.read_json_array(t.spark, path, t.spark.createDataFrame([], schema).schema).select(
         "code", "nom", "codeRegion"
     )
 
 
 @registered
-def partition_scan(spark, sf):
-    path = scratch_path(spark, "dated")
-    _dated(spark, sf).select("o_orderkey", "o_totalprice", "dt").write.partitionBy("dt").parquet(path)
-    day = sources.read_partition(spark, path, "1997-01-01")
+def partition_scan(t):
+    path = scratch_path(t.spark, "dated")
+    _dated(t).select("o_orderkey", "o_totalprice", "dt").write.partitionBy("dt").parquet(path)
+    day = sources.read_partition(t.spark, path, "1997-01-01")
     return day.select("o_orderkey", "o_totalprice")
 
 
 @registered
-def partition_replace(spark, sf):
+def partition_replace(t):
     """Daily partitions; one day replaced by other rows, one by nothing, one by the same rows."""
-    path = scratch_path(spark, "replace")
-    events = S.table(spark, sf, "events").withColumn("dt", F.to_date("ts"))
+    path = scratch_path(t.spark, "replace")
+    events = t.given("events").withColumn("dt", F.to_date("ts"))
     rows = events.select("event_id", "event_type", "dt")
     rows.write.partitionBy("dt").parquet(path)
 
@@ -741,21 +747,21 @@ def partition_replace(spark, sf):
     sinks.replace_partition(day("2024-01-04").where("event_id < 0"), path, "2024-01-04")
     for _ in range(2):
         sinks.replace_partition(day("2024-01-05"), path, "2024-01-05")
-    schema = spark.createDataFrame([], "event_id bigint, event_type string, dt date").schema
-    return text_dates(sources.read_table(spark, path, schema), "dt")
+    schema = t.spark.createDataFrame([], "event_id bigint, event_type string, dt date").schema
+    return text_dates(sources.read_table(t.spark, path, schema), "dt")
 
 
 @registered
-def additive_parts(spark, sf):
+def additive_parts(t):
     """Raw parts by order status: one status landed again in halves, the others untouched."""
-    path = scratch_path(spark, "additive")
-    orders = S.table(spark, sf, "orders").select(
+    path = scratch_path(t.spark, "additive")
+    orders = t.given("orders").select(
         "o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("dep")
     )
     sinks.add_raw_parts(orders, path, S.DS, ["F", "O", "P"], rows_per_part=1000)
     urgent = orders.where("o_orderpriority = '1-URGENT'")
     sinks.add_raw_parts(urgent.where("dep = 'F'"), path, S.DS, ["F", "X"], rows_per_part=1000)
-    landed = spark.read.schema("o_orderkey bigint, o_orderpriority string, dep string").parquet(f"{path}/dt={S.DS}")
+    landed = t.spark.read.schema("o_orderkey bigint, o_orderpriority string, dep string").parquet(f"{path}/dt={S.DS}")
     per_file = landed.groupBy("dep", F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
     return per_file.groupBy("dep").agg(
         F.sum("n").alias("lignes"), (F.max("n") <= 1000).alias("parts_bornees")
@@ -763,83 +769,79 @@ def additive_parts(spark, sf):
 
 
 @registered
-def run_metrics(spark, sf):
+def run_metrics(t):
     """Rows counted by the write itself, per status and in all."""
-    path = scratch_path(spark, "metrics")
-    orders = S.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("dep"))
+    path = scratch_path(t.spark, "metrics")
+    orders = t.given("orders").select("o_orderkey", F.col("o_orderstatus").alias("dep"))
     written = sinks.add_raw_parts(orders, path, S.DS, ["F", "O", "P"])
     rows = [*written.items(), ("total", sum(written.values()))]
-    return spark.createDataFrame(rows, "dep string, lignes bigint")
+    return t.spark.createDataFrame(rows, "dep string, lignes bigint")
 
 
 @registered
-def exact_sample(spark, sf):
-    orders = S.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+def exact_sample(t):
+    orders = t.given("orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return sampling.exact_sample(orders, 500, ["o_orderkey"], seed=7)
 
 
 @registered
-def snapshot_export(spark, sf):
-    """Marts and a sample of the newest fact partition; rows per exported table."""
-    lake, out = Lake(scratch_path(spark, "lake")), scratch_path(spark, "snapshot")
-    gold = lake.at("gold", "")
-    for year in ("2026-01-01", S.DS):
-        sinks.replace_partition(S.fact(spark, sf), f"{gold}fact_biens", year)
-    stored = sources.read_partition(spark, f"{gold}fact_biens", S.DS)
-    scale, communes = dimensions.label_scale(spark), S.communes(spark, sf)
-    bounds = {"largest": S.area_bound(spark, sf)}
-    parent = S.parent_bound(spark, sf)
+def snapshot_export(t):
+    """Marts and a sample of the newest of two fact partitions; rows per exported table."""
+    t.store("fact", "mart_commune_type")
+    gold, out = scratch_path(t.spark, "gold"), scratch_path(t.spark, "snapshot")
+    for day in ("2026-01-01", S.DS):
+        sinks.replace_partition(t.fact, f"{gold}/fact_biens", day)
     marts = {
-        "mart_commune": profiles.area_profile(stored, scale, communes, parent, **bounds),
-        "mart_commune_type": profiles.area_type_profile(stored, scale, communes, **bounds),
-        "dvf_stats_commune_type": pricing.price_distribution(S.sales(spark, sf), communes, **bounds),
+        "mart_commune": t.mart_commune,
+        "mart_commune_type": t.mart_commune_type,
+        "mart_opportunites": t.mart_opportunites,
+        "dvf_stats_commune_type": pricing.price_distribution(t.sales, t.communes, largest=t.area_bound),
     }
-    marts["mart_opportunites"] = profiles.opportunities(marts["mart_commune_type"], parent_size=parent)
     for name, mart in marts.items():
-        sinks.replace_table(mart, f"{gold}{name}")
-    rows = sinks.export_snapshot(spark, f"{lake.root}/gold", out, n=2000)
-    return spark.createDataFrame(list(rows.items()), "nom string, lignes bigint")
+        sinks.replace_table(mart, f"{gold}/{name}")
+    rows = sinks.export_snapshot(t.spark, gold, out, n=2000)
+    return t.spark.createDataFrame(list(rows.items()), "nom string, lignes bigint")
 
 
 # --- Whole runs --------------------------------------------------------------------------------
 
 
 @registered
-def daily_run(spark, sf):
+def daily_run(t):
     """Raw files to marts through the written tables; the opportunity mart comes back.
 
     Département 99 is in scope without data.
     """
-    lake = Lake(scratch_path(spark, "lake"))
-    certificates = S.raw_certificates(spark, sf).withColumn("dep", F.lit("01"))
+    lake = Lake(scratch_path(t.spark, "lake"))
+    certificates = t.raw_certificates.withColumn("dep", F.lit("01"))
     sinks.add_raw_parts(certificates, lake.at("raw", "dpe"), S.DS, ["01"])
-    S.raw_sales(spark, sf).write.option("header", "true").option("compression", "gzip").csv(
+    t.raw_sales.write.option("header", "true").option("compression", "gzip").csv(
         f"{lake.at('raw', 'dvf')}/dt={S.DS}/dep=01"
     )
     code = F.format_string("%05d", F.col("code_insee").cast("bigint"))
-    known = S.communes(spark, sf).withColumn("code_insee", code)
+    known = t.communes.withColumn("code_insee", code)
     sinks.replace_table(known, lake.at("ref", "dim_commune"))
-    sinks.replace_table(dimensions.label_scale(spark), lake.at("ref", "dim_dpe"))
-    run_day(spark, lake, S.DS, departements=["01", "99"])
+    sinks.replace_table(dimensions.label_scale(t.spark), lake.at("ref", "dim_dpe"))
+    run_day(t.spark, lake, S.DS, departements=["01", "99"])
     return sources.read_table(
-        spark, lake.at("gold", "mart_opportunites"), schemas.MART_OPPORTUNITES
+        t.spark, lake.at("gold", "mart_opportunites"), schemas.MART_OPPORTUNITES
     )
 
 
 @registered
-def stream_refresh(spark, sf):
+def stream_refresh(t):
     """Raw certificates arrive in two waves; each wave refreshes the dates it touched."""
-    root = scratch_path(spark, "stream")
+    root = scratch_path(t.spark, "stream")
     raw, silver, progress = f"{root}/raw", f"{root}/silver", f"{root}/progress"
-    certificates = S.raw_certificates(spark, sf)
+    certificates = t.raw_certificates
     dated = certificates.withColumn(
         "dt", F.when(F.col("etiquette_ges").startswith("f"), "2026-06-17").otherwise(S.DS)
     ).withColumn("dep", F.lit("01"))
     flats = F.col("type_batiment").contains("Appartement")
     for wave in (dated.where(flats), dated.where(~flats)):
         wave.write.mode("append").partitionBy("dt", "dep").parquet(raw)
-        refresh_silver(spark, raw, silver, progress)
-    rows = sources.read_table(spark, silver)
+        refresh_silver(t.spark, raw, silver, progress)
+    rows = sources.read_table(t.spark, silver)
     return rows.groupBy(F.col("dt").cast("string").alias("dt"), "etiquette_dpe").agg(
         F.count("*").alias("n"), F.count("surface_habitable").alias("n_surface")
     )

@@ -4,6 +4,8 @@ Line items are sales and dwellings, suppliers are communes, regions are the pare
 areas are scaled by four, which leaves unit prices unchanged and fills every floor-area band.
 """
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import pricing, profiles
@@ -42,155 +44,177 @@ TABLES = {
 }
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table under its declared schema, so no footer is read to plan a query."""
-    return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
+class Tables:
+    """The stand-in tables over one directory, each built once per query."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+
+    def store(self, *names: str) -> None:
+        """Write the named tables and go on from the written ones, as the daily run does."""
+        for name in names:
+            setattr(self, name, durable(getattr(self, name)))
+
+    def given(self, name: str) -> DataFrame:
+        """A given table under its declared schema, so no footer is read to plan a query."""
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf}/{name}.parquet")
+
+    @cached_property
+    def item_count(self) -> int:
+        return self.given("lineitem").count()
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Line items with their part.
+
+        A small table is one row group, which one task reads; its rows are spread over the cores.
+        """
+        part, items = self.given("part"), self.given("lineitem")
+        if self.item_count <= GROUP_LIMIT:
+            cores = self.spark.sparkContext.defaultParallelism
+            items = items.repartition(cores, "l_orderkey", "l_linenumber")
+        return items.join(part, items["l_partkey"] == part["p_partkey"])
+
+    @cached_property
+    def raw_sales(self) -> DataFrame:
+        """Sales as text, with unsold areas, zero prices and unreadable numbers among them."""
+        return self.lines.selectExpr(
+            "CAST(l_suppkey AS STRING) AS code_commune",
+            f"{KIND} AS type_local",
+            "CASE WHEN l_tax = 0.08 THEN '95d' ELSE CAST(l_quantity * 4 AS STRING) END AS surface_reelle_bati",
+            "CASE WHEN l_discount = 0.1 THEN '0' ELSE CAST(l_extendedprice * 4 AS STRING) END AS valeur_fonciere",
+            "CASE WHEN l_linenumber = 7 THEN '2026' ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS date_mutation",
+            "CAST(l_suppkey % 14 - 5 AS STRING) AS longitude",
+            "CAST(41 + l_suppkey % 10 AS STRING) AS latitude",
+        )
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        sold = self.lines.where("p_type <> 'PROMO'")
+        return plausible(
+            sold.selectExpr(
+                "CAST(l_suppkey AS STRING) AS code_insee",
+                f"lower({KIND}) AS type_bien",
+                "l_quantity * 4 AS surface",
+                "l_extendedprice * 4 AS prix",
+                "(l_extendedprice * 4) / (l_quantity * 4) AS prix_m2",
+                "CAST(l_shipdate AS DATE) AS date_mutation",
+            )
+        )
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part")
-    items = table(spark, sf, "lineitem")
-    return items.join(part, items["l_partkey"] == part["p_partkey"])
+    @cached_property
+    def raw_certificates(self) -> DataFrame:
+        """Certificates as text: re-issued numbers, padded labels, missing and broken values."""
+        return self.lines.selectExpr(
+            "concat('D', l_orderkey, '-', l_linenumber) AS numero_dpe",
+            "CASE WHEN l_discount = 0.09 THEN '2026-01' "
+            "ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS date_etablissement_dpe",
+            "CASE WHEN l_quantity = 13 THEN NULL ELSE format_string(' %05d', l_suppkey) END AS code_insee_ban",
+            "concat(l_suppkey, '0 ') AS code_postal_ban",
+            "concat(' Commune ', l_suppkey) AS nom_commune_ban",
+            f"concat(' ', {KIND}) AS type_batiment",
+            "CASE WHEN l_tax = 0.0 THEN NULL WHEN l_tax = 0.01 THEN '0' WHEN l_tax = 0.02 THEN 'abc' "
+            "ELSE CAST(l_quantity * 4 AS STRING) END AS surface_habitable_logement",
+            "CASE WHEN p_size = 50 THEN '' ELSE concat(1900 + p_size, '.6') END AS annee_construction",
+            f"concat(' ', lower({LETTER}), ' ') AS etiquette_dpe",
+            f"concat(lower({GES_LETTER}), ' ') AS etiquette_ges",
+            "CAST(p_retailprice AS STRING) AS conso_5_usages_par_m2_ep",
+            "CASE WHEN l_discount = 0.05 THEN '95f' ELSE CAST(l_quantity AS STRING) END AS emission_ges_5_usages_par_m2",
+            "CAST(l_extendedprice AS STRING) AS cout_total_5_usages",
+            "concat(' ', l_linestatus) AS type_energie_principale_chauffage",
+        )
 
+    @cached_property
+    def certificates(self) -> DataFrame:
+        return self.lines.selectExpr(
+            "CAST(l_suppkey AS STRING) AS code_insee",
+            f"{LETTER} AS etiquette_dpe",
+            f"{GES_LETTER} AS etiquette_ges",
+            f"lower({KIND}) AS type_batiment",
+            "l_quantity * 4 AS surface_habitable",
+            "CAST(1900 + p_size AS INT) AS annee_construction",
+            "p_retailprice AS conso_energie",
+            "l_quantity AS emission_ges",
+            "l_extendedprice AS cout_energie_annuel",
+            "lower(l_linestatus) AS energie_chauffage",
+            "CAST(l_shipdate AS DATE) AS date_etablissement",
+        )
 
-def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales as text, with unsold areas, zero prices and unreadable numbers among them."""
-    return lines(spark, sf).selectExpr(
-        "CAST(l_suppkey AS STRING) AS code_commune",
-        f"{KIND} AS type_local",
-        "CASE WHEN l_tax = 0.08 THEN '95d' ELSE CAST(l_quantity * 4 AS STRING) END AS surface_reelle_bati",
-        "CASE WHEN l_discount = 0.1 THEN '0' ELSE CAST(l_extendedprice * 4 AS STRING) END AS valeur_fonciere",
-        "CASE WHEN l_linenumber = 7 THEN '2026' ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS date_mutation",
-        "CAST(l_suppkey % 14 - 5 AS STRING) AS longitude",
-        "CAST(41 + l_suppkey % 10 AS STRING) AS latitude",
-    )
+    @cached_property
+    def communes(self) -> DataFrame:
+        """Suppliers in credit are the known communes, so some sales and dwellings fall outside."""
+        supplier, nation = self.given("supplier"), self.given("nation")
+        region = self.given("region")
+        placed = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).join(
+            region, nation["n_regionkey"] == region["r_regionkey"]
+        )
+        named = placed.where("s_acctbal > 0").selectExpr(
+            "CAST(s_suppkey AS STRING) AS code_insee",
+            "s_name AS nom",
+            "r_name AS departement",
+            "CASE WHEN r_regionkey < 3 THEN 'NORD' ELSE 'SUD' END AS region",
+            "CAST(floor(s_acctbal) AS BIGINT) AS population",
+        )
+        return F.broadcast(named) if supplier.count() <= BROADCAST_ROWS else named
+
+    @cached_property
+    def geo(self) -> DataFrame:
+        """Centres on a grid, some missing; geometries missing, empty, broken or whole."""
+        return self.given("supplier").selectExpr(
+            "CAST(s_suppkey AS STRING) AS code_insee",
+            "s_name AS nom",
+            "CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE CAST(41 + s_suppkey % 10 AS DOUBLE) END AS latitude",
+            "CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE CAST(s_suppkey % 14 - 5 AS DOUBLE) END AS longitude",
+            "CASE WHEN s_acctbal < 1000 THEN '{bad' WHEN s_acctbal < 2000 THEN '' "
+            "WHEN s_acctbal < 3000 THEN NULL "
+            "ELSE concat('{\"type\":\"Point\",\"coordinates\":[', s_suppkey % 14 - 5, ',', 41 + s_suppkey % 10, ']}') "
+            "END AS geometry_json",
+        )
 
+    @cached_property
+    def area_bound(self) -> int:
+        """Most line items of one supplier: bounds every group of sales or dwellings by commune."""
+        few = self.item_count <= GROUP_LIMIT
+        return self.item_count if few else largest_group(self.given("lineitem"), ["l_suppkey"])
+
+    @cached_property
+    def parent_bound(self) -> int:
+        """Most suppliers of one region: bounds every group of areas by parent."""
+        rows = self.given("supplier").count()
+        return rows if rows <= GROUP_LIMIT else largest_group(self.communes, ["departement"])
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return pricing.reference_prices(self.sales, largest=self.area_bound)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        card = durable(pricing.price_card(self.prices))
+        fact = pricing.price_dwellings(
+            self.certificates, card, self.communes, label_scale(self.spark), DS
+        )
+        # Oversized areas are counted in several passes, which then read the stored table.
+        return durable(fact) if self.area_bound > GROUP_LIMIT else fact
+
+    @cached_property
+    def mart_commune(self) -> DataFrame:
+        return profiles.area_profile(
+            self.fact,
+            label_scale(self.spark),
+            self.communes,
+            parent_size=self.parent_bound,
+            largest=self.area_bound,
+        )
 
-def sales(spark: SparkSession, sf: str) -> DataFrame:
-    sold = lines(spark, sf).where("p_type <> 'PROMO'")
-    return plausible(
-        sold.selectExpr(
-            "CAST(l_suppkey AS STRING) AS code_insee",
-            f"lower({KIND}) AS type_bien",
-            "l_quantity * 4 AS surface",
-            "l_extendedprice * 4 AS prix",
-            "(l_extendedprice * 4) / (l_quantity * 4) AS prix_m2",
-            "CAST(l_shipdate AS DATE) AS date_mutation",
+    @cached_property
+    def mart_commune_type(self) -> DataFrame:
+        return profiles.area_type_profile(
+            self.fact, label_scale(self.spark), self.communes, largest=self.area_bound
         )
-    )
-
-
-def raw_certificates(spark: SparkSession, sf: str) -> DataFrame:
-    """Certificates as text: re-issued numbers, padded labels, missing and broken values."""
-    return lines(spark, sf).selectExpr(
-        "concat('D', l_orderkey, '-', l_linenumber) AS numero_dpe",
-        "CASE WHEN l_discount = 0.09 THEN '2026-01' "
-        "ELSE date_format(l_shipdate, 'yyyy-MM-dd') END AS date_etablissement_dpe",
-        "CASE WHEN l_quantity = 13 THEN NULL ELSE format_string(' %05d', l_suppkey) END AS code_insee_ban",
-        "concat(l_suppkey, '0 ') AS code_postal_ban",
-        "concat(' Commune ', l_suppkey) AS nom_commune_ban",
-        f"concat(' ', {KIND}) AS type_batiment",
-        "CASE WHEN l_tax = 0.0 THEN NULL WHEN l_tax = 0.01 THEN '0' WHEN l_tax = 0.02 THEN 'abc' "
-        "ELSE CAST(l_quantity * 4 AS STRING) END AS surface_habitable_logement",
-        "CASE WHEN p_size = 50 THEN '' ELSE concat(1900 + p_size, '.6') END AS annee_construction",
-        f"concat(' ', lower({LETTER}), ' ') AS etiquette_dpe",
-        f"concat(lower({GES_LETTER}), ' ') AS etiquette_ges",
-        "CAST(p_retailprice AS STRING) AS conso_5_usages_par_m2_ep",
-        "CASE WHEN l_discount = 0.05 THEN '95f' ELSE CAST(l_quantity AS STRING) END AS emission_ges_5_usages_par_m2",
-        "CAST(l_extendedprice AS STRING) AS cout_total_5_usages",
-        "concat(' ', l_linestatus) AS type_energie_principale_chauffage",
-    )
-
-
-def certificates(spark: SparkSession, sf: str) -> DataFrame:
-    return lines(spark, sf).selectExpr(
-        "CAST(l_suppkey AS STRING) AS code_insee",
-        f"{LETTER} AS etiquette_dpe",
-        f"{GES_LETTER} AS etiquette_ges",
-        f"lower({KIND}) AS type_batiment",
-        "l_quantity * 4 AS surface_habitable",
-        "CAST(1900 + p_size AS INT) AS annee_construction",
-        "p_retailprice AS conso_energie",
-        "l_quantity AS emission_ges",
-        "l_extendedprice AS cout_energie_annuel",
-        "lower(l_linestatus) AS energie_chauffage",
-        "CAST(l_shipdate AS DATE) AS date_etablissement",
-    )
-
-
-def communes(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers in credit are the known communes, so some sales and dwellings fall outside."""
-    supplier, nation = table(spark, sf, "supplier"), table(spark, sf, "nation")
-    region = table(spark, sf, "region")
-    placed = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).join(
-        region, nation["n_regionkey"] == region["r_regionkey"]
-    )
-    named = placed.where("s_acctbal > 0").selectExpr(
-        "CAST(s_suppkey AS STRING) AS code_insee",
-        "s_name AS nom",
-        "r_name AS departement",
-        "CASE WHEN r_regionkey < 3 THEN 'NORD' ELSE 'SUD' END AS region",
-        "CAST(floor(s_acctbal) AS BIGINT) AS population",
-    )
-    return F.broadcast(named) if supplier.count() <= BROADCAST_ROWS else named
-
-
-def geo(spark: SparkSession, sf: str) -> DataFrame:
-    """Centres on a grid, some missing; geometries missing, empty, broken or whole."""
-    return table(spark, sf, "supplier").selectExpr(
-        "CAST(s_suppkey AS STRING) AS code_insee",
-        "s_name AS nom",
-        "CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE CAST(41 + s_suppkey % 10 AS DOUBLE) END AS latitude",
-        "CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE CAST(s_suppkey % 14 - 5 AS DOUBLE) END AS longitude",
-        "CASE WHEN s_acctbal < 1000 THEN '{bad' WHEN s_acctbal < 2000 THEN '' "
-        "WHEN s_acctbal < 3000 THEN NULL "
-        "ELSE concat('{\"type\":\"Point\",\"coordinates\":[', s_suppkey % 14 - 5, ',', 41 + s_suppkey % 10, ']}') "
-        "END AS geometry_json",
-    )
-
-
-def area_bound(spark: SparkSession, sf: str) -> int:
-    """Most line items of one supplier: bounds every group of sales or dwellings by commune."""
-    return largest_group(table(spark, sf, "lineitem"), ["l_suppkey"])
-
-
-def parent_bound(spark: SparkSession, sf: str) -> int:
-    """Most suppliers of one nation's region: bounds every group of areas by parent."""
-    rows = table(spark, sf, "supplier").count()
-    return rows if rows <= GROUP_LIMIT else largest_group(communes(spark, sf), ["departement"])
-
-
-def prices(spark: SparkSession, sf: str) -> DataFrame:
-    return pricing.reference_prices(sales(spark, sf), largest=area_bound(spark, sf))
-
-
-def fact(spark: SparkSession, sf: str) -> DataFrame:
-    card = durable(pricing.price_card(prices(spark, sf)))
-    return pricing.price_dwellings(
-        certificates(spark, sf), card, communes(spark, sf), label_scale(spark), DS
-    )
-
-
-def mart_commune(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.area_profile(
-        fact(spark, sf),
-        label_scale(spark),
-        communes(spark, sf),
-        parent_size=parent_bound(spark, sf),
-        largest=area_bound(spark, sf),
-    )
-
-
-def mart_commune_type(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.area_type_profile(
-        fact(spark, sf), label_scale(spark), communes(spark, sf), largest=area_bound(spark, sf)
-    )
-
-
-def mart_opportunites(spark: SparkSession, sf: str) -> DataFrame:
-    return profiles.opportunities(
-        mart_commune_type(spark, sf), parent_size=parent_bound(spark, sf)
-    )
+
+    @cached_property
+    def mart_opportunites(self) -> DataFrame:
+        return profiles.opportunities(self.mart_commune_type, parent_size=self.parent_bound)
 
 
 # Filter sets the dashboard queries run with.
