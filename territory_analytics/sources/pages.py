@@ -17,7 +17,7 @@ def page_rows(
 ) -> DataFrame:
     """Result rows of the first ``max_pages`` pages (numbered from 0), ``columns`` only."""
     wanted = pages if max_pages is None else pages.where(F.col("page") < max_pages)
-    rows = wanted.select(*partitions, F.inline("results"))
+    rows = wanted.select(F.inline("results"), *partitions)
     return rows.select(*columns, *partitions) if columns else rows
 
 
