@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def join_groups(left: DataFrame, groups: DataFrame, keys, how: str = "left") -> DataFrame:
-    """Attach per-group columns to rows; ``groups`` holds one row per key."""
+    """Join rows with a table of one row per key: its columns are attached, or it selects rows."""
     renamed = groups.select(
         *[F.col(k).alias(f"_group_{k}") for k in keys],
         *[F.col(c) for c in groups.columns if c not in keys],
     )
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_group_{k}" for k in keys])
+    return left.join(renamed, same, how).drop(*[c for c in renamed.columns if c.startswith("_group_")])

@@ -1,10 +1,10 @@
 """Exact continuous quantiles per group, safe for groups of any size.
 
 The built-in ``percentile`` is exact but holds every distinct value of a group in one task.  That is
-the cheapest plan while the largest group is moderate, which one combinable count proves.  Beyond
-that the quantile is found by counting: rows are counted in value slots, only the slots that hold a
-wanted rank are opened again on a finer grid, and so on until the open slots are small.  No task ever
-holds a whole group, the counts combine before every shuffle, and the result is still exact.
+the cheapest plan for moderate groups, which a combinable count tells apart.  In an oversized group
+the quantile is found by counting: rows are counted in value slots, only the slots that hold a wanted
+rank are opened again on a finer grid, and so on until the open slots are small.  No task ever holds
+such a group, the counts combine before every shuffle, and the result is still exact.
 """
 
 from functools import reduce
@@ -54,13 +54,23 @@ def grouped_quantiles(
     if largest is None:
         largest = largest_group(df, keys, limit)
     if largest <= limit:
-        together = df.repartition(*keys) if gather and keys else df
-        return _one_pass(together, keys, wanted, others)
-    return _by_counting(df, keys, wanted, others, limit)
+        return _one_pass(df, keys, wanted, others, gather)
+    if not keys:
+        return _by_counting(df, keys, wanted, others, limit)
+
+    # At most rows / limit keys, so the table that splits the rows stays small.
+    oversized = durable(df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
+    moderate = join_groups(df, oversized, keys, "left_anti")
+    hot = join_groups(df, oversized, keys, "left_semi")
+    return _one_pass(moderate, keys, wanted, others, gather).unionByName(
+        _by_counting(hot, keys, wanted, others, limit)
+    )
 
 
-def _one_pass(df, keys, wanted, others) -> DataFrame:
+def _one_pass(df, keys, wanted, others, gather) -> DataFrame:
     asked = _shares_by_column(wanted)
+    if gather and keys:
+        df = df.repartition(*keys)
     buffers = [
         F.percentile(column, F.array(*[F.lit(p) for p in shares])).alias(f"_q_{column}")
         for column, shares in asked.items()

@@ -2,12 +2,10 @@
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.numbers import ordered_slot
+from ..storage import durable
 from .joins import join_groups
 from .quantiles import GROUP_LIMIT, largest_group
 
-NULL_SLOT = -(2**62)
-
 
 def rank_in_group(
     df: DataFrame,
@@ -19,30 +17,37 @@ def rank_in_group(
 ) -> DataFrame:
     """Add ``name``: 1 for the greatest ``value`` of the group, equal values share a rank.
 
-    Moderate groups are ranked by one window.  Where a group is larger than ``limit``, distinct
-    values are counted and ranked slot by slot, so one hot group spreads over many tasks.
+    Moderate groups are ranked by one window.  Where a group is larger than ``limit``, its distinct
+    values are counted and ranked instead, see ``_value_ranks``.
     """
     keys = list(keys)
     if largest is None:
         largest = largest_group(df, keys, limit)
+    if largest > limit:
+        return join_groups(df, durable(_value_ranks(df, keys, value, name)), [*keys, value], "inner")
     order = F.col(value).desc_nulls_last()
-    if largest <= limit:
-        return df.withColumn(name, F.rank().over(W.partitionBy(*keys).orderBy(order)).cast("bigint"))
+    return df.withColumn(name, F.rank().over(W.partitionBy(*keys).orderBy(order)).cast("bigint"))
+
+
+def _value_ranks(df, keys, value, name) -> DataFrame:
+    """Rank of every distinct value of a group, without one task holding the group.
+
+    The counted values are range-sorted and stored, which cuts any group into files of even size.  A
+    value's rank is one more than the rows in the files above its own and above it in its own.
+    """
+    falling = F.col(value).desc_nulls_last()
+    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    stored = durable(counted.orderBy(*keys, falling))
+    stored = stored.withColumn("_file", F.col("_metadata.file_path"))
 
-    slot = F.coalesce(ordered_slot(F.col(value).cast("double")), F.lit(NULL_SLOT))
-    values = df.groupBy(*keys, value).agg(F.count("*").alias("_n")).withColumn("_slot", slot)
-    slots = values.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_slot_n"))
+    files = stored.groupBy(*keys, "_file").agg(F.sum("_n").alias("_file_n"), F.max(value).alias("_top"))
     before = W.unboundedPreceding, -1
-    higher_slots = W.partitionBy(*keys).orderBy(F.desc("_slot")).rowsBetween(*before)
-    higher_values = W.partitionBy(*keys, "_slot").orderBy(order).rowsBetween(*before)
-    slots = slots.select(
-        *keys, "_slot", F.coalesce(F.sum("_slot_n").over(higher_slots), F.lit(0)).alias("_above")
+    files_above = W.partitionBy(*keys).orderBy(F.col("_top").desc_nulls_last()).rowsBetween(*before)
+    values_above = W.partitionBy(*keys, "_file").orderBy(falling).rowsBetween(*before)
+    starts = files.select(
+        *keys, "_file", F.coalesce(F.sum("_file_n").over(files_above), F.lit(0)).alias("_above")
     )
-    ranks = join_groups(values, slots, [*keys, "_slot"], "inner").select(
-        *keys,
-        value,
-        (
-            F.lit(1) + F.col("_above") + F.coalesce(F.sum("_n").over(higher_values), F.lit(0))
-        ).cast("bigint").alias(name),
+    within = F.coalesce(F.sum("_n").over(values_above), F.lit(0))
+    return join_groups(stored, starts, [*keys, "_file"], "inner").select(
+        *keys, value, (F.lit(1) + F.col("_above") + within).cast("bigint").alias(name)
     )
-    return join_groups(df, ranks, [*keys, value], "inner")
