@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as V
 from ..functions.labels import band, property_type
 from ..functions.numbers import half_away
-from .quantiles import GROUP_LIMIT, grouped_quantiles, largest_group
+from .quantiles import VALUE_LIMIT, grouped_quantiles, largest_group
 
 WHOLE_AREA = "*"
 SHARES = {"prix_m2_p10": 0.10, "prix_m2_p25": 0.25, "prix_m2_median": 0.50, "prix_m2_p75": 0.75,
@@ -20,7 +20,7 @@ def reference_prices(sales: DataFrame, largest: int | None = None, **limits) ->
     """
     keys = ["code_insee", "type_bien"]
     usable = sales.where((F.col("prix_m2") > 0) & (F.col("surface") > 0))
-    limit = limits.get("limit", GROUP_LIMIT)
+    limit = limits.get("limit", VALUE_LIMIT)
     if largest is None:
         largest = largest_group(usable, keys, limit)
     if largest <= limit:

@@ -7,7 +7,7 @@ from ..functions.labels import is_sieve, mart_wording, opportunity_score, underp
 from ..functions.numbers import half_away, percent_gap, percent_true, ratio
 from ..storage import durable
 from .joins import join_groups
-from .quantiles import GROUP_LIMIT, grouped_quantiles, largest_group
+from .quantiles import GROUP_LIMIT, VALUE_LIMIT, grouped_quantiles, largest_group
 from .ranking import rank_in_group
 
 FLAG = "_sieve"
@@ -80,7 +80,7 @@ def parent_position(
             {centre: (value, 0.5)},
             others=[mean.alias("_mean"), spread.alias("_spread")],
             largest=largest,
-            limit=limit,
+            limit=min(limit, VALUE_LIMIT),
         )
         with_stats = join_groups(df, durable(stats), parent)
     x = F.col(value)

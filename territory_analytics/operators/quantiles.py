@@ -15,7 +15,11 @@ from ..functions.numbers import even_slot, ordered_slot
 from ..storage import durable
 from .joins import join_groups
 
+# Rows of a group one task may sort or buffer in a window, which spills.
 GROUP_LIMIT = 1_000_000
+# Rows of a group whose values may sit in the percentile buffer.  An aggregating task holds up to 128
+# such buffers of some 100 bytes a value on its heap, so this stays near one gigabyte.
+VALUE_LIMIT = 100_000
 GRID = 1024
 # A first slot spans at most 2**52 doubles and every round divides the span by GRID = 2**10.
 MOST_ROUNDS = 7
@@ -40,7 +44,7 @@ def grouped_quantiles(
     wanted: dict[str, tuple[str, float]],
     others: tuple[Column, ...] | list[Column] = (),
     largest: int | None = None,
-    limit: int = GROUP_LIMIT,
+    limit: int = VALUE_LIMIT,
     gather: bool = True,
 ) -> DataFrame:
     """``keys``, the ``others`` aggregates, then one column per wanted ``name: (column, p)``.

@@ -12,7 +12,7 @@ from ..operators import pricing, profiles
 from ..operators.cleaning import plausible
 from ..operators.dimensions import label_scale
 from ..operators.filters import Filters
-from ..operators.quantiles import GROUP_LIMIT, largest_group
+from ..operators.quantiles import GROUP_LIMIT, VALUE_LIMIT, largest_group
 from ..storage import durable
 
 DS = "2026-06-18"
@@ -174,8 +174,9 @@ class Tables:
     @cached_property
     def area_bound(self) -> int:
         """Most line items of one supplier: bounds every group of sales or dwellings by commune."""
-        few = self.item_count <= GROUP_LIMIT
-        return self.item_count if few else largest_group(self.given("lineitem"), ["l_suppkey"])
+        items = self.given("lineitem")
+        few = self.item_count <= VALUE_LIMIT
+        return self.item_count if few else largest_group(items, ["l_suppkey"], VALUE_LIMIT)
 
     @cached_property
     def parent_bound(self) -> int:
@@ -194,7 +195,7 @@ class Tables:
             self.certificates, card, self.communes, label_scale(self.spark), DS
         )
         # Oversized areas are counted in several passes, which then read the stored table.
-        return durable(fact) if self.area_bound > GROUP_LIMIT else fact
+        return durable(fact) if self.area_bound > VALUE_LIMIT else fact
 
     @cached_property
     def mart_commune(self) -> DataFrame:

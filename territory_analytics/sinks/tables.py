@@ -40,20 +40,27 @@ def replace_table(df: DataFrame, root: str, **options) -> int:
 
 
 def add_raw_parts(
-    df: DataFrame, root: str, ds: str, departements, rows_per_part: int = V.ROWS_PER_PART
+    df: DataFrame,
+    root: str,
+    ds: str,
+    departements,
+    rows_per_part: int = V.ROWS_PER_PART,
+    mixed: bool = False,
 ) -> dict[str, int]:
     """Replace the listed départements of one date, leave all others; rows per département back.
 
-    Rows are rebalanced by département, which splits a dominant one over several tasks, and each
-    file is closed after ``rows_per_part`` rows.  Listed départements without rows end up empty.
+    Landed pages lie by département, so their tasks write straight to it.  Where tasks hold a
+    ``mixed`` lot, rows are first rebalanced by département, which splits a dominant one over several
+    tasks.  A file is closed after ``rows_per_part`` rows.  Listed départements without rows end up
+    empty.
     """
     spark, day = df.sparkSession, f"{root}/dt={ds}"
     rows = df.drop("dt").where(F.col("dep").isin(*departements))
     seen = Observation()
     counts = [F.count_if(F.col("dep") == dep).alias(dep) for dep in departements]
+    counted = rows.observe(seen, *counts)
     (
-        rows.observe(seen, *counts)
-        .hint("rebalance", "dep")
+        (counted.hint("rebalance", "dep") if mixed else counted)
         .write.mode("overwrite")
         .options(
             compression="zstd", maxRecordsPerFile=rows_per_part, partitionOverwriteMode="dynamic"

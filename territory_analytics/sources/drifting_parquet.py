@@ -16,23 +16,22 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     return reader.option("pathGlobFilter", pattern).load(root).select("path")
 
 
-def _footer_signatures(batches):
-    """Column names and types of each file, from its footer alone."""
-    for batch in batches:
-        signatures = []
-        for path in batch["path"]:
-            uri = path if "://" in path else path.replace("file:/", "file:///", 1)
-            system, inner = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-            with system.open_input_file(inner) as handle:
-                schema = pq.read_schema(handle)
-            signatures.append(";".join(f"{f.name}:{f.type}" for f in schema))
-        yield pd.DataFrame({"path": batch["path"], "signature": signatures})
+def files_by_schema(files: DataFrame) -> list[list[str]]:
+    """File paths grouped by identical schema; footers are read in tasks, not on the driver."""
 
+    def signatures(batches):
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                uri = path if "://" in path else path.replace("file:/", "file:///", 1)
+                system, inner = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+                with system.open_input_file(inner) as handle:
+                    schema = pq.read_schema(handle)
+                found.append(";".join(f"{f.name}:{f.type}" for f in schema))
+            yield pd.DataFrame({"path": batch["path"], "signature": found})
 
-def files_by_schema(spark: SparkSession, files: DataFrame) -> list[list[str]]:
-    """File paths grouped by identical schema; footers are read in tasks, not on the driver."""
     tasks = max(1, files.count() // FILES_PER_TASK)
-    signed = files.repartition(tasks).mapInPandas(_footer_signatures, "path string, signature string")
+    signed = files.repartition(tasks).mapInPandas(signatures, "path string, signature string")
     groups: dict[str, list[str]] = {}
     for row in signed.sort("signature", "path").toLocalIterator():
         groups.setdefault(row["signature"], []).append(row["path"])
@@ -51,7 +50,7 @@ def read_text_parts(
     files = list_files(spark, root)
     for name, values in (scope or {}).items():
         files = files.where(F.regexp_extract("path", f"/{name}=([^/]+)/", 1).isin(*values))
-    groups = files_by_schema(spark, files)
+    groups = files_by_schema(files)
     if not groups:
         raise FileNotFoundError(f"no part below {root} for {scope or 'any partition'}")
     return reduce(

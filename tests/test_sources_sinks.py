@@ -137,7 +137,7 @@ def test_raw_parts_are_additive_and_bounded(spark, folder):
     assert sinks.add_raw_parts(rows_in.limit(0), folder, "2026-06-18", ["33"], 60) == {"33": 0}
     landed = spark.read.schema("id bigint, dep string").parquet(f"{folder}/dt=2026-06-18")
     assert rows(landed.groupBy("dep").count()) == [("2A", 50)]
-    sinks.add_raw_parts(rows_in, folder, "2026-06-18", ["33", "2A"], 60)
+    sinks.add_raw_parts(rows_in, folder, "2026-06-18", ["33", "2A"], 60, mixed=True)
     per_file = spark.read.parquet(f"{folder}/dt=2026-06-18").groupBy(F.input_file_name()).count()
     assert per_file.agg(F.max("count")).first()[0] <= 60
 
