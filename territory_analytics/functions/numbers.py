@@ -9,8 +9,8 @@ LAST_SLOT = 2**62
 def half_away(value: Column, digits: int = 0) -> Column:
     """Round halves away from zero on the scaled double.
 
-    ``F.round(1.005, 2)`` works on the decimal text of the number and gives 1.01; the reference
-    results scale first and give 1.0.  The sign survives, so a small negative gap reads -0.0.
+    ``F.round(1.005, 2)`` works on the decimal text of the number and gives 1.01; the wanted results
+    scale first and give 1.0.  The sign survives, so a small negative gap reads -0.0.
     """
     scale = F.lit(float(10**digits))
     scaled = value * scale if digits else value

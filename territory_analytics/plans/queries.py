@@ -516,7 +516,7 @@ def map_point_features(t):
 @registered
 def colour_of_every_sale(t):
     sold = t.sales.select("code_insee", "prix_m2")
-    ends = colours.V.UNIT_PRICE_RANGE
+    ends = V.UNIT_PRICE_RANGE
     colour = colours.fill_colour(
         F.col("prix_m2"), F.lit(float(ends[0])), F.lit(float(ends[1])), V.PALETTE_PRICE
     )

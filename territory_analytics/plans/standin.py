@@ -219,6 +219,5 @@ class Tables:
 
 
 # Filter sets the dashboard queries run with.
-NORTH = Filters(regions=("NORD",), prix_m2_min=1000, prix_m2_max=4000)
 ENERGY = Filters(passoires_only=True)
 DEALS = Filters(types_bien=("tous", "appartement", "maison"), opportunite_k=1.0)
