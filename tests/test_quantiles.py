@@ -75,7 +75,7 @@ def test_tightly_packed_values_with_outliers(spark):
     assert got["t"] == pytest.approx(np.quantile(xs, 0.99), rel=1e-15)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.floats(-1e9, 1e9, allow_nan=False, width=32), min_size=1, max_size=60))
 def test_any_values(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in xs], "v double")
