@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from territory_analytics.llm import quality, simhash
+from territory_analytics.llm import decontaminate, mixing, quality, simhash, tokens
 from territory_analytics.llm.common import table
 from territory_analytics.storage import durable
 
@@ -17,9 +17,27 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return simhash.keep_one_per_group(docs)
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages cut out; documents that mostly consist of them go."""
+    return decontaminate.remove_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target of their source serves them."""
+    return mixing.mix(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Files of token ids, and what they hold of each document."""
+    return tokens.encode_and_read(docs)
+
+
 STAGES = [
     ("quality_classifier", good_documents),
     ("simhash_near_dedup", one_of_each_group),
+    ("benchmark_decontamination", without_benchmark),
+    ("mixing", mixed_sources),
+    ("token_planes", token_files),
 ]
 
 #: SQL cannot train the classifier of the first stage.

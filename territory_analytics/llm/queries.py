@@ -1,10 +1,16 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import quality, simhash
+from . import decontaminate, mixing, quality, simhash, tokens
 
 QUERIES = {
+    "op3_token_planes": tokens.token_planes,
     "op4_simhash_near_dedup": simhash.simhash_near_dedup,
+    "op6_mixing": mixing.mixing,
+    "op8_benchmark_decontamination": decontaminate.benchmark_decontamination,
     "op10_quality_classifier": quality.score_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op6_mixing": mixing.ORACLE,
+    "op8_benchmark_decontamination": decontaminate.ORACLE,
+}
