@@ -1,16 +1,19 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import decontaminate, mixing, quality, simhash, tokens
+from . import decontaminate, exact, mixing, quality, simhash, tokens
 
 QUERIES = {
     "op3_token_planes": tokens.token_planes,
     "op4_simhash_near_dedup": simhash.simhash_near_dedup,
     "op6_mixing": mixing.mixing,
+    "op7_exact_dedup": exact.exact_dedup,
     "op8_benchmark_decontamination": decontaminate.benchmark_decontamination,
     "op10_quality_classifier": quality.score_quality,
 }
 
 ORACLE = {
     "op6_mixing": mixing.ORACLE,
+    "op7_exact_dedup": exact.exact_dedup,
+    "op7_exact_dedup": exact.ORACLE,
     "op8_benchmark_decontamination": decontaminate.ORACLE,
 }
