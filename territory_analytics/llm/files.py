@@ -13,10 +13,10 @@ def open_system(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def create(path: str):
-    """A new file for writing; its folder is made if there is none."""
+    """A new file for writing, bytes as they are; its folder is made if there is none."""
     system, name = open_system(path)
     system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-    return system.open_output_stream(name)
+    return system.open_output_stream(name, compression=None)
 
 
 def open_file(path: str):
