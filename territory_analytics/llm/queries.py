@@ -1,8 +1,10 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import decontaminate, exact, mixing, quality, simhash, tokens
+from . import decontaminate, exact, mixing, quality, simhash, tokens, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.score_toxicity,
+    "op2_warc_round_trip": warc.warc_round_trip,
     "op3_token_planes": tokens.token_planes,
     "op4_simhash_near_dedup": simhash.simhash_near_dedup,
     "op6_mixing": mixing.mixing,
@@ -12,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_warc_round_trip": warc.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op7_exact_dedup": exact.exact_dedup,
     "op7_exact_dedup": exact.ORACLE,
