@@ -1,12 +1,13 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import decontaminate, exact, mixing, quality, simhash, tokens, toxicity, warc
+from . import backoff, decontaminate, exact, mixing, quality, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.score_toxicity,
     "op2_warc_round_trip": warc.warc_round_trip,
     "op3_token_planes": tokens.token_planes,
     "op4_simhash_near_dedup": simhash.simhash_near_dedup,
+    "op5_lm_backoff": backoff.lm_backoff,
     "op6_mixing": mixing.mixing,
     "op7_exact_dedup": exact.exact_dedup,
     "op8_benchmark_decontamination": decontaminate.benchmark_decontamination,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_warc_round_trip": warc.ORACLE,
+    "op5_lm_backoff": backoff.ORACLE,
     "op6_mixing": mixing.ORACLE,
     "op7_exact_dedup": exact.exact_dedup,
     "op7_exact_dedup": exact.ORACLE,
