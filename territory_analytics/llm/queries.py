@@ -1,6 +1,6 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import backoff, decontaminate, exact, mixing, quality, simhash, tokens, toxicity, warc
+from . import backoff, decontaminate, exact, mixing, passages, quality, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.score_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_mixing": mixing.mixing,
     "op7_exact_dedup": exact.exact_dedup,
     "op8_benchmark_decontamination": decontaminate.benchmark_decontamination,
+    "op9_repeated_passages": passages.repeats,
     "op10_quality_classifier": quality.score_quality,
 }
 

@@ -13,12 +13,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
-from ..storage import discard, durable
+from ..storage import durable
 from .common import fresh, small_batches, table, text_bytes
 from .components import components
+from .linking import verified_links
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -202,8 +203,7 @@ def keep_one_per_group(
     join), and texts that share a key of sampled shingles, since a fingerprint alone moves by some ten
     bits at a similarity of 0.8.  A candidate counts as a link if the Jaccard similarity of the shingle
     sets, computed from the whole texts, reaches ``similarity``; components of links are the groups.
-    Within a key every text is compared with the smallest one; those it does not match are compared
-    among themselves again until none is left, so a large group costs no pairs of all with all.
+    Within a key texts are compared with a few hubs, so a large group costs no pairs of all with all.
 
     Texts without words are copies of each other.  NULL counts as empty; a NULL id sorts last; of rows
     that agree in id and text one stays.
@@ -218,33 +218,27 @@ def keep_one_per_group(
     )
     nodes = durable(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")))
 
-    # Candidates: texts of one fingerprint, of close fingerprints, then of one key.
+    # Candidates: texts of one fingerprint or one sampled key, and those of close fingerprints.
     with_words = nodes.where(F.size("keys") > 0)
     hubs = durable(with_words.groupBy("fp").agg(F.min("node").alias("hub")))
-    same_print = with_words.join(hubs, "fp").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    by_key = with_words.select(F.explode(F.concat("keys", F.array("fp"))).alias("key"), "node")
     near = close_pairs(hubs, "fp")
-    by_print = (
-        near.join(hubs.select(F.col("fp").alias("a"), F.col("hub").alias("left")), "a")
-        .join(hubs.select(F.col("fp").alias("b"), F.col("hub").alias("right")), "b")
-        .select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b"))
+    left = hubs.select(F.col("fp").alias("a"), F.col("hub").alias("left"))
+    right = hubs.select(F.col("fp").alias("b"), F.col("hub").alias("right"))
+    by_print = durable(
+        near.join(left, "a").join(right, "b").select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b"))
     )
-    first = same_print.unionByName(by_print)
-    open_groups = _groups(with_words.select(F.explode("keys").alias("key"), "node"))
-    candidates = durable(first.unionByName(open_groups.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))).distinct())
-    links = None
-    while True:
-        texts = _texts_of(documents, text, candidates)
-        found = durable(_verified(candidates, texts, similarity))
-        links = found if links is None else durable(links.unionByName(found))
-        matched = found.select(F.col("a").alias("hub"), F.col("b").alias("node"))
-        rest = open_groups.where("node <> hub").join(matched, ["hub", "node"], "left_anti").select("key", "node")
-        open_groups = durable(_groups(rest))
-        discard(candidates)
-        candidates = durable(
-            open_groups.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-        )
-        if candidates.isEmpty():
-            break
+    key = W.partitionBy("key")
+    members = durable(
+        by_key.withColumns({"low": F.min("node").over(key), "high": F.max("node").over(key)})
+        .where("low <> high").select("key", "node")
+    )
+    texts = durable(_texts_of(documents, text, by_print.select("a", "b"), members.select("node")))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, texts, similarity)
+
+    links = verify(by_print).unionByName(verified_links(members, verify))
     roots = components(links)
 
     # Every row of a group but its first goes.
@@ -269,17 +263,12 @@ def keep_one_per_group(
     return once.unionByName(again).drop(rank)
 
 
-def _groups(members: DataFrame) -> DataFrame:
-    """Members of keys that at least two texts share, with the smallest of them as hub."""
-    hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    return members.join(hubs.where("hub <> last").drop("last"), "key")
-
-
-def _texts_of(documents: DataFrame, text: Column, pairs: DataFrame) -> DataFrame:
-    """One text for each node of ``pairs``."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _texts_of(documents: DataFrame, text: Column, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One text for each of ``nodes`` and each end of ``pairs``."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    wanted = nodes.unionByName(ends).distinct()
     texts = documents.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    return texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    return texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
 
 
 def simhash_near_dedup(spark, sf_dir) -> DataFrame:
