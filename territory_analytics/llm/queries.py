@@ -19,7 +19,6 @@ ORACLE = {
     "op2_warc_round_trip": warc.ORACLE,
     "op5_lm_backoff": backoff.ORACLE,
     "op6_mixing": mixing.ORACLE,
-    "op7_exact_dedup": exact.exact_dedup,
     "op7_exact_dedup": exact.ORACLE,
     "op8_benchmark_decontamination": decontaminate.ORACLE,
 }

@@ -443,7 +443,9 @@ def train(texts: list[bytes], toxic: np.ndarray, share: float, seed: int = 11) -
         x = np.vstack([x[labels < 0], embedded(chosen, scores), hidden])
         labels = np.concatenate([labels[labels < 0], y, np.ones(len(hidden))])
         cost = np.where(labels > 0, len(labels) / 2 / (labels > 0).sum(), len(labels) / 2 / (labels < 0).sum())
-        w, bias = _machine(x, labels, cost)
+        # A sentence without words is clean, whatever the others say.
+        empty = np.zeros((1, x.shape[1]))
+        w, bias = _machine(np.vstack([x, empty]), np.append(labels, -1.0), np.append(cost, cost.sum() / 10))
         weights = whiten @ w
         scores = word_scores(weights)
     decision = worst(scores)[1] + bias

@@ -1,0 +1,165 @@
+"""Archives and token files: round trips, and the awkward rows."""
+
+import base64
+import gzip
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from territory_analytics.llm import tokens, warc
+
+
+def b32(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+PAGES = [
+    (1, "http://a.example/x y", "<p>one</p>"), (2, None, "<p>one</p>"), (3, "http://b.example/é", "é" * 500),
+    (4, "http://c.example", ""), (5, "u", None), (None, "u", "<p>one</p>"), (6, "u", "a\r\n\r\nWARC/1.1\r\n\r\n"),
+    (7, "u", "x" * 100_000), (7, "u", "x" * 100_000), (None, "u", "only here"),
+]
+
+
+def pages(spark):
+    rows = [(*r, "c", True) for r in PAGES]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, payload string, last boolean")
+
+
+@pytest.mark.parametrize("chunk_bytes", [7, 1 << 16])
+def test_pages_come_back(spark, folder, chunk_bytes):
+    manifest = warc.archive_pages(pages(spark), folder, chunk_bytes=chunk_bytes, archive_bytes=400)
+    assert manifest.count() > 1
+    chunks = warc.read_chunks(manifest, chunk_bytes).collect()
+    by_record = {}
+    for r in chunks:
+        assert len(r.data or b"") <= chunk_bytes
+        if r.record_type == "response" and r.record != 7:
+            by_record[r.record, r.digest_so_far] = r
+    got = sorted(
+        ((r.record, r.bytes_so_far, r.digest_so_far, r.record_type, r.refers_to) for r in chunks if r.last), key=repr
+    )
+    largest = {}
+    for page_id, _, html in PAGES:
+        largest[html or ""] = max(largest.get(html or "", -1), -1 if page_id is None else page_id)
+    expected = []
+    for page_id, _, html in PAGES:
+        keep = None if largest[html or ""] < 0 else largest[html or ""]
+        own = page_id == keep
+        expected.append(
+            (page_id, len((html or "").encode()), b32(html), "response" if own else "revisit", None if own else keep)
+        )
+    assert got == sorted(expected, key=repr)
+
+
+def test_chunks_carry_running_digests(spark, folder):
+    manifest = warc.archive_pages(pages(spark).where("page_id = 3"), folder, chunk_bytes=64)
+    rows = sorted(warc.read_chunks(manifest, 64).collect(), key=lambda r: r.chunk_no)
+    whole = ("é" * 500).encode()
+    assert [r.chunk_no for r in rows] == list(range(16)) and b"".join(r.data for r in rows) == whole
+    for r in rows:
+        digest = hashlib.sha1(whole[: r.bytes_so_far]).digest()
+        assert r.digest_so_far == base64.b32encode(digest).decode()
+    assert [r.last for r in rows] == [False] * 15 + [True]
+
+
+def test_small_payloads_are_written_out(spark, folder):
+    manifest = warc.archive_pages(pages(spark), folder, least_bytes=50)
+    rows = [r for r in warc.read_chunks(manifest).collect() if r.last]
+    assert {r.record for r in rows if r.record_type == "revisit"} == set()  # only the repeated row 7 is large
+    assert sum(r.record_type == "response" for r in rows) == len(PAGES)
+
+
+def test_damage_is_noticed(folder):
+    writer = warc.ArchiveWriter(f"{folder}/x.warc.gz")
+    data = b"payload" * 30
+    writer.begin(1, "u", len(data), hashlib.sha1(data).hexdigest(), False, None)
+    writer.add(data)
+    writer.end()
+    writer.close()
+    with open(f"{folder}/x.warc.gz", "rb") as f:
+        plain = gzip.decompress(f.read())
+    with open(f"{folder}/y.warc.gz", "wb") as f:
+        f.write(gzip.compress(plain.replace(b"payload", b"paylost", 1)))
+    with open(f"{folder}/y.warc.gz", "rb") as f, pytest.raises(ValueError, match="digest"):
+        list(warc.archive_chunks(f, 50))
+    writer = warc.ArchiveWriter(f"{folder}/z.warc.gz")
+    writer.begin(1, "u", len(data), hashlib.sha1(data).hexdigest(), False, None)
+    writer.add(data[:10])
+    with pytest.raises(ValueError, match="missing"):
+        writer.end()
+
+
+def test_no_pages_no_archive(spark, folder):
+    manifest = warc.archive_pages(pages(spark).limit(0), folder)
+    assert manifest.count() == 0 and warc.read_chunks(manifest).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=200), st.booleans())
+def test_planes_round_trip(ids, bits):
+    array = np.array(ids, "<u4")
+    planes = tokens.to_planes(array, bits)
+    assert len(planes) == (-(-max(ids, default=0).bit_length() // (1 if bits else 8)))
+    assert (tokens.from_planes(planes, len(ids), bits) == array).all()
+
+
+@pytest.mark.parametrize("bits", [True, False])
+def test_documents_cross_blocks(folder, bits):
+    documents = [(5, [1, 2, 3]), (None, []), (6, list(range(100, 120))), (7, [70_000]), (7, [1])]
+    writer = tokens.Writer(f"{folder}/a.ids", bits, block_ids=7)
+    for doc_id, ids in documents:
+        writer.add(doc_id, np.array(ids, "<u4"))
+    writer.close()
+    reader = tokens.Reader(f"{folder}/a.ids")
+    assert [(d, [int(x) for p in pieces for x in p]) for d, pieces in reader.documents()] == documents
+    assert reader.block(1).tolist() == [104, 105, 106, 107, 108, 109, 110]
+    with open(f"{folder}/a.ids", "r+b") as f:
+        f.truncate(40)
+    with pytest.raises(ValueError):
+        tokens.Reader(f"{folder}/a.ids")
+
+
+TEXTS = [
+    "", None, " \n\t ", "Hello, World's end!  they're 42nd", "a<|endoftext|>b <|startoftext|>", "ÉCOLE café ﬁ ½",
+    "x y z \x1c \x00 \x85", "日本語 テスト", "don't DON'T 's 't", "a" * 5000, "$$$###%%% a1b2c3", "ΑΣ ΣΑΣ", "İstanbul ß",
+    "I'LL we'Ve", "~!@#^&*()_+{}|:<>?", "👍🏽 ok", "a\x7fb \x01\x02",
+]
+
+
+def library_ids(text):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(tokens.default_vocabulary()).encode(text or "", add_special_tokens=False).ids
+    return [*found, tokens.END_ID]
+
+
+def test_words_have_the_ids_of_the_library():
+    encode = tokens.Encoder(tokens.default_vocabulary()).encode
+    found = [[*ids.tolist(), tokens.END_ID] for ids in encode([(t or "").encode() for t in TEXTS])]
+    assert found == [library_ids(t) for t in TEXTS]
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_WORDS", 3)
+    encoder = tokens.Encoder(tokens.default_vocabulary())
+    texts = [b"one two three four five", b"six one", "sieben".encode() * 20, b"one"]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert [*ids.tolist(), 1] == library_ids(text.decode())
+        assert len(encoder.known) <= 5
+
+
+def test_files_of_a_table(spark):
+    rows = [(k, t, 9) for k, t in enumerate(TEXTS)] + [(None, "no id", 1), (3, "again", 1), (3, "again", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, start int")
+    got = sorted((tuple(r) for r in tokens.encode_and_read(docs, block_ids=64).collect()), key=lambda r: r[1])
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    expected, start = [], 0
+    for doc_id, text, _ in order:
+        ids = library_ids(text)
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert got == expected
+    assert tokens.encode_and_read(docs.limit(0)).count() == 0
