@@ -378,7 +378,8 @@ def train(texts: list[bytes], toxic: np.ndarray, share: float, seed: int = 11) -
         names = {w for chunk in set(chunks) for w in of_chunk[chunk][0]}
         counts[int(bad)].update(names)
         starts = _sentence_starts(np.array([of_chunk[c][1] for c in chunks], bool)).tolist() if chunks else []
-        documents.append([chunks[a:b] for a, b in zip(starts, [*starts[1:], len(chunks)], strict=True)])
+        edges = [*starts, len(chunks)]
+        documents.append([chunks[a:b] for a, b in zip(edges, edges[1:])])
     vocabulary = list(number)
     clean_names, toxic_names = (Counter({vocabulary[k]: n for k, n in c.items()}) for c in counts)
     landmarks = _landmarks(toxic_names, clean_names, int(toxic.sum()), int((~toxic).sum()))
