@@ -202,3 +202,41 @@ def test_one_document_in_two_rows_is_no_repetition(spark):
     text = prose(90)
     docs = spark.createDataFrame([(1, text), (1, text), (2, prose(90))], "doc_id long, text string")
     assert passages.repeated_passages(docs).count() == 0
+
+
+def test_changed_paragraphs_are_linked(spark):
+    """Exact links among all pairs, with a band made of one common line and little else."""
+    rng = random.Random(9)
+    line = prose(8, rng)
+    texts = [f"{prose(7, rng)} {line} {prose(7, rng)}" for _ in range(150)]
+    whole = prose(passages.PARAGRAPH, rng).split()
+    for k in (0, 1, passages.PARAGRAPH - 1):
+        texts.append(" ".join([*whole[:k], "other", *whole[k + 1 :]]))
+    texts.append(" ".join(whole))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = {frozenset(r) for r in passages.links(docs, "text", 0.8).collect()}
+
+    def sets(text):
+        words = text.split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    grams = [passages.shingles(t.encode().split()) for t in texts]
+    units = [int(passages.identity(g, np.array([0]))[0]) for g in grams]
+    starts = [passages.starts(g).tolist() for g in grams]
+    near = set()
+    for a in range(len(texts)):
+        for b in range(a):
+            x, y = sets(texts[a]), sets(texts[b])
+            if len(x & y) / len(x | y) >= 0.8 and starts[a] and starts[b]:
+                near.add(frozenset((units[a], units[b])))
+    assert all(s in ([], [0]) for s in starts)
+    assert found <= near and len(near - found) <= len(near) // 10
+
+
+def test_map_names_every_paragraph(spark):
+    rng = random.Random(3)
+    units = [rng.getrandbits(64) - 2**63 for _ in range(500)] + [0, -1, 2**24 - 1, -(2**63)]
+    bits = np.frombuffer(passages._map_of(spark.createDataFrame([(u,) for u in units], "unit long")), np.uint8)
+    places = {u & (2**24 - 1) for u in units}
+    assert len(bits) == 2**24 // 8
+    assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == places
