@@ -117,3 +117,7 @@ AREA_HEADROOM = 20
 AREA_SLIDER_LEAST = 150
 ROWS_PER_PART = 50000
 SNAPSHOT_ROWS = 500000
+
+# --- Fixed values: time zone of the business date, property types where a mart has none ----------
+BUSINESS_ZONE = "Europe/Paris"
+DEFAULT_TYPES = ("appartement", "maison")

@@ -3,7 +3,9 @@
 from pyspark.sql import Column, functions as F
 
 SLOTS_PER_UNIT = 64
+# Slots of the infinities, and of NaN, which sorts above everything.
 LAST_SLOT = 2**62
+NAN_SLOT = 2**63 - 1
 
 
 def half_away(value: Column, digits: int = 0) -> Column:
@@ -47,8 +49,14 @@ def ordered_slot(value: Column, per_unit: int = SLOTS_PER_UNIT) -> Column:
     A logarithmic grid: about 1.5 % wide slots, at most some 90 000 over the whole double range.
     It depends on the value alone, so a retried task puts a row in the same slot.
     """
-    slot = F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit).cast("bigint")
-    return F.when(F.isnan(value), F.lit(LAST_SLOT)).otherwise(slot)
+    infinite = F.lit(float("inf"))
+    slot = F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit)
+    return (
+        F.when(F.isnan(value), F.lit(NAN_SLOT))
+        .when(value == infinite, F.lit(LAST_SLOT))
+        .when(value == -infinite, F.lit(-LAST_SLOT))
+        .otherwise(slot.cast("bigint"))
+    )
 
 
 def even_slot(value: Column, low: Column, high: Column, width: int) -> Column:

@@ -5,6 +5,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def join_groups(left: DataFrame, groups: DataFrame, keys, how: str = "left") -> DataFrame:
     """Join rows with a table of one row per key: its columns are attached, or it selects rows."""
     renamed = groups.select(

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as V
 from ..functions.labels import band, property_type
 from ..functions.numbers import half_away
-from .quantiles import VALUE_LIMIT, grouped_quantiles, largest_group
+from .quantiles import grouped_quantiles, largest_group
 
 WHOLE_AREA = "*"
 SHARES = {"prix_m2_p10": 0.10, "prix_m2_p25": 0.25, "prix_m2_median": 0.50, "prix_m2_p75": 0.75,
@@ -15,16 +15,14 @@ SHARES = {"prix_m2_p10": 0.10, "prix_m2_p25": 0.25, "prix_m2_median": 0.50, "pri
 def reference_prices(sales: DataFrame, largest: int | None = None, **limits) -> DataFrame:
     """Median unit price by (area, type, floor-area band), with band ``*`` for the whole area.
 
-    Each sale is counted in its band and in ``*``, so one scan and one shuffle give both levels; the
-    doubling happens after the shuffle, whose keys also serve the finer grouping.
+    Each sale is counted in its band and in ``*``, so one scan and one shuffle give both levels; counts
+    of equal prices combine before it.
     """
     keys = ["code_insee", "type_bien"]
     usable = sales.where((F.col("prix_m2") > 0) & (F.col("surface") > 0))
-    limit = limits.get("limit", VALUE_LIMIT)
     if largest is None:
-        largest = largest_group(usable, keys, limit)
-    if largest <= limit:
-        usable = usable.select(*keys, "surface", "prix_m2").repartition(*keys)
+        largest = largest_group(usable, keys)
+    usable = usable.select(*keys, "surface", "prix_m2")
     levels = F.explode(F.array(band(F.col("surface")), F.lit(WHOLE_AREA))).alias("tranche_surface")
     return grouped_quantiles(
         usable.select(*keys, levels, "prix_m2"),

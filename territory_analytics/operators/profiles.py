@@ -7,7 +7,7 @@ from ..functions.labels import is_sieve, mart_wording, opportunity_score, underp
 from ..functions.numbers import half_away, percent_gap, percent_true, ratio
 from ..storage import durable
 from .joins import join_groups
-from .quantiles import GROUP_LIMIT, VALUE_LIMIT, grouped_quantiles, largest_group
+from .quantiles import VALUE_LIMIT, grouped_quantiles, largest_group
 from .ranking import rank_in_group
 
 FLAG = "_sieve"
@@ -54,35 +54,23 @@ def parent_position(
     z: str,
     median: str | None = None,
     largest: int | None = None,
-    limit: int = GROUP_LIMIT,
+    limit: int = VALUE_LIMIT,
 ) -> DataFrame:
     """Add the percent gap to the parent median and the z-score among the rows of one parent.
 
-    Moderate parents are one window.  Without a known bound the table is stored and counted first;
-    where a parent exceeds ``limit`` its mean, deviation and median are aggregated, combining before
-    the shuffle, and joined back, so no task gathers a whole parent.
+    One plan at every size: mean, deviation and median of each parent are aggregated and joined back,
+    so no task gathers a whole parent.  ``largest`` bounds the rows per parent where the caller knows it.
     """
     centre = median or "_median"
-    if largest is None or largest > limit:
-        df = durable(df)
-        largest = largest_group(df, parent, limit)
-    mean, spread = F.avg(value), F.stddev_pop(value)
-    if largest <= limit:
-        siblings = W.partitionBy(*parent)
-        middle = F.median(value).over(siblings)
-        with_stats = df.withColumns(
-            {"_mean": mean.over(siblings), "_spread": spread.over(siblings), centre: middle}
-        )
-    else:
-        stats = grouped_quantiles(
-            df.select(*parent, value),
-            parent,
-            {centre: (value, 0.5)},
-            others=[mean.alias("_mean"), spread.alias("_spread")],
-            largest=largest,
-            limit=min(limit, VALUE_LIMIT),
-        )
-        with_stats = join_groups(df, durable(stats), parent)
+    stats = grouped_quantiles(
+        df.select(*parent, value),
+        parent,
+        {centre: (value, 0.5)},
+        others=[F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_spread")],
+        largest=largest,
+        limit=limit,
+    )
+    with_stats = join_groups(df, stats, parent)
     x = F.col(value)
     placed = with_stats.withColumns(
         {
@@ -123,10 +111,10 @@ def area_profile(
 
     ``parent_size`` bounds the areas per parent; the dimension gives it without running the summary.
     """
-    named = area_summary(fact, scale, **limits).join(communes, "code_insee")
+    # Read several times from here on: by the statistics, the rows they join and the ranks.
+    named = durable(area_summary(fact, scale, **limits).join(communes, "code_insee"))
     parent = ["departement"]
-    if parent_size is None or parent_size > GROUP_LIMIT:
-        named = durable(named)
+    if parent_size is None:
         parent_size = largest_group(named, parent)
     placed = parent_position(
         named, parent, "prix_m2_median", "indice_sous_cotation", "z_prix_dpt", largest=parent_size
@@ -179,8 +167,9 @@ def opportunities(
 
     The z-score uses the mean, the percent gap the median of the parent.
     """
+    backed = durable(profile.where(F.col("nb_dpe") >= least))
     placed = parent_position(
-        profile.where(F.col("nb_dpe") >= least),
+        backed,
         ["departement", "type_bien"],
         "prix_m2_median",
         "ecart_pct",

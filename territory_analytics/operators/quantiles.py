@@ -28,14 +28,14 @@ _METRIC, _VALUE, _ALL = "_metric", "_value", "_all"
 
 
 def largest_group(df: DataFrame, keys, limit: int = GROUP_LIMIT) -> int:
-    """Upper bound of the rows per group: the table's rows if they are few, else the biggest group.
+    """Rows of the biggest group.
 
-    Both counts combine map-side and bring one number back.
+    One job: counts combine before the shuffle and one number comes back.  ``limit`` is what the caller
+    compares it with.
     """
-    rows = df.count()
-    if rows <= limit or not keys:
-        return rows
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    if not keys:
+        return df.count()
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
 def grouped_quantiles(
@@ -76,7 +76,7 @@ def _one_pass(df, keys, wanted, others, gather) -> DataFrame:
     if gather and keys:
         df = df.repartition(*keys)
     buffers = [
-        F.percentile(column, F.array(*[F.lit(p) for p in shares])).alias(f"_q_{column}")
+        F.percentile(_one_zero(column), F.array(*[F.lit(p) for p in shares])).alias(f"_q_{column}")
         for column, shares in asked.items()
     ]
     grouped = df.groupBy(*keys).agg(*others, *buffers)
@@ -90,6 +90,11 @@ def _one_pass(df, keys, wanted, others, gather) -> DataFrame:
     )
 
 
+def _one_zero(column: str) -> Column:
+    """The column as a double with a single zero, as grouping has it."""
+    return F.col(column).cast("double") + F.lit(0.0)
+
+
 def _shares_by_column(wanted) -> dict[str, list[float]]:
     asked: dict[str, list[float]] = {}
     for column, p in wanted.values():
@@ -113,7 +118,7 @@ def _by_counting(df, keys, wanted, others, limit) -> DataFrame:
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias(_METRIC), F.col(c).cast("double").alias(_VALUE))
+                    F.struct(F.lit(c).alias(_METRIC), _one_zero(c).alias(_VALUE))
                     for c in asked
                 ]
             )

@@ -7,6 +7,10 @@ from .joins import join_groups
 from .quantiles import GROUP_LIMIT, largest_group
 
 
+# Distinct values that one task sorts again.
+VALUES_PER_FILE = 1_000_000
+
+
 def rank_in_group(
     df: DataFrame,
     keys,
@@ -17,14 +21,24 @@ def rank_in_group(
 ) -> DataFrame:
     """Add ``name``: 1 for the greatest ``value`` of the group, equal values share a rank.
 
-    Moderate groups are ranked by one window.  Where a group is larger than ``limit``, its distinct
-    values are counted and ranked instead, see ``_value_ranks``.
+    Moderate groups are ranked by one window.  Groups larger than ``limit`` are split off, and their
+    distinct values are counted and ranked instead, see ``_value_ranks``; both give the same ranks.
     """
     keys = list(keys)
     if largest is None:
         largest = largest_group(df, keys, limit)
-    if largest > limit:
-        return join_groups(df, durable(_value_ranks(df, keys, value, name)), [*keys, value], "inner")
+    if largest <= limit:
+        return _window_ranks(df, keys, value, name)
+    # At most rows / limit keys.
+    oversized = durable(df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
+    moderate = join_groups(df, oversized, keys, "left_anti")
+    hot = join_groups(df, oversized, keys, "left_semi")
+    ranks = durable(_value_ranks(hot, keys, value, name))
+    counted = join_groups(hot, ranks, [*keys, value], "inner")
+    return _window_ranks(moderate, keys, value, name).unionByName(counted)
+
+
+def _window_ranks(df, keys, value, name) -> DataFrame:
     order = F.col(value).desc_nulls_last()
     return df.withColumn(name, F.rank().over(W.partitionBy(*keys).orderBy(order)).cast("bigint"))
 
@@ -37,7 +51,7 @@ def _value_ranks(df, keys, value, name) -> DataFrame:
     """
     falling = F.col(value).desc_nulls_last()
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    stored = durable(counted.orderBy(*keys, falling))
+    stored = durable(counted.orderBy(*keys, falling), maxRecordsPerFile=VALUES_PER_FILE)
     stored = stored.withColumn("_file", F.col("_metadata.file_path"))
 
     files = stored.groupBy(*keys, "_file").agg(F.sum("_n").alias("_file_n"), F.max(value).alias("_top"))

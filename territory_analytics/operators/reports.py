@@ -109,8 +109,10 @@ def signals(market_rows: DataFrame) -> DataFrame:
     """One row: the dearest commune and the one with the greatest share of sieves."""
 
     def best(column):
-        known = F.when(F.col(column).isNotNull(), F.struct(F.col(column), F.col("commune")))
-        return F.max(known)
+        # As in ``top_rows``: the greatest value, ties go to the first name.
+        known = F.when(F.col(column).isNotNull(), F.struct(-F.col(column), F.col("commune").isNull(), F.col("commune")))
+        first = F.min(F.struct(known.isNull().alias("none"), known.alias("known"), F.struct(column, "commune").alias("row")))
+        return F.when(~first["none"], first["row"])
 
     return market_rows.agg(best("prix_m2").alias("_price"), best("pct_passoires").alias("_share")).select(
         F.col("_price.commune").alias("commune_plus_chere"),

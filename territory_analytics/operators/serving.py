@@ -6,7 +6,9 @@ from .. import fixed_values as V
 from ..functions.colours import feature_json, fill_colour, geometry, palette_of
 from ..functions.labels import opportunity_score, raw_score, serving_wording
 from ..functions.numbers import down_to_step, half_even
-from .filters import Filters, commune_grain, dwelling_grain, predicate, typed_grain
+from ..storage import durable
+from .filters import COMMUNES, DWELLINGS, TYPED, Filters, for_table, predicate
+from .joins import fresh
 from .latest import latest_partition
 
 COMPARED = ("prix_m2", "pct_passoires", "conso_energie_med", "indice_sous_cotation")
@@ -72,19 +74,23 @@ def opportunity_view(mart_opportunites: DataFrame, geo: DataFrame) -> DataFrame:
     )
 
 
+def market_rows(mart_commune: DataFrame, geo: DataFrame, filters: Filters = Filters()) -> DataFrame:
+    """Filtered communes in no order, which is what figures over them need."""
+    return market_view(mart_commune, geo).where(predicate(for_table(filters, COMMUNES)))
+
+
 def market(mart_commune: DataFrame, geo: DataFrame, filters: Filters = Filters()) -> DataFrame:
     """Filtered communes, dearest first."""
-    rows = market_view(mart_commune, geo).where(predicate(commune_grain(filters)))
-    return rows.orderBy(F.desc_nulls_last("prix_m2"))
+    return market_rows(mart_commune, geo, filters).orderBy(F.desc_nulls_last("prix_m2"))
 
 
 def add_missing(df: DataFrame, name: str, kind: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast(kind))
 
 
-def map_points(market_rows: DataFrame) -> DataFrame:
+def map_points(rows: DataFrame) -> DataFrame:
     """Rows that can be placed on the map."""
-    return add_missing(market_rows, "geometry_json", "string").dropna(
+    return add_missing(rows, "geometry_json", "string").dropna(
         subset=["latitude", "longitude"]
     )
 
@@ -111,12 +117,13 @@ def coloured(rows: DataFrame, metric: str) -> DataFrame:
 
 def map_features(rows: DataFrame, metric: str) -> DataFrame:
     """One GeoJSON feature per row with a readable geometry; every column becomes a property."""
-    shaped = coloured(rows, metric).withColumn("_geometry", geometry(F.col("geometry_json")))
+    shape = fresh(rows, "_geometry")
+    shaped = coloured(rows, metric).withColumn(shape, geometry(F.col("geometry_json")))
     properties = F.struct(*rows.columns, "fill_color")
-    return shaped.where(F.col("_geometry").isNotNull()).select(
+    return shaped.where(F.col(shape).isNotNull()).select(
         *rows.columns,
         "fill_color",
-        feature_json(F.col("_geometry"), properties).alias("feature"),
+        feature_json(F.col(shape), properties).alias("feature"),
     )
 
 
@@ -145,18 +152,21 @@ def map_centre(rows: DataFrame) -> DataFrame:
     )
 
 
+def _types(mart_commune_type: DataFrame) -> DataFrame:
+    """Distinct known types; the default ones where the mart has none."""
+    found = mart_commune_type.select("type_bien").where(F.col("type_bien").isNotNull()).distinct()
+    default = found.sparkSession.createDataFrame([(t,) for t in V.DEFAULT_TYPES], "type_bien string")
+    nothing = found.agg((F.count("*") == 0).alias("none")).scalar()
+    return found.unionByName(default.where(nothing))
+
+
 def present_types(mart_commune_type: DataFrame) -> DataFrame:
-    return (
-        mart_commune_type.select("type_bien")
-        .where(F.col("type_bien").isNotNull())
-        .distinct()
-        .orderBy("type_bien")
-    )
+    return _types(mart_commune_type).orderBy("type_bien")
 
 
-def slider_bounds(market_rows: DataFrame) -> DataFrame:
+def slider_bounds(rows: DataFrame) -> DataFrame:
     """One row of slider ends: prices to the hundred, areas to the ten."""
-    ends = market_rows.agg(
+    ends = rows.agg(
         F.min("prix_m2").alias("low"), F.max("prix_m2").alias("high"), F.max("surface").alias("area")
     )
     largest = (down_to_step(F.col("area"), V.AREA_STEP) + V.AREA_HEADROOM).cast("bigint")
@@ -171,10 +181,12 @@ def slider_bounds(market_rows: DataFrame) -> DataFrame:
     )
 
 
-def filter_choices(market_rows: DataFrame, mart_commune_type: DataFrame) -> DataFrame:
+def filter_choices(rows: DataFrame, mart_commune_type: DataFrame) -> DataFrame:
     """Every selectable value as a row (filter, value), sorted inside each filter."""
-    places = market_rows.unpivot([], ["region", "departement", "commune"], "filtre", "valeur")
-    types = mart_commune_type.select(F.lit("type_bien").alias("filtre"), F.col("type_bien").alias("valeur"))
+    places = rows.unpivot([], ["region", "departement", "commune"], "filtre", "valeur")
+    types = _types(mart_commune_type).select(
+        F.lit("type_bien").alias("filtre"), F.col("type_bien").alias("valeur")
+    )
     scale = places.sparkSession.createDataFrame(
         [("etiquette", name) for name in V.LABELS], "filtre string, valeur string"
     )
@@ -184,7 +196,7 @@ def filter_choices(market_rows: DataFrame, mart_commune_type: DataFrame) -> Data
 
 def filter_options(mart_commune: DataFrame, mart_commune_type: DataFrame, geo: DataFrame):
     """Choices and slider bounds over the whole market with any evidence."""
-    rows = market(mart_commune, geo, Filters(nb_dpe_min=1))
+    rows = market_rows(mart_commune, geo, Filters(nb_dpe_min=1))
     return filter_choices(rows, mart_commune_type), slider_bounds(rows)
 
 
@@ -194,7 +206,7 @@ def label_counts(fact: DataFrame, communes: DataFrame, filters: Filters = Filter
     names = communes.select("code_insee", F.col("nom").alias("commune"), "departement", "region")
     named = current.join(names, "code_insee")
     return (
-        named.where(predicate(dwelling_grain(filters)))
+        named.where(predicate(for_table(filters, DWELLINGS)))
         .groupBy("commune", "etiquette")
         .agg(F.count("*").alias("nb"))
     )
@@ -207,10 +219,11 @@ def label_distribution(
     top_n: int = V.DISTRIBUTION_TOP_N,
 ) -> DataFrame:
     """Label counts of the ``top_n`` communes with most dwellings; ties go to the first name."""
-    counts = label_counts(fact, communes, filters)
+    # Stored: the totals and the result both read the counts, which are as many as communes and labels.
+    counts = durable(label_counts(fact, communes, filters))
     totals = counts.where(F.col("commune").isNotNull()).groupBy("commune").agg(F.sum("nb").alias("total"))
     top = totals.orderBy(F.desc("total"), "commune").limit(top_n).select("commune")
-    return counts.join(F.broadcast(top), "commune", "left_semi").orderBy("commune", "etiquette")
+    return counts.join(top, "commune", "left_semi").orderBy("commune", "etiquette")
 
 
 def pick_opportunities(rows: DataFrame, k: float) -> DataFrame:
@@ -237,9 +250,9 @@ def serve_opportunities(
     filters: Filters = Filters(),
 ) -> DataFrame:
     """Filtered opportunities; the market stands in where the filters leave no scored row."""
-    rows = opportunity_view(mart_opportunites, geo).where(predicate(typed_grain(filters)))
+    rows = opportunity_view(mart_opportunites, geo).where(predicate(for_table(filters, TYPED)))
     if rows.isEmpty():
-        rows = market_view(mart_commune, geo).where(predicate(commune_grain(filters)))
+        rows = market_rows(mart_commune, geo, filters)
     return pick_opportunities(rows, filters.opportunite_k)
 
 
@@ -257,7 +270,7 @@ def compare(
     mart_commune: DataFrame, geo: DataFrame, communes: tuple[str, ...] = (),
     filters: Filters = Filters(nb_dpe_min=1),
 ) -> DataFrame:
-    return chosen_communes(market(mart_commune, geo, filters), communes)
+    return chosen_communes(market_rows(mart_commune, geo, filters), communes)
 
 
 def compare_long(rows: DataFrame, metrics=COMPARED) -> DataFrame:

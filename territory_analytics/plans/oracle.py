@@ -4,6 +4,7 @@ Each text stands on shared WITH parts that name the stand-in tables and the mart
 """
 
 from .. import fixed_values as V
+from ..functions.colours import palette_of
 from .standin import DS
 
 _KIND = (
@@ -471,10 +472,10 @@ ORACLE = {
           min(indice_sous_cotation) AS ecart_min, round(avg(pct_passoires), 8) AS pct_passoires_moyen,
           count(*) FILTER (pct_passoires >= 20) AS double_signal FROM served"""),
     "signals": _with("shown", """
-        SELECT (SELECT commune FROM shown ORDER BY prix_m2 DESC NULLS LAST, commune DESC LIMIT 1)
+        SELECT (SELECT commune FROM shown ORDER BY prix_m2 DESC NULLS LAST, commune LIMIT 1)
             AS commune_plus_chere,
           (SELECT max(prix_m2) FROM shown) AS prix_m2_max,
-          (SELECT commune FROM shown ORDER BY pct_passoires DESC NULLS LAST, commune DESC LIMIT 1)
+          (SELECT commune FROM shown ORDER BY pct_passoires DESC NULLS LAST, commune LIMIT 1)
             AS commune_renovation,
           (SELECT max(pct_passoires) FROM shown) AS pct_passoires_max"""),
     "top_price": _with("shown", """
@@ -517,6 +518,29 @@ ORACLE = {
         SELECT commune,
           {_colour('pct_passoires', '(SELECT low FROM ends)', '(SELECT high FROM ends)', V.PALETTE_SIEVES)},
           longitude AS lon, latitude AS lat FROM located"""),
+    "map_opportunities": _with("deals", f"""
+        , located AS ({_LOCATED.replace('shown', 'deals')}), ends AS ({_range('located', 'score_opportunite')})
+        SELECT commune, type_bien, {_colour('score_opportunite', '(SELECT low FROM ends)',
+          '(SELECT high FROM ends)', palette_of('score_opportunite'))}
+        FROM located WHERE json_valid(geometry_json) AND geometry_json <> ''"""),
+    "map_layer_points": _with("shown", f"""
+        , located AS ({_LOCATED}), ends AS ({_range('located', 'pct_passoires')})
+        SELECT commune,
+          {_colour('pct_passoires', '(SELECT low FROM ends)', '(SELECT high FROM ends)', V.PALETTE_SIEVES)},
+          longitude AS lon, latitude AS lat FROM located"""),
+    "dimension_tables": """
+        SELECT 'dim_commune' AS dimension, CAST(s_suppkey AS VARCHAR) AS cle FROM supplier
+        UNION SELECT 'dim_commune', CAST(c_custkey AS VARCHAR) FROM customer
+        UNION SELECT 'dim_dpe', unnest(['A', 'B', 'C', 'D', 'E', 'F', 'G'])
+        UNION SELECT 'dim_type_bien', unnest(['appartement', 'maison', 'autre'])""",
+    "arrondissement_names": """
+        SELECT CASE WHEN c_nationkey % 3 = 1 THEN 'Lyon ' || (CASE c_custkey % 9 WHEN 0 THEN '1er'
+            ELSE (c_custkey % 9 + 1) || 'e' END) || ' Arrondissement'
+          ELSE 'Paris 2e Arrondissement' END AS member, count(*) AS n
+        FROM customer WHERE c_nationkey % 3 = 1 OR (c_nationkey % 3 = 0 AND c_custkey % 20 = 1) GROUP BY 1""",
+    "default_types": "SELECT unnest(['appartement', 'maison']) AS type_bien",
+    "failed_gate": _with("communes", f"""
+        SELECT code_insee, population, '{DS}' AS dt, population AS dans_mart FROM communes"""),
     "colour_of_every_sale": _with("sales", f"""
         SELECT rouge, vert, bleu, opacite, count(*) AS n
         FROM (SELECT {_colour('prix_m2', '200', '40000', V.PALETTE_PRICE)} FROM sales) GROUP BY ALL"""),

@@ -10,7 +10,7 @@ from ..operators import (
     cleaning, dimensions, geography, latest, pricing, profiles, quality, ranking, reports, sampling,
     serving,
 )
-from ..operators.filters import Filters, predicate
+from ..operators.filters import TYPED, Filters, for_table, predicate
 from ..operators.quantiles import grouped_quantiles, largest_group
 from ..sinks import tables as sinks
 from ..sources import drifting_parquet, pages, tables as sources, text_files
@@ -267,7 +267,7 @@ def market_view(t):
 
 
 def _market(t, filters=Filters()):
-    return serving.market(t.mart_commune, t.geo, filters)
+    return serving.market_rows(t.mart_commune, t.geo, filters)
 
 
 @registered
@@ -289,7 +289,7 @@ def opportunity_view(t):
 def typed_grain(t):
     chosen = Filters(types_bien=("tous", "maison"), etiquettes=("G",), passoires_only=True)
     rows = serving.opportunity_view(t.mart_opportunites, t.geo)
-    kept = rows.where(predicate(serving.typed_grain(chosen)))
+    kept = rows.where(predicate(for_table(chosen, TYPED)))
     return kept.select("commune", "type_bien", "prix_m2", "nb_dpe")
 
 
@@ -367,6 +367,12 @@ def _compared(t):
     return serving.chosen_communes(rows, names)
 
 
+@registered
+def default_types(t):
+    """A typed mart without rows offers the default types."""
+    return serving.present_types(t.mart_commune_type.where("type_bien = 'chateau'"))
+
+
 @registered
 def compare(t):
     return _compared(t).select(
@@ -513,6 +519,28 @@ def map_point_features(t):
     )
 
 
+@registered
+def map_opportunities(t):
+    """Scored (commune, type) rows on the map, coloured by their score."""
+    rows = serving.map_points(serving.opportunity_view(t.mart_opportunites, t.geo))
+    layer = serving.map_layer(rows, "score_opportunite")
+    return layer.select("commune", "type_bien", *_channels(F.col("fill_color")))
+
+
+@registered
+def map_layer_points(t):
+    """Rows without a geometry column become points."""
+    t.store("mart_commune")
+    layer = serving.map_layer(serving.map_points(_market(t).drop("geometry_json")), "pct_passoires")
+    coordinate = "$.geometry.coordinates[{}]"
+    return layer.select(
+        "commune",
+        *_channels(F.col("fill_color")),
+        F.get_json_object("feature", coordinate.format(0)).cast("double").alias("lon"),
+        F.get_json_object("feature", coordinate.format(1)).cast("double").alias("lat"),
+    )
+
+
 @registered
 def colour_of_every_sale(t):
     sold = t.sales.select("code_insee", "prix_m2")
@@ -537,6 +565,30 @@ def _commune_list(t, table, prefix, key, name, place):
     )
 
 
+@registered
+def dimension_tables(t):
+    """Keys of all three dimensions built from two overlapping commune lists."""
+    first = _commune_list(t, "supplier", "S", "s_suppkey", "s_name", "s_nationkey")
+    second = _commune_list(t, "customer", "C", "c_custkey", "c_name", "c_nationkey")
+    tables = dimensions.build_dimensions(t.spark, first, second)
+    keys = [df.select(F.lit(name).alias("dimension"), F.col(df.columns[0]).alias("cle")) for name, df in tables.items()]
+    return keys[0].unionByName(keys[1]).unionByName(keys[2])
+
+
+@registered
+def arrondissement_names(t):
+    """Customers placed in the arrondissements; Lyon chosen as a whole, Paris by one of its parts."""
+    placed = t.given("customer").selectExpr(
+        "CAST(CASE c_nationkey % 3 WHEN 0 THEN 75101 + c_custkey % 20 WHEN 1 THEN 69381 + c_custkey % 9 "
+        "ELSE 13201 + c_custkey % 16 END AS STRING) AS code_insee"
+    )
+    chosen = t.spark.createDataFrame([("Lyon",), ("Paris 2e Arrondissement",)], "commune string")
+    members = dimensions.split_cities(t.spark)
+    names = dimensions.chosen_with_members(chosen, members.select("city", "member"))
+    named = placed.join(members, "code_insee").join(names, F.col("member") == F.col("commune"), "left_semi")
+    return named.groupBy("member").agg(F.count("*").alias("n"))
+
+
 @registered
 def dim_union_first_wins(t):
     """Suppliers and customers share keys; the supplier list comes first and wins."""
@@ -676,7 +728,7 @@ def union_by_name_scan(t):
         "2A": events.where("event_type IN ('error')").select(
             F.col("event_id").cast("int"), F.col("user_id").cast("string")
         ),
-        "33": events.where("event_type IN ('purchase', 'signup')").select(
+        "33": events.where("coalesce(event_type NOT IN ('click', 'view', 'error'), true)").select(
             F.col("event_id").cast("string"), F.col("value").cast("string"), "user_id"
         ),
     }
@@ -696,10 +748,19 @@ def tolerant_csv_scan(t):
         "CASE WHEN c_nationkey = 3 THEN 'one,field,too,many' WHEN c_nationkey = 5 THEN NULL "
         "ELSE lpad(c_nationkey, 5, '0') END)"
     )
-    body = t.given("customer").selectExpr(f"{line} AS value")
-    # Every file of the source opens with its header line.
-    with_header = body.selectExpr("concat('code_commune,adresse,code\n', value) AS value")
-    with_header.write.option("compression", "gzip").option("lineSep", "\n").text(path)
+    swapped = (
+        "concat_ws(',', CASE WHEN c_nationkey = 3 THEN 'one,field,too,many' WHEN c_nationkey = 5 THEN NULL "
+        "ELSE lpad(c_nationkey, 5, '0') END, concat('\"', c_name, ', \"\"', c_mktsegment, '\"\"\"'), "
+        "CAST(c_custkey AS STRING))"
+    )
+    # Every file of the source opens with its header line; half of the files have another order.
+    for header, text, rest in (
+        ("code_commune,adresse,code", line, 0), ("code,adresse,code_commune", swapped, 1)
+    ):
+        body = t.given("customer").where(F.col("c_custkey") % 2 == rest).selectExpr(f"{text} AS value")
+        with_header = body.select(F.concat(F.lit(f"{header}\n"), F.col("value")).alias("value"))
+        writer = with_header.write.mode("append").option("compression", "gzip")
+        writer.option("lineSep", "\n").text(path)
     rows = text_files.read_csv_text(t.spark, path)
     return rows.where("code_commune <> 'code_commune'").select("code_commune", "adresse", "code")
 
@@ -828,9 +889,32 @@ def daily_run(t):
     )
 
 
+@registered
+def failed_gate(t):
+    """A run dated in the future fails the gate; the indicators and marts of the day before stay."""
+    lake = Lake(scratch_path(t.spark, "lake"))
+    late = "2999-01-01"
+    certificates = t.raw_certificates.withColumn("dep", F.lit("01"))
+    sinks.add_raw_parts(certificates, lake.at("raw", "dpe"), late, ["01"])
+    t.raw_sales.write.option("header", "true").csv(f"{lake.at('raw', 'dvf')}/dt={late}/dep=01")
+    code = F.format_string("%05d", F.col("code_insee").cast("bigint"))
+    sinks.replace_table(t.communes.withColumn("code_insee", code), lake.at("ref", "dim_commune"))
+    sinks.replace_table(dimensions.label_scale(t.spark), lake.at("ref", "dim_dpe"))
+    before = t.communes.select("code_insee", "population")
+    sinks.replace_partition(before, lake.at("gold", "kpi_commune"), S.DS)
+    sinks.replace_table(before, lake.at("gold", "mart_commune"))
+    run_day(t.spark, lake, late, departements=["01"])
+    kpi = sources.read_table(t.spark, lake.at("gold", "kpi_commune"))
+    mart = sources.read_table(t.spark, lake.at("gold", "mart_commune"))
+    return text_dates(kpi, "dt").join(mart.withColumnRenamed("population", "dans_mart"), "code_insee")
+
+
 @registered
 def stream_refresh(t):
-    """Raw certificates arrive in two waves; each wave refreshes the dates it touched."""
+    """Raw certificates arrive in two waves whose types and columns differ; each refreshes its dates.
+
+    The last call finds nothing new and changes nothing.
+    """
     root = scratch_path(t.spark, "stream")
     raw, silver, progress = f"{root}/raw", f"{root}/silver", f"{root}/progress"
     certificates = t.raw_certificates
@@ -838,9 +922,12 @@ def stream_refresh(t):
         "dt", F.when(F.col("etiquette_ges").startswith("f"), "2026-06-17").otherwise(S.DS)
     ).withColumn("dep", F.lit("01"))
     flats = F.col("type_batiment").contains("Appartement")
-    for wave in (dated.where(flats), dated.where(~flats)):
+    year = casts.whole_number(F.col("annee_construction"))
+    drifted = dated.where(~flats).withColumn("annee_construction", year).drop("cout_total_5_usages")
+    for wave in (dated.where(flats), drifted):
         wave.write.mode("append").partitionBy("dt", "dep").parquet(raw)
         refresh_silver(t.spark, raw, silver, progress)
+    refresh_silver(t.spark, raw, silver, progress)
     rows = sources.read_table(t.spark, silver)
     return rows.groupBy(F.col("dt").cast("string").alias("dt"), "etiquette_dpe").agg(
         F.count("*").alias("n"), F.count("surface_habitable").alias("n_surface")

@@ -12,11 +12,10 @@ from ..operators import pricing, profiles
 from ..operators.cleaning import plausible
 from ..operators.dimensions import label_scale
 from ..operators.filters import Filters
-from ..operators.quantiles import GROUP_LIMIT, VALUE_LIMIT, largest_group
+from ..operators.quantiles import largest_group
 from ..storage import durable
 
 DS = "2026-06-18"
-BROADCAST_ROWS = 100_000
 KIND = (
     "CASE WHEN p_type IN ('ECONOMY', 'STANDARD', 'SMALL') THEN 'Appartement' "
     "WHEN p_type IN ('MEDIUM', 'LARGE') THEN 'Maison' ELSE 'Immeuble' END"
@@ -59,20 +58,10 @@ class Tables:
         """A given table under its declared schema, so no footer is read to plan a query."""
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf}/{name}.parquet")
 
-    @cached_property
-    def item_count(self) -> int:
-        return self.given("lineitem").count()
-
     @cached_property
     def lines(self) -> DataFrame:
-        """Line items with their part.
-
-        A small table is one row group, which one task reads; its rows are spread over the cores.
-        """
+        """Line items with their part."""
         part, items = self.given("part"), self.given("lineitem")
-        if self.item_count <= GROUP_LIMIT:
-            cores = self.spark.sparkContext.defaultParallelism
-            items = items.repartition(cores, "l_orderkey", "l_linenumber")
         return items.join(part, items["l_partkey"] == part["p_partkey"])
 
     @cached_property
@@ -155,7 +144,8 @@ class Tables:
             "CASE WHEN r_regionkey < 3 THEN 'NORD' ELSE 'SUD' END AS region",
             "CAST(floor(s_acctbal) AS BIGINT) AS population",
         )
-        return F.broadcast(named) if supplier.count() <= BROADCAST_ROWS else named
+        # Stored, so that Spark knows its size and broadcasts it where it is small.
+        return durable(named)
 
     @cached_property
     def geo(self) -> DataFrame:
@@ -174,15 +164,12 @@ class Tables:
     @cached_property
     def area_bound(self) -> int:
         """Most line items of one supplier: bounds every group of sales or dwellings by commune."""
-        items = self.given("lineitem")
-        few = self.item_count <= VALUE_LIMIT
-        return self.item_count if few else largest_group(items, ["l_suppkey"], VALUE_LIMIT)
+        return largest_group(self.given("lineitem"), ["l_suppkey"])
 
     @cached_property
     def parent_bound(self) -> int:
-        """Most suppliers of one region: bounds every group of areas by parent."""
-        rows = self.given("supplier").count()
-        return rows if rows <= GROUP_LIMIT else largest_group(self.communes, ["departement"])
+        """Most communes of one region: bounds every group of areas by parent."""
+        return largest_group(self.communes, ["departement"])
 
     @cached_property
     def prices(self) -> DataFrame:
@@ -194,8 +181,8 @@ class Tables:
         fact = pricing.price_dwellings(
             self.certificates, card, self.communes, label_scale(self.spark), DS
         )
-        # Oversized areas are counted in several passes, which then read the stored table.
-        return durable(fact) if self.area_bound > VALUE_LIMIT else fact
+        # Every mart reads it, as in the daily run.
+        return durable(fact)
 
     @cached_property
     def mart_commune(self) -> DataFrame:

@@ -1,21 +1,21 @@
 """Writers whose rerun leaves the same table, and the counts they report."""
 
-from datetime import date
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import fixed_values as V
-from ..operators.latest import latest_partition
 from ..operators.sampling import exact_sample
-from ..sources.tables import read_table
+from ..sources.tables import newest_partition, read_table
 
 MARTS = ("mart_commune", "mart_commune_type", "mart_opportunites", "dvf_stats_commune_type")
 FILE_PATH, ROW_INDEX = "_file", "_row"
 
 
 def business_date(explicit: str | None = None, upstream: str | None = None) -> str:
-    """Explicit date, else the date carried by the upstream run, else today."""
-    return explicit or upstream or date.today().isoformat()
+    """Explicit date, else the date carried by the upstream run, else today where the data is from."""
+    return explicit or upstream or datetime.now(ZoneInfo(V.BUSINESS_ZONE)).date().isoformat()
 
 
 def write_counted(df: DataFrame, path: str, **options) -> int:
@@ -45,17 +45,20 @@ def add_raw_parts(
     ds: str,
     departements,
     rows_per_part: int = V.ROWS_PER_PART,
-    mixed: bool = False,
+    mixed: bool = True,
 ) -> dict[str, int]:
     """Replace the listed départements of one date, leave all others; rows per département back.
 
-    Landed pages lie by département, so their tasks write straight to it.  Where tasks hold a
-    ``mixed`` lot, rows are first rebalanced by département, which splits a dominant one over several
-    tasks.  A file is closed after ``rows_per_part`` rows.  Listed départements without rows end up
-    empty.
+    Rows are first rebalanced by département, which splits a dominant one over several tasks, so a
+    département has few files.  Where tasks hold one département each (``mixed`` off) they write
+    straight to it.  A file is closed after ``rows_per_part`` rows.  Listed départements without rows
+    end up empty; rows of any other département are an error.
     """
     spark, day = df.sparkSession, f"{root}/dt={ds}"
-    rows = df.drop("dt").where(F.col("dep").isin(*departements))
+    listed = F.coalesce(F.col("dep").isin(*departements), F.lit(False))
+    if not (strays := df.where(~listed)).isEmpty():
+        raise ValueError(f"rows outside the listed départements, such as {strays.select('dep').first()[0]}")
+    rows = df.drop("dt")
     seen = Observation()
     counts = [F.count_if(F.col("dep") == dep).alias(dep) for dep in departements]
     counted = rows.observe(seen, *counts)
@@ -92,7 +95,8 @@ def export_snapshot(
     written = {
         name: replace_table(read_table(spark, f"{gold}/{name}"), f"{out}/{name}") for name in MARTS
     }
-    newest = latest_partition(row_identity(spark, f"{gold}/fact_biens"))
+    fact = f"{gold}/fact_biens"
+    newest = row_identity(spark, fact).where(F.col("dt") == newest_partition(spark, fact))
     sample = exact_sample(newest, n, [FILE_PATH, ROW_INDEX], seed).drop(FILE_PATH, ROW_INDEX)
     written["fact_biens"] = replace_table(sample, f"{out}/fact_biens")
     return written

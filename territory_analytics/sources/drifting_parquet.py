@@ -2,40 +2,15 @@
 
 from functools import reduce
 
-import pandas as pd
-import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-FILES_PER_TASK = 200
+from .parts import by_signature, list_files, open_part, scoped_folders
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """Paths below ``root``; only the listing is read, never the file contents."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", pattern).load(root).select("path")
-
-
-def files_by_schema(files: DataFrame) -> list[list[str]]:
-    """File paths grouped by identical schema; footers are read in tasks, not on the driver."""
-
-    def signatures(batches):
-        for batch in batches:
-            found = []
-            for path in batch["path"]:
-                uri = path if "://" in path else path.replace("file:/", "file:///", 1)
-                system, inner = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-                with system.open_input_file(inner) as handle:
-                    schema = pq.read_schema(handle)
-                found.append(";".join(f"{f.name}:{f.type}" for f in schema))
-            yield pd.DataFrame({"path": batch["path"], "signature": found})
-
-    tasks = max(1, files.count() // FILES_PER_TASK)
-    signed = files.repartition(tasks).mapInPandas(signatures, "path string, signature string")
-    groups: dict[str, list[str]] = {}
-    for row in signed.sort("signature", "path").toLocalIterator():
-        groups.setdefault(row["signature"], []).append(row["path"])
-    return list(groups.values())
+def schema_of(path: str) -> str:
+    with open_part(path) as handle:
+        return ";".join(f"{f.name}:{f.type}" for f in pq.read_schema(handle))
 
 
 def read_text_parts(
@@ -44,24 +19,28 @@ def read_text_parts(
     """All parts below ``root`` united by column name, every column as text.
 
     One scan per distinct file schema, so pruning and push-down still reach Parquet.  Columns a part
-    lacks are NULL.  Partition values keep their exact text ("01", "2A").  ``scope`` maps a
-    partition column to the values wanted; other directories are not read.
+    lacks are NULL.  Partition values keep their exact text ("01", "2A").  ``scope`` maps partition
+    columns to the values wanted; of the first one, folders of other values are not even listed.
     """
-    files = list_files(spark, root)
-    for name, values in (scope or {}).items():
-        files = files.where(F.regexp_extract("path", f"/{name}=([^/]+)/", 1).isin(*values))
-    groups = files_by_schema(files)
+    scope, first = scope or {}, partitions[0] if partitions else None
+    folders = scoped_folders(spark, root, first, scope[first]) if first in scope else [root]
+    groups = {}
+    if folders:
+        files = list_files(spark, folders, "*.parquet")
+        for name, values in scope.items():
+            files = files.where(F.regexp_extract("path", f"/{name}=([^/]+)/", 1).isin(*values))
+        groups = by_signature(files, schema_of)
     if not groups:
         raise FileNotFoundError(f"no part below {root} for {scope or 'any partition'}")
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_read_group(spark, root, paths, columns, partitions) for paths in groups],
-    ).select(*columns, *[p for p in partitions])
+        [_read_group(spark, root, groups[kind], columns, partitions) for kind in sorted(groups)],
+    ).select(*columns, *partitions)
 
 
 def _read_group(spark, root, paths, columns, partitions) -> DataFrame:
     own = spark.read.parquet(paths[0]).schema
-    fields = [f for f in own.fields if f.name in columns]
+    fields = [f for f in own.fields if f.name in columns and f.name not in partitions]
     schema = T.StructType(fields + [T.StructField(p, T.StringType()) for p in partitions])
     group = spark.read.schema(schema).option("basePath", root).parquet(*paths)
     present = {f.name for f in fields}

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .parts import partition_values
+
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """Every partition below ``root``; a given schema fixes types and column order."""
@@ -15,3 +17,11 @@ def read_partition(
 ) -> DataFrame:
     """One business date; the scan lists and reads that directory only."""
     return read_table(spark, root, schema).where(F.col(column) == F.lit(ds).cast("date"))
+
+
+def newest_partition(spark: SparkSession, root: str, column: str = "dt") -> str | None:
+    """Greatest partition value that has rows, from the listing of folders; no other file is opened."""
+    for value in reversed(partition_values(spark, root, column)):
+        if not spark.read.parquet(f"{root}/{column}={value}").isEmpty():
+            return value
+    return None

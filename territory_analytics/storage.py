@@ -39,7 +39,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, **options) -> DataFrame:
     """Store ``df`` as a table in the shared folder and read it back.
 
     It is computed once, survives lost executors, and its real size is known to the optimiser: a
@@ -47,7 +47,7 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

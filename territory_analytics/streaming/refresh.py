@@ -5,14 +5,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas
 from ..operators.cleaning import clean_certificates
 from ..sinks.tables import replace_partition
+from ..sources.drifting_parquet import read_text_parts
 
-PARTITIONS = "dt string, dep string"
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def new_raw_rows(spark: SparkSession, raw_root: str, schema: T.StructType) -> DataFrame:
-    """Stream of rows of files not seen before, with their partition date."""
-    dated = schemas.with_columns(schema, PARTITIONS)
-    return spark.readStream.schema(dated).parquet(raw_root)
+def touched_dates(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Stream of the partition dates of files not seen before; the files themselves are not read."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(FILE)
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(raw_root)
+    )
+    return files.select(F.regexp_extract("path", "/dt=([^/]+)/", 1).alias("dt"))
 
 
 def refresh_silver(
@@ -25,19 +32,18 @@ def refresh_silver(
 ) -> None:
     """Process everything that arrived since the last call, then stop.
 
-    A date with new files is recomputed from all of its raw files, so late parts, repeated batches
-    and restarts from ``progress`` give the same silver partition.
+    A date with new files is recomputed from all of its raw files, whose types and columns may drift,
+    so late parts, repeated batches and restarts from ``progress`` give the same silver partition.
     """
-    dated = schemas.with_columns(schema, PARTITIONS)
 
     def recompute(batch: DataFrame, _batch_id: int) -> None:
         # Dates, not rows, come back: one per touched day.
-        for (ds,) in batch.select("dt").distinct().collect():
-            raw = batch.sparkSession.read.schema(dated).parquet(raw_root).where(F.col("dt") == ds)
+        for (ds,) in batch.distinct().collect():
+            raw = read_text_parts(batch.sparkSession, raw_root, schema.names, scope={"dt": [ds]})
             replace_partition(clean_certificates(raw, ds, ties), silver_root, ds)
 
     query = (
-        new_raw_rows(spark, raw_root, schema)
+        touched_dates(spark, raw_root)
         .writeStream.foreachBatch(recompute)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)

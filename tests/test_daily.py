@@ -19,7 +19,7 @@ def raw(spark, n, prefix="D"):
     """``n`` certificates over three communes, one of them unknown, every fifth one re-issued."""
     base = spark.range(n).selectExpr(
         f"concat('{prefix}', id) AS numero_dpe", "'2026-01-08' AS date_etablissement_dpe",
-        "element_at(array('33063', '33001', '99999'), CAST(id % 3 AS INT) + 1) AS code_insee_ban",
+        "element_at(array('33281', '33001', '33999'), CAST(id % 3 AS INT) + 1) AS code_insee_ban",
         "'33000' AS code_postal_ban", "'X' AS nom_commune_ban", "'Appartement' AS type_batiment",
         "CAST(20 + id % 150 AS STRING) AS surface_habitable_logement", "'1975' AS annee_construction",
         "substring('ABCDEFG', CAST(id % 7 AS INT) + 1, 1) AS etiquette_dpe", "'F' AS etiquette_ges",
@@ -32,7 +32,7 @@ def raw(spark, n, prefix="D"):
 
 def sales_csv(lake, ds=DS):
     lines = ["code_commune,type_local,surface_reelle_bati,valeur_fonciere,date_mutation,longitude,latitude"]
-    lines += [f"33063,Appartement,{20 + i},{(20 + i) * (3000 + i)},2024-01-01,0,0" for i in range(120)]
+    lines += [f"33281,Appartement,{20 + i},{(20 + i) * (3000 + i)},2024-01-01,0,0" for i in range(120)]
     place = Path(lake.root, "raw", "dvf", f"dt={ds}", "dep=33")
     place.mkdir(parents=True)
     with gzip.open(place / "data.csv.gz", "wt") as out:
@@ -44,7 +44,7 @@ def lake(spark, folder):
     lake = Lake(folder)
     add_raw_parts(raw(spark, 600), lake.at("raw", "dpe"), DS, ["33"])
     sales_csv(lake)
-    dims = [("33063", "Bordeaux", "33", "75", 1), ("33001", "Abzac", "33", "75", 1)]
+    dims = [("33281", "Merignac", "33", "75", 1), ("33001", "Abzac", "33", "75", 1)]
     replace_table(spark.createDataFrame(dims, schemas.DIM_COMMUNE), lake.at("ref", "dim_commune"))
     replace_table(label_scale(spark), lake.at("ref", "dim_dpe"))
     replace_table(property_types(spark), lake.at("ref", "dim_type_bien"))
@@ -101,3 +101,8 @@ def test_stream_refresh_recomputes_touched_dates(spark, folder):
     assert counts() == {"2026-06-17": 25, "2026-06-18": 10}
     refresh_silver(spark, root, silver, progress)
     assert counts() == {"2026-06-17": 25, "2026-06-18": 10}
+    # A part whose area is a number and that lacks a column.
+    area = F.col("surface_habitable_logement").cast("double")
+    drifted = raw(spark, 28).withColumn("surface_habitable_logement", area).drop("cout_total_5_usages")
+    arrive(drifted, "2026-06-17")
+    assert counts() == {"2026-06-17": 28, "2026-06-18": 10}

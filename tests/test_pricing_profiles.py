@@ -27,15 +27,12 @@ def commune_dim(spark, *codes, parent="33"):
 
 @pytest.fixture
 def sold(spark):
-    return spark.createDataFrame(
-        [("33063", "appartement", 4000.0, 50.0), ("33063", "appartement", 5000.0, 55.0),
-         ("33063", "appartement", 9000.0, 120.0), ("33063", "appartement", -1.0, 50.0),
-         ("33063", "appartement", 4000.0, 0.0)],
-        SALE,
-    )
+    """Flats of one area in two bands: 1500, 2500 and 1750 below 40 m2, 6000 above 150 m2, two unusable."""
+    sales = [(1500.0, 20.0), (2500.0, 39.9), (1750.0, 31.0), (6000.0, 150.0), (0.0, 30.0), (800.0, -4.0)]
+    return spark.createDataFrame([("2A004", "appartement", p, s) for p, s in sales], SALE)
 
 
-def priced(spark, sold, *certs, codes=("33063", "1")):
+def priced(spark, sold, *certs, codes=("2A004", "1")):
     card = pricing.price_card(pricing.reference_prices(sold))
     return pricing.price_dwellings(
         spark.createDataFrame(list(certs), CERT), card, commune_dim(spark, *codes), label_scale(spark), DS
@@ -43,26 +40,26 @@ def priced(spark, sold, *certs, codes=("33063", "1")):
 
 
 def test_reference_prices(spark, sold):
-    for limits in ({}, {"limit": 1}):
+    for limits in ({}, {"limit": 2}):
         prices = pricing.reference_prices(sold, **limits)
         assert rows(pricing.band_prices(prices), "tranche_surface", "prix_m2") == [
-            ("100-150", 9000.0), ("40-70", 4500.0)]
+            ("150+", 6000.0), ("<40", 1750.0)]
+        # The whole area: the mean of the two middle ones of four.
         assert rows(pricing.area_prices(prices), "code_insee", "type_bien", "prix_m2") == [
-            ("33063", "appartement", 5000.0)]
+            ("2A004", "appartement", 2125.0)]
 
 
 def test_fact_prices_by_band_then_area(spark, sold):
-    fact = priced(
-        spark, sold, cert("33063"), cert("33063", size=80.0), cert("33063", kind="maison"), cert("1"),
-        cert("99999"), cert("33063", label="Z"), cert(None), cert("33063", size=None), cert("33063", size=0.0),
-    )
+    known = [cert("2A004", size=10.0), cert("2A004", size=69.5), cert("2A004", kind="maison", size=200.0), cert("1")]
+    unknown = [cert("2A005"), cert("2A004", label="H"), cert(None), cert("2A004", size=None), cert("2A004", size=-1.0)]
+    fact = priced(spark, sold, *known, *unknown)
     assert fact.columns == schemas.FACT.names
     assert [f.dataType for f in fact.schema] == [f.dataType for f in schemas.FACT]
     got = rows(fact, "code_insee", "type_bien", "tranche_surface", "prix_m2", "prix")
     assert got == sorted([
-        ("33063", "appartement", "40-70", 4500.0, 225000.0),
-        ("33063", "appartement", "70-100", 5000.0, 400000.0),
-        ("33063", "maison", "40-70", None, None),
+        ("2A004", "appartement", "<40", 1750.0, 17500.0),
+        ("2A004", "appartement", "40-70", 2125.0, 147687.5),
+        ("2A004", "maison", "150+", None, None),
         ("1", "appartement", "40-70", None, None),
     ], key=repr)
 

@@ -1,11 +1,13 @@
+import math
 import random
+import struct
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from territory_analytics.operators import profiles
+from territory_analytics.operators import profiles, ranking
 from territory_analytics.operators.quantiles import grouped_quantiles, largest_group
 from territory_analytics.operators.ranking import rank_in_group
 
@@ -54,6 +56,23 @@ def test_both_plans_agree_to_the_last_bit(spark):
     assert plain == counted
 
 
+def test_both_plans_order_nan_infinities_zeros_and_subnormals_alike(spark):
+    odd = [float("nan")] * 9 + [float("inf")] * 6 + [float("-inf")] * 4 + [0.0, -0.0, 5e-324, -5e-324, None]
+    values = odd + [float(k) for k in range(-10, 10)] + [1e308, -1e308, 1e-300]
+    random.seed(1)
+    random.shuffle(values)
+    rows = [("hot" if k % 3 else "b", v) for k, v in enumerate(values * 3)] + [("n", None), ("z", -0.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    wanted = {f"q{p}": ("v", p / 20) for p in range(21)}
+    bits = []
+    for limit in (10**6, 3):
+        found = grouped_quantiles(df, ["k"], wanted, limit=limit).collect()
+        bits.append({r["k"]: [None if x is None else struct.pack(">d", x) for x in r[1:]] for r in found})
+    assert bits[0] == bits[1]
+    top = {r["k"]: r["q20"] for r in grouped_quantiles(df, ["k"], wanted, limit=3).collect()}
+    assert math.isnan(top["hot"]) and top["n"] is None and top["z"] == 0.0
+
+
 def test_whole_table_without_keys(spark):
     df, data = skewed(spark)
     both = [grouped_quantiles(df, [], {"m": ("v", 0.5)}, limit=n).first()["m"] for n in (10**6, 10)]
@@ -85,8 +104,8 @@ def test_any_values(spark, xs):
 
 def test_group_bound(spark):
     df, _ = skewed(spark)
-    assert largest_group(df, ["k"]) == df.count()
-    assert largest_group(df, ["k"], limit=10) == 1000
+    assert largest_group(df, ["k"]) == 1000
+    assert largest_group(df, []) == df.count()
     assert largest_group(df.limit(0), ["k"]) == 0
 
 
@@ -119,10 +138,26 @@ def test_parent_position_laws(spark, limit):
         assert row["mid"] == (None if medians[row["k"]] is None else pytest.approx(medians[row["k"]]))
 
 
-def test_both_parent_plans_agree(spark):
+def test_position_flag_and_score_are_the_same_for_any_limit(spark):
+    df, _ = skewed(spark, 600)
+    homes = df.withColumns({"type_bien": F.lit("maison"), "nb_dpe": F.lit(40), "pct_passoires": F.lit(12.5)})
+    profile = homes.withColumnRenamed("k", "departement").withColumnRenamed("v", "prix_m2_median")
+    results = []
+    for limit in (10**6, 100, 20):
+        placed = profiles.parent_position(
+            profile, ["departement", "type_bien"], "prix_m2_median", "gap", "z", limit=limit
+        )
+        flag = profiles.underpriced(F.col("z"), 1.0)
+        score = profiles.opportunity_score(F.col("z"), F.col("pct_passoires"))
+        results.append(sorted(map(repr, placed.select("*", flag.alias("f"), score.alias("s")).collect())))
+    assert results[0] == results[1] == results[2]
+
+
+def test_only_oversized_groups_are_ranked_by_counting(spark, monkeypatch):
     df, _ = skewed(spark, 600)
-    one, two = (
-        sorted(map(repr, profiles.parent_position(df, ["k"], "v", "gap", "z", limit=n).collect()))
-        for n in (10**6, 20)
-    )
-    assert one == two
+    seen = []
+    counted = ranking._value_ranks
+    monkeypatch.setattr(ranking, "_value_ranks", lambda hot, *a: seen.append(hot.count()) or counted(hot, *a))
+    split = sorted(map(repr, rank_in_group(df, ["k"], "v", "r", limit=150).collect()))
+    assert seen == [200]
+    assert split == sorted(map(repr, rank_in_group(df, ["k"], "v", "r").collect()))

@@ -7,7 +7,7 @@ from conftest import rows
 from territory_analytics import fixed_values as V, schemas
 from territory_analytics.operators import reports, serving
 from territory_analytics.operators.filters import (
-    Filters, commune_grain, dwelling_grain, predicate, real_types, typed_grain, with_arrondissements,
+    COMMUNES, DWELLINGS, TYPED, Filters, for_table, predicate, with_arrondissements,
 )
 
 VIEW = ("commune string, code_insee string, departement string, region string, type_bien string, "
@@ -47,15 +47,15 @@ def test_predicate_filters(spark):
 
 
 def test_hostile_text_is_a_value(spark):
-    df = view(spark, place("Bordeaux"))
-    hostile = Filters(communes=("Bordeaux' OR 1=1 --",))
+    df = view(spark, place("Sète"))
+    hostile = Filters(communes=('Sète") OR (true) /*', "Sète'); --"))
     assert names(df.where(predicate(hostile))) == []
 
 
 def test_grains():
     full = Filters(communes=("Lyon",), types_bien=("tous", "maison"), etiquettes=("A",), passoires_only=True,
                    prix_m2_min=1, prix_m2_max=2, surface_min=3, surface_max=4, nb_dpe_min=7)
-    commune, typed, dwelling = commune_grain(full), typed_grain(full), dwelling_grain(full)
+    commune, typed, dwelling = (for_table(full, grain) for grain in (COMMUNES, TYPED, DWELLINGS))
     assert commune.types_bien == () and typed.types_bien == dwelling.types_bien == ("maison",)
     for grain in (commune, typed):
         assert grain.etiquettes == () and not grain.passoires_only
@@ -65,7 +65,7 @@ def test_grains():
     assert dwelling.prix_m2_min is dwelling.prix_m2_max is dwelling.surface_max is None
     assert dwelling.nb_dpe_min == 0
     assert all(len(g.communes) == 10 for g in (commune, typed, dwelling))
-    assert real_types(("tous",)) == ()
+    assert for_table(Filters(types_bien=("tous",)), TYPED).types_bien == ()
 
 
 def test_city_members():

@@ -1,6 +1,6 @@
 import gzip
 import json
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from territory_analytics.operators.sampling import exact_sample
 from territory_analytics.sinks import tables as sinks
 from territory_analytics.sources import pages
 from territory_analytics.sources.drifting_parquet import read_text_parts
-from territory_analytics.sources.tables import read_partition, read_table
+from territory_analytics.sources.tables import newest_partition, read_partition, read_table
 from territory_analytics.sources.text_files import (
     in_scope, read_csv_text, read_json_array, scope_list, source_filter,
 )
@@ -36,24 +36,77 @@ def test_drifting_parts_unite_as_text(spark, folder):
         read_text_parts(spark, folder, ["a"], scope={"dep": ["99"]})
 
 
-BROKEN = 'code,adresse,prix\n01004,"ALL ROSA, ST",10\n2A004,"dit ""le"" bon",20\n1,2\n1,2,3,4\n33063,,30\n'
+LINES = [("7500", 'rue "du" Puits', "1"), ("2B3", "quai, côté mer", "22"), ("98", None, "333")]
+BAD = ["5,6", "5,6,7,8", "only"]
 
 
-def test_broken_csv_rows_go_even_when_one_column_is_read(spark, folder):
-    for dep in ("01", "33"):
+def quoted(value):
+    return "" if value is None else '"' + value.replace('"', '""') + '"'
+
+
+def test_csv_is_read_by_the_header_of_each_file(spark, folder):
+    names = ("code", "adresse", "prix")
+    for dep, order in (("01", (0, 1, 2)), ("33", (2, 0, 1))):
         (d := __import__("pathlib").Path(folder, f"dep={dep}")).mkdir()
-        with gzip.open(d / "data.csv.gz", "wt") as out:
-            out.write(BROKEN)
+        body = [",".join(names[k] for k in order)]
+        body += [",".join(quoted(line[k]) for k in order) for line in LINES] + BAD
+        with gzip.open(d / "data.csv.gz", "wt", encoding="utf-8") as out:
+            out.write("\n".join(body) + "\n")
     table = read_csv_text(spark, folder, partitions=("dep",))
-    assert table.columns == ["code", "adresse", "prix", "dep"]
-    assert rows(table.where("dep = '01'"), "code", "adresse") == [
-        ("01004", "ALL ROSA, ST"), ("2A004", 'dit "le" bon'), ("33063", None)]
-    assert rows(table, "prix") == [("10",), ("10",), ("20",), ("20",), ("30",), ("30",)]
+    assert set(table.columns) == {*names, "dep"}
+    for dep in ("01", "33"):
+        assert rows(table.where(f"dep = '{dep}'"), *names) == sorted(LINES, key=repr)
+    assert rows(table, "prix") == sorted([(line[2],) for line in LINES] * 2)
     assert in_scope(table, ["33", "57"]).count() == 3
     with pytest.raises(FileNotFoundError):
         in_scope(table, ["57", "67"])
 
 
+def test_one_folder_may_hold_parts_of_several_schemas(spark, folder):
+    place = f"{folder}/dt=2026-06-18/dep=33"
+    spark.createDataFrame([(1, 2.5)], "a bigint, b double").coalesce(1).write.parquet(place)
+    spark.createDataFrame([("x",)], "a string").coalesce(1).write.mode("append").parquet(place)
+    out = read_text_parts(spark, folder, ["a", "b"], scope={"dt": ["2026-06-18", "2026-06-19"]})
+    assert rows(out, "a", "b") == sorted([("1", "2.5"), ("x", None)], key=repr)
+
+
+def test_newest_partition_is_read_from_the_listing(spark, folder):
+    for day, n in (("2026-06-09", 3), ("2026-06-10", 2), ("2026-06-11", 0)):
+        sinks.replace_partition(spark.range(n), folder, day)
+    assert newest_partition(spark, folder) == "2026-06-10"
+
+
+def test_business_date(monkeypatch):
+    assert sinks.business_date("2026-01-02", "2025-01-01") == "2026-01-02"
+    assert sinks.business_date(None, "2025-01-01") == "2025-01-01"
+
+    class Late(datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return datetime(2026, 6, 18, 23, 30, tzinfo=timezone.utc).astimezone(tz)
+
+    monkeypatch.setattr(sinks, "datetime", Late)
+    assert sinks.business_date() == "2026-06-19"
+
+
+def test_stray_departements_are_an_error(spark, folder):
+    strays = spark.createDataFrame([(1, "33"), (2, None)], "id long, dep string")
+    with pytest.raises(ValueError, match="outside"):
+        sinks.add_raw_parts(strays, folder, "2026-06-18", ["33"])
+
+
+def test_scratch_is_empty_after_a_run(spark, folder, monkeypatch):
+    from territory_analytics import storage
+
+    monkeypatch.setattr(storage, "shared_folder", lambda _: folder)
+    monkeypatch.setattr(storage, "_stored", {})
+    first, second = durable(spark.range(5)), durable(spark.range(3))
+    storage.discard(first)
+    assert len(list(__import__("pathlib").Path(folder).iterdir())) == 1 and second.count() == 3
+    storage.clear_scratch(spark)
+    assert not list(__import__("pathlib").Path(folder).iterdir())
+
+
 def test_scope_list():
     assert scope_list(" 33, 2A ,,01") == ["33", "2A", "01"]
     assert scope_list("", "75,69") == ["75", "69"]
@@ -62,7 +115,7 @@ def test_scope_list():
 
 def test_source_filter(spark):
     df = spark.createDataFrame(
-        [("33", "33000", "33063"), ("33", "33100", "33063"), ("44", "44000", "44109")],
+        [("33", "33000", "33281"), ("33", "33100", "33281"), ("44", "44000", "44109")],
         "dep string, code_postal_ban string, code_insee_ban string")
     assert df.where(source_filter()).count() == 3
     assert df.where(source_filter("33")).count() == 2
