@@ -200,7 +200,7 @@ def test_reports(spark):
     assert names(reports.dearest(df, 2)) == ["C", "D"]
     assert names(reports.by_value(df, "pct_passoires")) == ["A", "D", "B", "C"]
     best = reports.signals(df).first()
-    assert (best["commune_plus_chere"], best["commune_renovation"]) == ("D", "A")
+    assert (best["commune_plus_chere"], best["commune_renovation"]) == ("C", "A")
     picked = serving.pick_opportunities(deals(spark), 1.0)
     figures = reports.opportunity_kpis(picked).first()
     assert (figures["opportunites"], figures["meilleur_score"], figures["ecart_min"], figures["double_signal"]) == (
