@@ -19,7 +19,7 @@ from pyspark.sql.functions import arrow_udf
 from ..storage import durable
 from .common import fresh, small_batches, table, text_bytes
 from .components import components
-from .linking import verified_links
+from .linking import split_large, verified_links
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -174,6 +174,12 @@ def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
+@arrow_udf(T.ArrayType(T.LongType()))
+def _shingle_sets(texts: pa.Array) -> pa.Array:
+    sets = [np.unique(shingle_hashes(t, STAGE_SHINGLE_WORDS)).view(np.int64) for t in text_bytes(texts)]
+    return pa.array(sets, pa.list_(pa.int64()))
+
+
 @arrow_udf(T.DoubleType())
 def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     found = []
@@ -238,7 +244,8 @@ def keep_one_per_group(
     def verify(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, texts, similarity)
 
-    links = verify(by_print).unionByName(verified_links(members, verify))
+    sets = texts.select("node", _shingle_sets("text").alias("shingles"))
+    links = verify(by_print).unionByName(verified_links(split_large(members, sets, similarity), verify))
     roots = components(links)
 
     # Every row of a group but its first goes.

@@ -240,3 +240,25 @@ def test_map_names_every_paragraph(spark):
     places = {u & (2**24 - 1) for u in units}
     assert len(bits) == 2**24 // 8
     assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == places
+
+
+def test_large_groups_are_split_without_losing_a_pair(spark):
+    rng = random.Random(11)
+    common = list(range(5))
+    sets = [sorted({*common, *rng.sample(range(100, 100_000), 15)}) for _ in range(120)]
+    for k in range(0, 60, 3):  # some are near copies
+        sets.append(sorted({*sets[k][:-1], 200_000 + k}))
+    members = spark.createDataFrame([(7, k) for k in range(len(sets))] + [(8, 0), (8, 1)], "key long, node long")
+    shingles = spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>")
+    split = linking.split_large(members, shingles, 0.8).collect()
+    groups = {}
+    for key, node in split:
+        groups.setdefault(key, set()).add(node)
+    assert {0, 1} in groups.values()
+    together = {frozenset((a, b)) for g in groups.values() for a in g for b in g if a < b}
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = set(sets[a]), set(sets[b])
+            if len(x & y) >= 0.8 * len(x | y):
+                assert frozenset((a, b)) in together
+    assert len(together) < 100
