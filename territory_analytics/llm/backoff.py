@@ -155,12 +155,37 @@ def _block_ngrams(words: bytes, places: bytes, lengths, contexts, order: int):
 def _entries(grams, owned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different n-grams of a block in ascending order, and how often its own words end one."""
     keys = np.concatenate([g[there] for g, there in grams])
-    own = np.concatenate([owned[there] for _, there in grams])
+    keys.sort()
+    first = _firsts(keys)
+    counts = np.diff(np.append(first, len(keys))).astype(np.uint32)
+    keys = keys[first]
+    # The few words that only give context are asked for, not counted.
+    others = np.concatenate([g[there & ~owned] for g, there in grams])
+    np.subtract.at(counts, np.searchsorted(keys, others), np.uint32(1))
+    return keys, counts
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Places at which a new value begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+
+
+def _answered(grams, totals: np.ndarray) -> list[np.ndarray]:
+    """Counts of the n-grams at their words; ``totals`` go with the different ones in ascending order."""
+    keys = np.concatenate([g[there] for g, there in grams])
     order = np.argsort(keys)
-    keys, own = keys[order], own[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)) != 0) if len(keys) else np.zeros(0, np.int64)
-    counts = np.add.reduceat(own.astype(np.uint32), first) if len(keys) else np.zeros(0, np.uint32)
-    return keys[first], counts.astype(np.uint32)
+    keys = keys[order]
+    sizes = np.diff(np.append(_firsts(keys), len(keys)))
+    found = np.empty(len(keys), np.int64)
+    found[order] = np.repeat(totals, sizes)
+    counts, at = [], 0
+    for gram, there in grams:
+        count = np.zeros(len(gram), np.int64)
+        n = int(there.sum())
+        count[there] = found[at : at + n]
+        counts.append(count)
+        at += n
+    return counts
 
 
 # --- Count tables --------------------------------------------------------------------------------
@@ -201,7 +226,7 @@ def _totals(group: pa.Table) -> pa.Table:
     keys, counts = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
     order = np.argsort(keys, kind="stable")  # merges sorted runs
     ordered = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    first = _firsts(ordered)
     sums = np.add.reduceat(counts[order], first)
     totals = np.empty(len(keys), np.int64)
     totals[order] = np.repeat(sums, np.diff(np.append(first, len(keys))))
@@ -240,13 +265,9 @@ def _scores(blocks: DataFrame, answers: DataFrame, order: int, n_words: int, fac
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 doc_keys, doc_ids, lengths, contexts, words, places, parts = row
                 grams, place, owned = _block_ngrams(words, places, lengths, contexts, order)
-                keys, _ = _entries(grams, owned)
                 parts = sorted(parts or [], key=lambda p: p["part"])
                 totals = np.concatenate([_unpacked(p["totals"], np.int64) for p in parts]) if parts else np.zeros(0, np.int64)
-                counts = [np.zeros(len(place), np.int64) for _ in grams]
-                for (gram, there), count in zip(grams, counts, strict=True):
-                    count[there] = totals[np.searchsorted(keys, gram[there])]
-                logs = np.where(owned, _logs(grams, counts, place, n_words, factor), 0.0)
+                logs = np.where(owned, _logs(grams, _answered(grams, totals), place, n_words, factor), 0.0)
                 ends = np.cumsum(np.array(lengths, np.int64))
                 sums = [float(logs[e - n : e].sum()) for e, n in zip(ends.tolist(), lengths, strict=True)]
                 own = [n - c for n, c in zip(lengths, contexts, strict=True)]
