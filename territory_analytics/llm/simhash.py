@@ -19,7 +19,7 @@ from pyspark.sql.functions import arrow_udf
 from ..storage import durable
 from .common import fresh, small_batches, table, text_bytes
 from .components import components
-from .linking import verified_links
+from .linking import split_large, verified_links
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -174,20 +174,34 @@ def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
+@arrow_udf(T.ArrayType(T.LongType()))
+def _shingle_sets(texts: pa.Array) -> pa.Array:
+    sets = [np.unique(shingle_hashes(t, STAGE_SHINGLE_WORDS)).view(np.int64) for t in text_bytes(texts)]
+    return pa.array(sets, pa.list_(pa.int64()))
+
+
+def _sets(column: pa.Array) -> Iterator[np.ndarray]:
+    for one in column:
+        yield one.values.to_numpy()
+
+
 @arrow_udf(T.DoubleType())
 def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     found = []
-    for a, b in zip(text_bytes(left), text_bytes(right), strict=True):
-        x, y = (np.unique(shingle_hashes(t, STAGE_SHINGLE_WORDS)) for t in (a, b))
+    for x, y in zip(_sets(left), _sets(right), strict=True):
         both = len(np.intersect1d(x, y, assume_unique=True))
         found.append(both / max(1, len(x) + len(y) - both))
     return pa.array(found, pa.float64())
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    scored = pairs.join(left, "a").join(right, "b").withColumn("jaccard", _jaccard("text_a", "text_b"))
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    # Sets of too different sizes cannot be similar, and their shingles are not fetched.
+    sizes = sets.select("node", "n")
+    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+    near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    scored = sized.where(near).select("a", "b").join(left, "a").join(right, "b").withColumn("jaccard", _jaccard("left", "right"))
     return scored.where(F.col("jaccard") >= similarity).select("a", "b")
 
 
@@ -203,7 +217,8 @@ def keep_one_per_group(
     join), and texts that share a key of sampled shingles, since a fingerprint alone moves by some ten
     bits at a similarity of 0.8.  A candidate counts as a link if the Jaccard similarity of the shingle
     sets, computed from the whole texts, reaches ``similarity``; components of links are the groups.
-    Within a key texts are compared with a few hubs, so a large group costs no pairs of all with all.
+    Large keys are split by rare shingles, and within a key only pairs that links join already are left
+    out, so a large group of copies costs no pairs of all with all.
 
     Texts without words are copies of each other.  NULL counts as empty; a NULL id sorts last; of rows
     that agree in id and text one stays.
@@ -219,26 +234,21 @@ def keep_one_per_group(
     nodes = durable(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")))
 
     # Candidates: texts of one fingerprint or one sampled key, and those of close fingerprints.
-    with_words = nodes.where(F.size("keys") > 0)
-    hubs = durable(with_words.groupBy("fp").agg(F.min("node").alias("hub")))
+    with_words = durable(nodes.where(F.size("keys") > 0))
+    prints = with_words.select("fp", "node")
+    near = durable(close_pairs(prints, "fp"))
+    ends = near.select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("fp"))
+    by_print = ends.join(prints, "fp").select("key", "node")
     by_key = with_words.select(F.explode(F.concat("keys", F.array("fp"))).alias("key"), "node")
-    near = close_pairs(hubs, "fp")
-    left = hubs.select(F.col("fp").alias("a"), F.col("hub").alias("left"))
-    right = hubs.select(F.col("fp").alias("b"), F.col("hub").alias("right"))
-    by_print = durable(
-        near.join(left, "a").join(right, "b").select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b"))
-    )
-    key = W.partitionBy("key")
-    members = durable(
-        by_key.withColumns({"low": F.min("node").over(key), "high": F.max("node").over(key)})
-        .where("low <> high").select("key", "node")
-    )
-    texts = durable(_texts_of(documents, text, by_print.select("a", "b"), members.select("node")))
+    candidates = by_key.unionByName(by_print)
+    ranges = candidates.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    members = durable(candidates.join(ranges.where("low <> high"), "key").select("key", "node"))
+    sets = durable(_sets_of(documents, text, members.select("node")))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, texts, similarity)
+        return _verified(pairs, sets, similarity)
 
-    links = verify(by_print).unionByName(verified_links(members, verify))
+    links = verified_links(split_large(members, sets, similarity), verify)
     roots = components(links)
 
     # Every row of a group but its first goes.
@@ -263,12 +273,11 @@ def keep_one_per_group(
     return once.unionByName(again).drop(rank)
 
 
-def _texts_of(documents: DataFrame, text: Column, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One text for each of ``nodes`` and each end of ``pairs``."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    wanted = nodes.unionByName(ends).distinct()
+def _sets_of(documents: DataFrame, text: Column, nodes: DataFrame) -> DataFrame:
+    """``node``, ``shingles`` and their number ``n``, of one text for each of ``nodes``."""
     texts = documents.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    return texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    wanted = texts.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    return wanted.select("node", _shingle_sets("text").alias("shingles")).withColumn("n", F.size("shingles"))
 
 
 def simhash_near_dedup(spark, sf_dir) -> DataFrame:

@@ -262,3 +262,29 @@ def test_large_groups_are_split_without_losing_a_pair(spark):
             if len(x & y) >= 0.8 * len(x | y):
                 assert frozenset((a, b)) in together
     assert len(together) < 100
+
+
+def linked(spark, members, near):
+    """Components that ``verified_links`` and brute force find, and the pairs that were verified."""
+    seen = set()
+
+    def verify(pairs):
+        rows = [tuple(r) for r in pairs.collect()]
+        assert len(rows) == len(set(rows)) and not seen & set(rows)
+        seen.update(rows)
+        return spark.createDataFrame([r for r in rows if near(*r)], "a long, b long")
+
+    got = components.components(linking.verified_links(spark.createDataFrame(members, "key long, node long"), verify))
+    groups = {}
+    for key, node in members:
+        groups.setdefault(key, set()).add(node)
+    links = [(a, b) for g in groups.values() for a in g for b in g if a < b and near(a, b)]
+    whole = components.components(spark.createDataFrame(links, "a long, b long"))
+    return set(map(tuple, got.collect())), set(map(tuple, whole.collect())), seen
+
+
+def test_large_groups_of_unlike_items_lose_no_link(spark):
+    # Items that match nothing, but for three pairs among them.
+    few = {(3, 280), (200, 201), (20, 299)}
+    got, whole, _ = linked(spark, [(1, k) for k in range(300)], lambda a, b: (a, b) in few)
+    assert got == whole and len(got) == 6
