@@ -288,3 +288,17 @@ def test_large_groups_of_unlike_items_lose_no_link(spark):
     few = {(3, 280), (200, 201), (20, 299)}
     got, whole, _ = linked(spark, [(1, k) for k in range(300)], lambda a, b: (a, b) in few)
     assert got == whole and len(got) == 6
+
+
+def test_items_that_matched_unlike_hubs_are_compared(spark):
+    # A chain under one key, and two classes that only their least central items join.
+    chain = [(1, k) for k in range(90)]
+    small = [(2, 1000 + k) for k in range(40)]
+
+    def near(a, b):
+        if a >= 1000:
+            return (a, b) in {(1000, 1032), (1001, 1033), (1032, 1033)}
+        return b - a == 1
+
+    got, whole, _ = linked(spark, chain + small, near)
+    assert got == whole and len({root for _, root in got}) == 2
