@@ -302,3 +302,19 @@ def test_items_that_matched_unlike_hubs_are_compared(spark):
 
     got, whole, _ = linked(spark, chain + small, near)
     assert got == whole and len({root for _, root in got}) == 2
+
+
+def test_every_text_of_a_paragraph_has_a_start():
+    rng = random.Random(13)
+    for n in range(passages.PARAGRAPH, 90):
+        for _ in range(20):
+            at = passages.starts(passages.shingles(prose(n, rng).encode().split()))
+            assert len(at) and at.max() + passages.PARAGRAPH <= n
+
+
+def test_copies_of_short_documents_are_found(spark):
+    rng = random.Random(14)
+    texts = [prose(n, rng) for n in range(passages.PARAGRAPH, 49)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + texts)], "doc_id long, text string")
+    got = {r.doc_id for r in passages.repeated_passages(docs).where("removed").collect()}
+    assert got == set(range(len(texts), 2 * len(texts)))
