@@ -318,3 +318,27 @@ def test_copies_of_short_documents_are_found(spark):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + texts)], "doc_id long, text string")
     got = {r.doc_id for r in passages.repeated_passages(docs).where("removed").collect()}
     assert got == set(range(len(texts), 2 * len(texts)))
+
+
+def test_edited_passages_are_found(spark):
+    """Recall against brute force: lines with one changed word, and edited runs in the middle of a text."""
+    rng = random.Random(15)
+    rows, similar = [], set()
+    for k in range(40):
+        line = prose(60, rng).split()
+        edited = [*line[:30], "other", *line[31:]]
+        x, y = ({tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (line, edited))
+        if len(x & y) / len(x | y) >= 0.8:
+            similar.add(100 + k)
+        rows.append((k, f"{prose(40, rng)}\n{' '.join(line)}\n{prose(40, rng)}"))
+        rows.append((100 + k, f"{prose(15, rng)}\n{' '.join(edited)}\n{prose(60, rng)}"))
+    for k in range(40):
+        run = prose(120, rng).split()
+        rows.append((200 + k, f"{prose(9, rng)} {' '.join(run)} {prose(9, rng)}"))
+        run[40], run[80] = "one", "other"
+        rows.append((300 + k, f"{prose(20, rng)} {' '.join(run)} {prose(3, rng)}"))
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).where("removed").collect()
+    assert len(similar) == 40 and similar <= {r.doc_id for r in got}
+    assert all(any(r.doc_id == d and r.start <= 15 and r.stop >= 75 for r in got) for d in similar)
+    found = {r.doc_id for r in got} & set(range(300, 340))
+    assert len(found) >= 36
