@@ -342,3 +342,19 @@ def test_edited_passages_are_found(spark):
     assert all(any(r.doc_id == d and r.start <= 15 and r.stop >= 75 for r in got) for d in similar)
     found = {r.doc_id for r in got} & set(range(300, 340))
     assert len(found) >= 36
+
+
+def test_whole_passages_are_reported_and_removed(spark):
+    rng = random.Random(16)
+    passage, whole = prose(60, rng), prose(200, rng)
+    before, after = prose(17, rng), prose(25, rng)
+    rows = [
+        (1, f"{prose(33, rng)} {passage} {prose(40, rng)}"), (2, f"{before}\n{passage}\n{after}"),
+        (3, whole), (4, f"own words {whole}"), (5, whole),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.start, r.stop) for r in passages.repeated_passages(docs).collect()}
+    assert {(1, 33, 93), (2, 17, 77), (3, 0, 200), (4, 2, 202), (5, 0, 200)} <= got
+    texts = {r.doc_id: r.text for r in passages.remove_repeats(docs).collect()}
+    assert texts[2].split() == f"{before} {after}".split()
+    assert texts[3] == whole and texts[4].split() == ["own", "words"] and texts[5] == ""
