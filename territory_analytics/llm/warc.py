@@ -1,8 +1,9 @@
 """WARC archives through a table of chunks.
 
 A payload travels as rows (record, chunk number, bytes): no row, no batch and no buffer holds an
-oversized payload as a whole once it is cut.  Every chunk carries the digest of the payload up to and
-with it, so a stream is verified while it passes, and the last chunk has the digest of the whole.
+oversized payload as a whole once it is cut.  Every chunk that is read carries the digest of the payload
+up to and with it, and the last chunk that of the whole.  A chunk that is written carries the digest of
+the whole payload, which the writer compares with that of the chunks at the end.
 
 Written archives are gzip files of one member per record.  Of records with equal payloads one is a
 ``response``; the others are ``revisit`` records, which repeat its digest and length and refer to it.
