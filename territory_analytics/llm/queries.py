@@ -1,6 +1,8 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import backoff, decontaminate, exact, mixing, passages, quality, simhash, tokens, toxicity, warc
+from . import (
+    backoff, decontaminate, exact, importance, mixing, passages, quality, runs, simhash, tokens, toxicity, warc,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.score_toxicity,
@@ -13,6 +15,8 @@ QUERIES = {
     "op8_benchmark_decontamination": decontaminate.benchmark_decontamination,
     "op9_repeated_passages": passages.repeats,
     "op10_quality_classifier": quality.score_quality,
+    "op12_periodic_runs": runs.periodic_runs,
+    "op13_importance_resampling": importance.importance_resampling,
 }
 
 ORACLE = {
@@ -21,4 +25,5 @@ ORACLE = {
     "op6_mixing": mixing.ORACLE,
     "op7_exact_dedup": exact.ORACLE,
     "op8_benchmark_decontamination": decontaminate.ORACLE,
+    "op13_importance_resampling": importance.ORACLE,
 }
