@@ -1,7 +1,7 @@
 """Registered queries of this subpackage, and their SQL where SQL can express them."""
 
 from . import (
-    backoff, decontaminate, exact, importance, mixing, passages, quality, runs, simhash, tokens, toxicity, warc,
+    backoff, decontaminate, exact, extraction, importance, mixing, passages, quality, runs, simhash, tokens, toxicity, warc,
 )
 
 QUERIES = {
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_benchmark_decontamination": decontaminate.benchmark_decontamination,
     "op9_repeated_passages": passages.repeats,
     "op10_quality_classifier": quality.score_quality,
+    "op11_html_extraction": extraction.main_text,
     "op12_periodic_runs": runs.periodic_runs,
     "op13_importance_resampling": importance.importance_resampling,
 }
