@@ -605,6 +605,11 @@ ORACLE = {
     "partition_replace": """
         SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS dt FROM events
         WHERE CAST(ts AS DATE) <> DATE '2024-01-04' AND (CAST(ts AS DATE) <> DATE '2024-01-03' OR event_type = 'error')""",
+    "interrupted_replace": """
+        SELECT dt, count(*) AS n, sum(o_orderkey)::BIGINT AS cles FROM (
+          SELECT o_orderkey, o_orderstatus AS dt FROM orders
+          WHERE o_orderstatus = 'P' OR (o_orderstatus IN ('F', 'O') AND o_orderkey % 2 = 1)
+          UNION ALL SELECT o_orderkey, 'X' FROM orders WHERE o_orderkey <= 10) GROUP BY dt""",
     "additive_parts": """
         SELECT o_orderstatus AS dep, count(*) AS lignes, true AS parts_bornees FROM orders
         WHERE o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT' GROUP BY o_orderstatus""",

@@ -13,6 +13,7 @@ from ..operators import (
 from ..operators.filters import TYPED, Filters, for_table, predicate
 from ..operators.quantiles import grouped_quantiles, largest_group
 from ..sinks import tables as sinks
+from ..sinks.swap import Swap
 from ..sources import drifting_parquet, pages, tables as sources, text_files
 from ..storage import scratch_path
 from ..streaming.refresh import refresh_silver
@@ -812,6 +813,34 @@ def partition_replace(t):
     return text_dates(sources.read_table(t.spark, path, schema), "dt")
 
 
+@registered
+def interrupted_replace(t):
+    """Replacements that fail or stop half-way: a failing write keeps all old rows, a stored journal is settled.
+
+    Of three partitions of orders one is replaced by a write that raises; the other two by a run that is
+    lost after its journal, which the next replacement of a fourth partition carries out.
+    """
+    path = scratch_path(t.spark, "swap")
+    orders = t.given("orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("dt"))
+    for status in ("F", "O", "P"):
+        sinks.replace_partition(orders.where(F.col("dt") == status), path, status)
+    broken = F.when(F.col("o_orderkey") % 2 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("o_totalprice"))
+    try:
+        sinks.replace_partition(orders.withColumn("o_totalprice", broken), path, "P")
+    except Exception as error:  # whatever a failing task surfaces as
+        if "lost" not in str(error):
+            raise
+    lost = Swap(t.spark, path)
+    for status in ("F", "O"):
+        half = orders.where((F.col("dt") == status) & (F.col("o_orderkey") % 2 == 1)).drop("dt")
+        lost.write(half, f"{path}/dt={status}")
+    lost.commit()
+    sinks.replace_partition(orders.where("o_orderkey <= 10"), path, "X")
+    schema = t.spark.createDataFrame([], "o_orderkey bigint, o_totalprice double, dt string").schema
+    stored = sources.read_table(t.spark, path, schema)
+    return stored.groupBy("dt").agg(F.count("*").alias("n"), F.sum(F.col("o_orderkey")).alias("cles"))
+
+
 @registered
 def additive_parts(t):
     """Raw parts by order status: one status landed again in halves, the others untouched."""

@@ -1,4 +1,4 @@
-"""Writers whose rerun leaves the same table, and the counts they report."""
+"""Writers whose rerun leaves the same table, whose failure leaves the old one, and the counts they report."""
 
 from datetime import datetime
 from zoneinfo import ZoneInfo
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from .. import fixed_values as V
 from ..operators.sampling import exact_sample
 from ..sources.tables import newest_partition, read_table
+from .swap import Swap
 
 MARTS = ("mart_commune", "mart_commune_type", "mart_opportunites", "dvf_stats_commune_type")
 FILE_PATH, ROW_INDEX = "_file", "_row"
@@ -18,25 +19,21 @@ def business_date(explicit: str | None = None, upstream: str | None = None) -> s
     return explicit or upstream or datetime.now(ZoneInfo(V.BUSINESS_ZONE)).date().isoformat()
 
 
-def write_counted(df: DataFrame, path: str, **options) -> int:
-    """Replace ``path`` by ``df`` and return the rows written, counted by the write itself."""
-    seen = Observation()
-    writer = df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite")
-    writer.options(**{"compression": "zstd", **options}).parquet(path)
-    return seen.get["rows"]
-
-
 def replace_partition(df: DataFrame, root: str, value: str, column: str = "dt", **options) -> int:
     """Replace one partition directory, also by nothing; other partitions stay.
 
-    A static overwrite of the exact path: dynamic overwrite would keep the old rows when the new
-    result is empty.
+    The old rows stay until the new ones are written, see ``swap``; ``df`` may even read them.  The exact
+    folder is replaced: dynamic overwrite would keep the old rows when the new result is empty.
     """
-    return write_counted(df.drop(column), f"{root}/{column}={value}", **options)
+    with Swap(df.sparkSession, root) as swap:
+        return swap.write(df.drop(column), f"{root}/{column}={value}", **options)
 
 
 def replace_table(df: DataFrame, root: str, **options) -> int:
-    return write_counted(df, root, **options)
+    """Replace a whole table, under the same promise."""
+    above = root.rstrip("/").rsplit("/", 1)[0]
+    with Swap(df.sparkSession, above) as swap:
+        return swap.write(df, root, **options)
 
 
 def add_raw_parts(
@@ -52,16 +49,17 @@ def add_raw_parts(
     Rows are first rebalanced by département, which splits a dominant one over several tasks, so a
     département has few files.  Where tasks hold one département each (``mixed`` off) they write
     straight to it.  A file is closed after ``rows_per_part`` rows.  Listed départements without rows
-    end up empty; rows of any other département are an error.
+    end up empty; rows of any other département are an error, and nothing is replaced then.
     """
     spark, day = df.sparkSession, f"{root}/dt={ds}"
     listed = F.coalesce(F.col("dep").isin(*departements), F.lit(False))
-    if not (strays := df.where(~listed)).isEmpty():
-        raise ValueError(f"rows outside the listed départements, such as {strays.select('dep').first()[0]}")
+    stray = F.concat(F.lit("rows outside the listed départements, such as "), F.coalesce("dep", F.lit("NULL")))
+    # Checked by the counting of the write itself, whose files count only once all tasks have ended.
+    checked = F.max(F.when(~listed, F.raise_error(stray).cast("string")))
     rows = df.drop("dt")
     seen = Observation()
     counts = [F.count_if(F.col("dep") == dep).alias(dep) for dep in departements]
-    counted = rows.observe(seen, *counts)
+    counted = rows.observe(seen, *counts, checked.alias("checked"))
     (
         (counted.hint("rebalance", "dep") if mixed else counted)
         .write.mode("overwrite")

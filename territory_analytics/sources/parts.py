@@ -7,6 +7,8 @@ from collections.abc import Callable
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..storage import file_system
+
 FILES_PER_TASK = 200
 
 
@@ -19,17 +21,15 @@ def list_files(spark: SparkSession, roots: list[str], pattern: str) -> DataFrame
 
 def scoped_folders(spark: SparkSession, root: str, column: str, values) -> list[str]:
     """The folders of the wanted values of a table's first partition column, those that exist."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, place = file_system(spark, root)
     folders = [f"{root}/{column}={value}" for value in values]
-    return [f for f in folders if system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f))]
+    return [folder for folder in folders if system.exists(place(folder))]
 
 
 def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
     """Values of a table's first partition column, from the names of its folders."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [entry.getPath().getName() for entry in system.listStatus(place)]
+    system, place = file_system(spark, root)
+    names = [entry.getPath().getName() for entry in system.listStatus(place(root))]
     return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
 
 

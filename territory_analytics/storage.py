@@ -51,10 +51,16 @@ def durable(df: DataFrame, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system Spark uses for ``path``, and its constructor of paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, through the file system that Spark uses for it."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    system, make = file_system(spark, path)
+    system.delete(make(path), True)
 
 
 def discard(df: DataFrame) -> None:
