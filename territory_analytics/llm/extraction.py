@@ -294,11 +294,13 @@ def fit(pages: DataFrame, html_col: str = "html", written: int = WRITTEN_PAGES,
     """Fit on ``written`` labelled pages and on at most ``marked`` of ``pages``, those of the smallest hashes.
 
     Pages over ``LONGEST_FIT_PAGE`` characters, NULL ones and those without just one marked article are not
-    fitted on; repeated pages count each time.  An empty table leaves the labelled pages alone.
+    fitted on; repeated pages count once.  An empty table leaves the labelled pages alone.
     """
     html = F.col(html_col)
-    sample = pages.where(F.length(html) <= LONGEST_FIT_PAGE).select(html.alias("html"))
-    rows = sample.orderBy(F.xxhash64("html"), "html").limit(marked).collect()
+    named = pages.where(F.length(html) <= LONGEST_FIT_PAGE).select(F.xxhash64(html).alias("name"), html.alias("html"))
+    # Names are chosen before any page moves; then each chosen page is fetched once.
+    last = named.select("name").distinct().orderBy("name").limit(marked).agg(F.max("name")).first()[0]
+    rows = named.where(F.col("name") <= last).groupBy("name").agg(F.min("html").alias("html")).orderBy("name").collect()
     given = [marked_page(row.html, seed + k) for k, row in enumerate(rows)]
     trees = [Page(labelled_page(seed * 100_000 + k)) for k in range(written)]
     return train(forest(trees + [page for page in given if page is not None]))
@@ -317,8 +319,10 @@ def page_blocks(htmls: list[str | None], model: Model) -> list[list[tuple[str, f
 # --- On tables ----------------------------------------------------------------------------------------------
 
 
-def extract(pages: DataFrame, model: Model, html_col: str = "html", accept: float = ACCEPT) -> DataFrame:
-    """``pages`` with ``blocks`` (text, content) and ``text`` instead of the html.
+def extract(
+    pages: DataFrame, model: Model, html_col: str = "html", accept: float = ACCEPT, with_blocks: bool = True
+) -> DataFrame:
+    """``pages`` with ``blocks`` (text, content; NULL without ``with_blocks``) and ``text`` instead of the html.
 
     ``text`` joins by an empty line the blocks whose marginal ``content`` is at least ``accept``.  A NULL or
     empty page, and one without content, has an empty text; pages of any length are treated whole; repeated
@@ -336,7 +340,7 @@ def extract(pages: DataFrame, model: Model, html_col: str = "html", accept: floa
             for first in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(first, PAGES_PER_BATCH)
                 found = page_blocks(part.column(len(others)).to_pylist(), model)
-                blocks = [[{"text": t, "content": p} for t, p in page] for page in found]
+                blocks = [[{"text": t, "content": p} for t, p in page] if with_blocks else None for page in found]
                 texts = ["\n\n".join(t for t, p in page if p >= accept) for page in found]
                 columns = [part.column(k) for k in range(len(others))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(blocks, block), pa.array(texts, pa.string())], [*others, "blocks", "text"])
@@ -348,5 +352,5 @@ def main_text(spark, sf_dir) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     small_batches(spark)
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    out = extract(pages, fit(pages))
+    out = extract(pages, fit(pages), with_blocks=False)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
