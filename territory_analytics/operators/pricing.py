@@ -43,11 +43,9 @@ def area_prices(prices: DataFrame) -> DataFrame:
 
 
 def price_card(prices: DataFrame) -> DataFrame:
-    """One row per (area, type) holding its band prices (at most six) as a map."""
-    entry = F.struct("tranche_surface", "prix_m2")
-    return prices.groupBy("code_insee", "type_bien").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_prices")
-    )
+    """One row per area holding its prices by type and band (at most six per type) as a map."""
+    entry = F.struct(F.struct("type_bien", "tranche_surface"), "prix_m2")
+    return prices.groupBy("code_insee").agg(F.map_from_entries(F.collect_list(entry)).alias("_prices"))
 
 
 def dwellings(certificates: DataFrame) -> DataFrame:
@@ -81,14 +79,15 @@ def price_dwellings(
 ) -> DataFrame:
     """The fact table: every known dwelling with the price of its band, else of its area.
 
-    One join with the price card serves both levels.  Pass a stored card: its size decides whether
-    it is broadcast, and beyond that a hot (area, type) is split by adaptive execution.
+    One join with the price card, by area alone, serves all types and both levels, and keeps a layout by
+    area.  Pass a stored card: its size decides whether it is broadcast, and beyond that a hot area is
+    split by adaptive execution.
     Dwellings of areas without sales keep a NULL price.
     """
     homes = known_only(dwellings(certificates), communes, scale)
-    priced = homes.join(card, ["code_insee", "type_bien"], "left")
-    of_band = F.try_element_at("_prices", F.col("tranche_surface"))
-    of_area = F.try_element_at("_prices", F.lit(WHOLE_AREA))
+    priced = homes.join(card, "code_insee", "left")
+    of_band = F.try_element_at("_prices", F.struct("type_bien", "tranche_surface"))
+    of_area = F.try_element_at("_prices", F.struct("type_bien", F.lit(WHOLE_AREA).alias("tranche_surface")))
     unit = F.coalesce(of_band, of_area)
     return priced.select(
         F.lit(ds).cast("date").alias("dt"),

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .. import fixed_values as V
 from ..functions.labels import is_sieve, mart_wording, opportunity_score, underpriced
 from ..functions.numbers import half_away, percent_gap, percent_true, ratio
+from ..layout import ByArea
 from ..storage import durable
 from .joins import join_groups
 from .quantiles import VALUE_LIMIT, grouped_quantiles, largest_group
@@ -19,8 +20,10 @@ def flag_sieves(fact: DataFrame, scale: DataFrame) -> DataFrame:
     return fact.join(flags, "etiquette", "left").withColumn(FLAG, F.coalesce(FLAG, F.lit(False)))
 
 
-def area_kpi(fact: DataFrame, scale: DataFrame, ds: str, **limits) -> DataFrame:
+def area_kpi(fact: DataFrame | ByArea, scale: DataFrame, ds: str, **limits) -> DataFrame:
     """Per area: median price, share of sieves, price discount of sieves, number of dwellings."""
+    if isinstance(fact, ByArea):
+        return fact.each(lambda part, **grouping: area_kpi(part, scale, ds, **{**limits, **grouping}))
     price = F.col("prix_m2")
     discount = percent_gap(F.avg(F.when(F.col(FLAG), price)), F.avg(F.when(~F.col(FLAG), price)))
     kpi = grouped_quantiles(
@@ -33,8 +36,7 @@ def area_kpi(fact: DataFrame, scale: DataFrame, ds: str, **limits) -> DataFrame:
             F.count("*").alias("nb_transactions"),
         ],
         # An area has at most six distinct prices per type.
-        gather=False,
-        **limits,
+        **{"gather": False, **limits},
     )
     return kpi.select(
         F.lit(ds).cast("date").alias("dt"),
@@ -81,8 +83,10 @@ def parent_position(
     return placed.drop("_mean", "_spread", *([] if median else ["_median"]))
 
 
-def area_summary(fact: DataFrame, scale: DataFrame, **limits) -> DataFrame:
+def area_summary(fact: DataFrame | ByArea, scale: DataFrame, **limits) -> DataFrame:
     """Per area: price, energy, cost and age indicators."""
+    if isinstance(fact, ByArea):
+        return fact.each(lambda part, **grouping: area_summary(part, scale, **{**limits, **grouping}))
     columns = ["prix_m2", "conso_energie", "emission_ges", "cout_energie_annuel",
                "annee_construction", "etiquette_ges"]
     return grouped_quantiles(
@@ -105,7 +109,7 @@ def area_summary(fact: DataFrame, scale: DataFrame, **limits) -> DataFrame:
 
 
 def area_profile(
-    fact: DataFrame, scale: DataFrame, communes: DataFrame, parent_size: int | None = None, **limits
+    fact: DataFrame | ByArea, scale: DataFrame, communes: DataFrame, parent_size: int | None = None, **limits
 ) -> DataFrame:
     """Named areas with their summary, gap, z-score and price rank inside the parent area.
 
@@ -129,12 +133,12 @@ def area_profile(
     )
 
 
-def area_type_profile(
-    fact: DataFrame, scale: DataFrame, communes: DataFrame, **limits
-) -> DataFrame:
-    """Per area and property type: price, sieves, cost and age, with the area's names."""
+def area_type_summary(fact: DataFrame | ByArea, scale: DataFrame, **limits) -> DataFrame:
+    """Per area and property type: price, sieves, cost and age."""
+    if isinstance(fact, ByArea):
+        return fact.each(lambda part, **grouping: area_type_summary(part, scale, **{**limits, **grouping}))
     keys = ["code_insee", "type_bien"]
-    summary = grouped_quantiles(
+    return grouped_quantiles(
         flag_sieves(fact, scale).select(
             *keys, FLAG, "prix_m2", "cout_energie_annuel", "annee_construction"
         ),
@@ -150,9 +154,15 @@ def area_type_profile(
         ],
         **limits,
     )
+
+
+def area_type_profile(
+    fact: DataFrame | ByArea, scale: DataFrame, communes: DataFrame, **limits
+) -> DataFrame:
+    """The summary per area and property type, with the area's names."""
     names = communes.select("code_insee", "nom", "departement", "region")
-    return summary.join(names, "code_insee").select(
-        *keys, "prix_m2_median", "nb_dpe", "pct_passoires", "cout_energie_annuel_median",
+    return area_type_summary(fact, scale, **limits).join(names, "code_insee").select(
+        "code_insee", "type_bien", "prix_m2_median", "nb_dpe", "pct_passoires", "cout_energie_annuel_median",
         "annee_construction_mediane", "nom", "departement", "region",
     )
 

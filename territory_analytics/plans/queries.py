@@ -137,7 +137,7 @@ def exact_median_whole_table(t):
 @registered
 def area_kpi(t):
     scale = dimensions.label_scale(t.spark)
-    kpi = profiles.area_kpi(t.fact, scale, S.DS, largest=t.area_bound)
+    kpi = profiles.area_kpi(t.fact_by_area, scale, S.DS)
     return text_dates(kpi, "dt")
 
 
@@ -320,7 +320,7 @@ def serve_opportunities(t):
 @registered
 def serve_opportunities_fallback(t):
     """No scored row matches the type filter, so the market stands in."""
-    t.store("fact", "mart_opportunites")
+    t.store("mart_opportunites")
     chosen = Filters(types_bien=("chateau",), opportunite_k=0.5)
     return serving.serve_opportunities(
         t.mart_opportunites, t.mart_commune, t.geo, chosen
@@ -341,7 +341,6 @@ def label_order(t):
 
 @registered
 def filter_choices(t):
-    t.store("fact")
     rows = _market(t, Filters(nb_dpe_min=1))
     return serving.filter_choices(rows, t.mart_commune_type)
 

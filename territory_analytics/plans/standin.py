@@ -8,12 +8,14 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schemas
+from ..layout import ByArea, lay_out, read_by_area, replace_by_area
 from ..operators import pricing, profiles
 from ..operators.cleaning import plausible
 from ..operators.dimensions import label_scale
 from ..operators.filters import Filters
 from ..operators.quantiles import largest_group
-from ..storage import durable
+from ..storage import durable, scratch_path
 
 DS = "2026-06-18"
 KIND = (
@@ -175,30 +177,37 @@ class Tables:
     def prices(self) -> DataFrame:
         return pricing.reference_prices(self.sales, largest=self.area_bound)
 
+    def priced(self, certificates: DataFrame) -> DataFrame:
+        return pricing.price_dwellings(certificates, self.card, self.communes, label_scale(self.spark), DS)
+
+    @cached_property
+    def card(self) -> DataFrame:
+        return durable(pricing.price_card(self.prices))
+
     @cached_property
     def fact(self) -> DataFrame:
-        card = durable(pricing.price_card(self.prices))
-        fact = pricing.price_dwellings(
-            self.certificates, card, self.communes, label_scale(self.spark), DS
-        )
-        # Every mart reads it, as in the daily run.
-        return durable(fact)
+        """For queries that read the fact once; marts read ``fact_by_area``."""
+        return self.priced(self.certificates)
+
+    @cached_property
+    def fact_by_area(self) -> ByArea:
+        """Stored by area, as in the daily run."""
+        root = scratch_path(self.spark, "fact")
+        replace_by_area(lay_out(self.certificates).map(self.priced), root, DS)
+        return read_by_area(self.spark, root, DS, schemas.FACT)
 
     @cached_property
     def mart_commune(self) -> DataFrame:
         return profiles.area_profile(
-            self.fact,
+            self.fact_by_area,
             label_scale(self.spark),
             self.communes,
             parent_size=self.parent_bound,
-            largest=self.area_bound,
         )
 
     @cached_property
     def mart_commune_type(self) -> DataFrame:
-        return profiles.area_type_profile(
-            self.fact, label_scale(self.spark), self.communes, largest=self.area_bound
-        )
+        return profiles.area_type_profile(self.fact_by_area, label_scale(self.spark), self.communes)
 
     @cached_property
     def mart_opportunites(self) -> DataFrame:

@@ -19,11 +19,22 @@ from ..storage import file_system
 NEW, OLD, JOURNAL = ".new-", ".old-", ".swap-"
 
 
-def write_counted(df: DataFrame, path: str, **options) -> int:
-    """Write ``df`` to ``path`` and return the rows written, counted by the write itself."""
+def write_counted(df: DataFrame, path: str, buckets: tuple[int, str] | None = None, **options) -> int:
+    """Write ``df`` to ``path`` and return the rows written, counted by the write itself.
+
+    ``buckets`` (number, column) writes bucketed files; only writers of catalog tables can, so there is one
+    for as long as the write takes.
+    """
     seen = Observation()
     writer = df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite")
-    writer.options(**{"compression": "zstd", **options}).parquet(path)
+    writer = writer.options(**{"compression": "zstd", **options})
+    if buckets is None:
+        writer.parquet(path)
+    else:
+        name = f"written_{uuid.uuid4().hex}"
+        number, column = buckets
+        writer.format("parquet").bucketBy(number, column).sortBy(column).option("path", path).saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")  # external, so the files stay
     return seen.get["rows"]
 
 
@@ -53,14 +64,15 @@ class Swap:
         else:
             self.abandon()
 
-    def write(self, df: DataFrame, place: str, **options) -> int:
-        """Write the future rows of ``place`` aside; rows written."""
+    def write(self, df: DataFrame, place: str, below: str = "", **options) -> int:
+        """Write the future rows of ``place``, or of its folder ``below``, aside; rows written."""
         place = place.rstrip("/")
         if not f"{place}/".startswith(f"{self.root}/"):
             raise ValueError(f"{place} is not below {self.root}")
         if place not in self.places:
             self.places.append(place)
-        return write_counted(df, _beside(place, NEW, self.run), **options)
+        new = _beside(place, NEW, self.run)
+        return write_counted(df, f"{new}/{below}" if below else new, **options)
 
     def at(self, place: str) -> str:
         """Where the rows of ``place`` are to be read from inside the block: the new ones if it has any."""
