@@ -115,8 +115,14 @@ def area_profile(
 
     ``parent_size`` bounds the areas per parent; the dimension gives it without running the summary.
     """
+    return profile_of_areas(area_summary(fact, scale, **limits), communes, parent_size)
+
+
+def profile_of_areas(
+    summary: DataFrame, communes: DataFrame, parent_size: int | None = None
+) -> DataFrame:
     # Read several times from here on: by the statistics, the rows they join and the ranks.
-    named = durable(area_summary(fact, scale, **limits).join(communes, "code_insee"))
+    named = durable(summary.join(communes, "code_insee"))
     parent = ["departement"]
     if parent_size is None:
         parent_size = largest_group(named, parent)
@@ -160,8 +166,12 @@ def area_type_profile(
     fact: DataFrame | ByArea, scale: DataFrame, communes: DataFrame, **limits
 ) -> DataFrame:
     """The summary per area and property type, with the area's names."""
+    return profile_of_types(area_type_summary(fact, scale, **limits), communes)
+
+
+def profile_of_types(summary: DataFrame, communes: DataFrame) -> DataFrame:
     names = communes.select("code_insee", "nom", "departement", "region")
-    return area_type_summary(fact, scale, **limits).join(names, "code_insee").select(
+    return summary.join(names, "code_insee").select(
         "code_insee", "type_bien", "prix_m2_median", "nb_dpe", "pct_passoires", "cout_energie_annuel_median",
         "annee_construction_mediane", "nom", "departement", "region",
     )

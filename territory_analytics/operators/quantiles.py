@@ -179,7 +179,7 @@ def _holds_wanted_rank(asked) -> Column:
 
 
 def _pick(rows, keys, path, asked, wanted) -> DataFrame:
-    """Values at the wanted ranks, interpolated between the two neighbours."""
+    """Values at the wanted ranks of rows that know how many others lie below their slot."""
     values = rows.groupBy(*path, _VALUE).agg(
         F.count("*").alias("_copies"),
         F.first("_before").alias("_before"),
@@ -189,6 +189,28 @@ def _pick(rows, keys, path, asked, wanted) -> DataFrame:
     values = values.withColumn(
         "_from", F.col("_before") + F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
     )
+    return _at_wanted_ranks(values, keys, wanted)
+
+
+def quantiles_of_counts(counts: DataFrame, keys, metric: str, value: str, n: str, wanted) -> DataFrame:
+    """Exact quantiles of values that are stored with how often they occur: ``keys``, one column per wanted.
+
+    ``metric`` names the column a value belongs to.  A group's distinct values are sorted in one task,
+    which spills; its rows are never expanded.
+    """
+    keys = list(keys)
+    renamed = counts.select(*keys, F.col(metric).alias(_METRIC), F.col(value).alias(_VALUE), F.col(n).alias("_copies"))
+    summed = renamed.groupBy(*keys, _METRIC, _VALUE).agg(F.sum("_copies").alias("_copies")).where("_copies > 0")
+    group = W.partitionBy(*keys, _METRIC)
+    earlier = group.orderBy(_VALUE).rowsBetween(W.unboundedPreceding, -1)
+    placed = summed.withColumns(
+        {"_from": F.coalesce(F.sum("_copies").over(earlier), F.lit(0)), "_total": F.sum("_copies").over(group)}
+    )
+    return _at_wanted_ranks(placed, keys, wanted)
+
+
+def _at_wanted_ranks(values, keys, wanted) -> DataFrame:
+    """Values at the wanted ranks, interpolated between the two neighbours."""
 
     def at(column, rank):
         covered = (rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_copies"))

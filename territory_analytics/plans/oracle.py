@@ -625,6 +625,7 @@ ORACLE = {
         UNION ALL SELECT 'dvf_stats_commune_type', count(*) FROM ({_SPREAD})
         UNION ALL SELECT 'fact_biens', least(2000, count(*)) FROM fact"""),
     "daily_run": _with("run_scored", "SELECT * FROM run_scored"),
+    "incremental_marts": _with("run_scored", "SELECT * FROM run_scored"),
     "stream_refresh": _with("typed_certs", """
         SELECT CASE WHEN etiquette_ges = 'F' THEN '2026-06-17' ELSE dt END AS dt, etiquette_dpe, count(*) AS n,
           count(surface_habitable) AS n_surface

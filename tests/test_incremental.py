@@ -1,0 +1,88 @@
+"""Mergeable states against the rows they stand for, and marts kept up to date wave by wave."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from test_daily import DS, raw, sales_csv
+from test_layout import fact
+
+from territory_analytics import schemas
+from territory_analytics.operators import profiles, states
+from territory_analytics.operators.dimensions import label_scale
+from territory_analytics.operators.quantiles import quantiles_of_counts
+from territory_analytics.plans import incremental
+from territory_analytics.plans.daily import Lake, run_day
+from territory_analytics.sinks.tables import MARTS, add_raw_parts, replace_table
+from territory_analytics.sources.tables import read_table
+
+
+def test_merged_states_give_the_figures_of_the_rows(spark):
+    """Rows added in three parts, one part taken out again."""
+    scale = label_scale(spark)
+    whole = fact(spark, 1_500).where("code_insee IS NOT NULL").withColumn("part", F.pmod(F.xxhash64(*schemas.FACT.names), F.lit(4)))
+    parts = [whole.where(F.col("part") == k).drop("part") for k in range(4)]
+    kept = whole.where("part < 3").drop("part")
+    totals = states.merged(states.added_up(*[states.totals(p, scale) for p in parts], states.negative(states.totals(parts[3], scale))))
+    values = states.merged(states.added_up(*[states.values(p) for p in parts], states.negative(states.values(parts[3]))))
+    summary = states.summary_of(totals, values)
+    want = profiles.area_summary(kept, scale)
+    assert rows(summary, *want.columns) == rows(want)
+    kpi = profiles.area_kpi(kept, scale, DS)
+    assert rows(states.kpi_of(summary, DS), *kpi.columns) == rows(kpi)
+    types = profiles.area_type_summary(kept, scale)
+    assert rows(states.type_summary_of(totals, values), *types.columns) == rows(types)
+
+
+def test_replacing_a_row_by_another_of_its_group_changes_the_sums(spark):
+    scale = label_scale(spark)
+    old = fact(spark, 400).where("code_insee = '00001'").limit(1)
+    new = old.withColumn("conso_energie", F.lit(12.5))
+    change = states.added_up(states.totals(new, scale), states.negative(states.totals(old, scale)))
+    row = states.merged(states.added_up(states.totals(old, scale), change)).first()
+    assert change.first()["n"] == 0 and row["n"] == 1 and float(row["somme_conso"]) == 12.5
+
+
+def test_quantiles_of_counts(spark):
+    counts = spark.createDataFrame([("a", "x", 1.0, 3), ("a", "x", 2.0, 1), ("a", "x", 2.0, 2), ("a", "x", 9.0, 0), ("b", "y", 5.0, 1)], "k string, m string, v double, n long")
+    got = quantiles_of_counts(counts, ["k"], "m", "v", "n", {"mx": ("x", 0.5), "my": ("y", 0.5)})
+    assert rows(got) == [("a", 1.5, None), ("b", None, 5.0)]
+
+
+@pytest.fixture
+def lake(spark, folder):
+    lake = Lake(folder)
+    sales_csv(lake)
+    dims = [("33281", "Merignac", "33", "75", 1), ("33001", "Abzac", "33", "75", 1)]
+    replace_table(spark.createDataFrame(dims, schemas.DIM_COMMUNE), lake.at("ref", "dim_commune"))
+    replace_table(label_scale(spark), lake.at("ref", "dim_dpe"))
+    return lake
+
+
+def marts(spark, lake):
+    names = ("mart_commune", "mart_commune_type", "mart_opportunites", "kpi_commune")
+    return [rows(read_table(spark, lake.at("gold", n))) for n in names]
+
+
+def test_waves_equal_a_full_run(spark, lake, folder, monkeypatch):
+    everything = raw(spark, 400)
+    newer = everything.where("numero_dpe IN ('D1', 'D2', 'D30')").withColumn("date_etablissement_dpe", F.lit("2026-03-01"))
+    newer = newer.withColumn("cout_total_5_usages", F.lit("4000")).withColumn("code_insee_ban", F.lit("33001"))
+    incremental.open_day(spark, lake, DS)
+    first = incremental.add_wave(spark, lake, DS, everything)
+    assert (first["ajoutes"], first["remplaces"]) == (400, 0)
+    second = incremental.add_wave(spark, lake, DS, newer, most_waves=1)
+    assert (second["ajoutes"], second["communes"]) == (3, 2)
+    waved = marts(spark, lake)
+
+    monkeypatch.setattr(incremental.profiles, "opportunities", lambda *_: spark.range(1).select(F.raise_error(F.lit("lost"))))
+    with pytest.raises(Exception, match="lost"):
+        incremental.add_wave(spark, lake, DS, raw(spark, 450))
+    assert marts(spark, lake) == waved and read_table(spark, lake.at("silver", "dpe")).count() == 400
+    monkeypatch.undo()
+
+    again = incremental.add_wave(spark, lake, DS, newer)
+    assert again == {"ajoutes": 0, "remplaces": 0, "communes": 0} and marts(spark, lake) == waved
+
+    add_raw_parts(everything.unionByName(newer), lake.at("raw", "dpe"), DS, ["33"])
+    run_day(spark, lake, DS)
+    assert set(MARTS) >= {"mart_commune"} and marts(spark, lake) == waved
