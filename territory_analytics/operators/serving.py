@@ -9,6 +9,7 @@ from ..functions.numbers import down_to_step, half_even
 from ..storage import durable
 from .filters import COMMUNES, DWELLINGS, TYPED, Filters, for_table, predicate
 from .joins import fresh
+from ..sources.tables import PartitionedTable
 from .latest import latest_partition
 
 COMPARED = ("prix_m2", "pct_passoires", "conso_energie_med", "indice_sous_cotation")
@@ -200,9 +201,12 @@ def filter_options(mart_commune: DataFrame, mart_commune_type: DataFrame, geo: D
     return filter_choices(rows, mart_commune_type), slider_bounds(rows)
 
 
-def label_counts(fact: DataFrame, communes: DataFrame, filters: Filters = Filters()) -> DataFrame:
-    """Dwellings by (commune, label) in the newest partition."""
-    current = latest_partition(fact).select("code_insee", "type_bien", "etiquette")
+def label_counts(
+    fact: DataFrame | PartitionedTable, communes: DataFrame, filters: Filters = Filters()
+) -> DataFrame:
+    """Dwellings by (commune, label) in the newest partition, which a partitioned table knows unread."""
+    newest = fact.newest() if isinstance(fact, PartitionedTable) else latest_partition(fact)
+    current = newest.select("code_insee", "type_bien", "etiquette")
     names = communes.select("code_insee", F.col("nom").alias("commune"), "departement", "region")
     named = current.join(names, "code_insee")
     return (
@@ -213,7 +217,7 @@ def label_counts(fact: DataFrame, communes: DataFrame, filters: Filters = Filter
 
 
 def label_distribution(
-    fact: DataFrame,
+    fact: DataFrame | PartitionedTable,
     communes: DataFrame,
     filters: Filters = Filters(),
     top_n: int = V.DISTRIBUTION_TOP_N,
@@ -226,8 +230,8 @@ def label_distribution(
     return counts.join(top, "commune", "left_semi").orderBy("commune", "etiquette")
 
 
-def pick_opportunities(rows: DataFrame, k: float) -> DataFrame:
-    """Rows ``k`` deviations below the parent or under its median, best score first."""
+def pick_opportunities(rows: DataFrame, k: float, ordered: bool = True) -> DataFrame:
+    """Rows ``k`` deviations below the parent or under its median, best score first if ``ordered``."""
     z = F.coalesce("z", F.lit(0.0))
     gap = F.coalesce("indice_sous_cotation", F.lit(0.0))
     score = F.col("score_opportunite").try_cast("double")
@@ -238,6 +242,8 @@ def pick_opportunities(rows: DataFrame, k: float) -> DataFrame:
             "etiquette_opportunite": serving_wording(F.col("pct_passoires")),
         }
     )
+    if not ordered:
+        return kept
     return kept.orderBy(
         F.desc_nulls_last("score_opportunite"), F.asc_nulls_last("indice_sous_cotation")
     )
@@ -248,12 +254,16 @@ def serve_opportunities(
     mart_commune: DataFrame,
     geo: DataFrame,
     filters: Filters = Filters(),
+    ordered: bool = True,
 ) -> DataFrame:
-    """Filtered opportunities; the market stands in where the filters leave no scored row."""
+    """Filtered opportunities; the market stands in where the filters leave no scored row.
+
+    Figures and top lists need no order of their own, so they ask for rows that are not ``ordered``.
+    """
     rows = opportunity_view(mart_opportunites, geo).where(predicate(for_table(filters, TYPED)))
     if rows.isEmpty():
         rows = market_rows(mart_commune, geo, filters)
-    return pick_opportunities(rows, filters.opportunite_k)
+    return pick_opportunities(rows, filters.opportunite_k, ordered)
 
 
 def double_signal(rows: DataFrame) -> DataFrame:

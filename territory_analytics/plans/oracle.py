@@ -610,6 +610,14 @@ ORACLE = {
           SELECT o_orderkey, o_orderstatus AS dt FROM orders
           WHERE o_orderstatus = 'P' OR (o_orderstatus IN ('F', 'O') AND o_orderkey % 2 = 1)
           UNION ALL SELECT o_orderkey, 'X' FROM orders WHERE o_orderkey <= 10) GROUP BY dt""",
+    "scope_errors": """
+        SELECT perimetre, nullif((SELECT count(*) FROM orders
+          WHERE list_contains(list_transform(string_split(perimetre, ','), lambda s: trim(s)), o_orderstatus)), 0) AS lignes
+        FROM (VALUES ('F, Z'), ('Z'), (''), ('O,P')) AS v(perimetre)""",
+    "business_dates": f"""
+        SELECT 'donnee' AS source, '{DS}' AS jour
+        UNION ALL SELECT 'amont', strftime(max(ts), '%Y-%m-%d') FROM events""",
+    "written_codecs": "SELECT unnest(['raw', 'table']) AS zone, 'ZSTD' AS codec",
     "additive_parts": """
         SELECT o_orderstatus AS dep, count(*) AS lignes, true AS parts_bornees FROM orders
         WHERE o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT' GROUP BY o_orderstatus""",

@@ -14,7 +14,7 @@ from ..operators.filters import TYPED, Filters, for_table, predicate
 from ..operators.quantiles import grouped_quantiles, largest_group
 from ..sinks import tables as sinks
 from ..sinks.swap import Swap
-from ..sources import drifting_parquet, pages, tables as sources, text_files
+from ..sources import drifting_parquet, pages, parts, tables as sources, text_files
 from ..storage import scratch_path
 from ..streaming.refresh import refresh_silver
 from . import incremental, standin as S
@@ -309,14 +309,18 @@ def city_alias(t):
     return kept.groupBy("n_name").agg(F.count("*").alias("n"))
 
 
-@registered
-def serve_opportunities(t):
+def _opportunities(t, ordered=False):
     t.store("mart_opportunites")
     return serving.serve_opportunities(
-        t.mart_opportunites, t.mart_commune, t.geo, S.DEALS
+        t.mart_opportunites, t.mart_commune, t.geo, S.DEALS, ordered
     )
 
 
+@registered
+def serve_opportunities(t):
+    return _opportunities(t, ordered=True)
+
+
 @registered
 def serve_opportunities_fallback(t):
     """No scored row matches the type filter, so the market stands in."""
@@ -329,7 +333,7 @@ def serve_opportunities_fallback(t):
 
 @registered
 def label_distribution_topn(t):
-    return serving.label_distribution(t.fact, t.communes, S.ENERGY)
+    return serving.label_distribution(t.dated_fact, t.communes, S.ENERGY)
 
 
 @registered
@@ -414,7 +418,7 @@ def map_kpis(t):
 
 @registered
 def opportunity_kpis(t):
-    return _rounded(reports.opportunity_kpis(serve_opportunities(t)), "pct_passoires_moyen")
+    return _rounded(reports.opportunity_kpis(_opportunities(t)), "pct_passoires_moyen")
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -445,21 +449,21 @@ def by_sieve_share(t):
 
 @registered
 def badges(t):
-    rows = serve_opportunities(t)
+    rows = _opportunities(t)
     wording = labels.badges(F.col("indice_sous_cotation"), F.col("pct_passoires"))
     return rows.select("commune", "type_bien", wording.alias("badges"))
 
 
 @registered
 def leaderboard(t):
-    return reports.leaders(serve_opportunities(t), 5).select(
+    return reports.leaders(_opportunities(t), 5).select(
         "commune", "departement", "type_bien", "prix_m2", "score_opportunite", "badges"
     )
 
 
 @registered
 def double_signal(t):
-    return reports.featured(serve_opportunities(t)).select("commune", "type_bien", "score_opportunite")
+    return reports.featured(_opportunities(t)).select("commune", "type_bien", "score_opportunite")
 
 
 @registered
@@ -708,6 +712,43 @@ def source_filter(t):
     return kept.groupBy("dep", "code_insee_ban").agg(F.count("*").alias("n"))
 
 
+@registered
+def scope_errors(t):
+    """Rows per scope of order statuses: a missing one is tolerated, a scope without any is an error."""
+    path = scratch_path(t.spark, "scope")
+    orders = t.given("orders").select("o_orderkey", F.col("o_orderstatus").alias("dep"))
+    orders.write.partitionBy("dep").parquet(path)
+    stored = sources.read_table(t.spark, path)
+    rows = []
+    for text in ("F, Z", "Z", "", "O,P"):
+        try:
+            found = text_files.in_scope(stored, text_files.scope_list(text)).count()
+        except FileNotFoundError:
+            found = None
+        rows.append((text, found))
+    return t.spark.createDataFrame(rows, "perimetre string, lignes bigint")
+
+
+@registered
+def business_dates(t):
+    """The given date wins over upstream's, here that of the newest event; upstream's over today."""
+    upstream = t.given("events").agg(F.max(F.to_date("ts")).cast("string")).first()[0]
+    rows = [("donnee", sinks.business_date(S.DS, upstream)), ("amont", sinks.business_date(None, upstream))]
+    return t.spark.createDataFrame(rows, "source string, jour string")
+
+
+@registered
+def written_codecs(t):
+    """Compression of every column of every written file, from the footers."""
+    path = scratch_path(t.spark, "codec")
+    orders = t.given("orders").select("o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("dep"))
+    sinks.add_raw_parts(orders, f"{path}/raw", S.DS, ["F", "O", "P"])
+    sinks.replace_partition(orders, f"{path}/table", S.DS)
+    files = parts.list_files(t.spark, [path], "*.parquet")
+    zone = F.regexp_extract("path", "/(raw|table)/", 1)
+    return drifting_parquet.codecs(files).select(zone.alias("zone"), "codec").distinct()
+
+
 @registered
 def scoped_partitions(t):
     path = scratch_path(t.spark, "scope")

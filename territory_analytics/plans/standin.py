@@ -15,6 +15,8 @@ from ..operators.cleaning import plausible
 from ..operators.dimensions import label_scale
 from ..operators.filters import Filters
 from ..operators.quantiles import largest_group
+from ..sinks.tables import replace_partition
+from ..sources.tables import PartitionedTable
 from ..storage import durable, scratch_path
 
 DS = "2026-06-18"
@@ -189,6 +191,14 @@ class Tables:
         """For queries that read the fact once; marts read ``fact_by_area``."""
         return self.priced(self.certificates)
 
+    @cached_property
+    def dated_fact(self) -> PartitionedTable:
+        """Stored by date, with an older partition of other rows beside the newest."""
+        table = PartitionedTable(self.spark, scratch_path(self.spark, "fact"), schemas.FACT)
+        replace_partition(self.fact, table.root, DS)
+        replace_partition(table.at(DS).where("type_bien = 'maison'"), table.root, "2026-01-01")
+        return table
+
     @cached_property
     def fact_by_area(self) -> ByArea:
         """Stored by area, as in the daily run."""

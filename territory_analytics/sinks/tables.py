@@ -4,9 +4,12 @@ from datetime import datetime
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import fixed_values as V
 from ..operators.sampling import exact_sample
+from ..sources import manifest
+from ..sources.drifting_parquet import signature_of
 from ..sources.tables import newest_partition, read_table
 from .swap import Swap
 
@@ -49,7 +52,8 @@ def add_raw_parts(
     Rows are first rebalanced by département, which splits a dominant one over several tasks, so a
     département has few files.  Where tasks hold one département each (``mixed`` off) they write
     straight to it.  A file is closed after ``rows_per_part`` rows.  Listed départements without rows
-    end up empty; rows of any other département are an error, and nothing is replaced then.
+    end up empty; rows of any other département are an error, and nothing is replaced then.  The files are
+    recorded in the table's manifest, so readers need not open them to plan.
     """
     spark, day = df.sparkSession, f"{root}/dt={ds}"
     listed = F.coalesce(F.col("dep").isin(*departements), F.lit(False))
@@ -73,6 +77,8 @@ def add_raw_parts(
     for dep in (d for d, n in written.items() if n == 0):
         nothing = spark.createDataFrame([], rows.drop("dep").schema)
         nothing.write.mode("overwrite").parquet(f"{day}/dep={dep}")
+    signature = signature_of(to_arrow_schema(rows.drop("dep").schema))
+    manifest.record(spark, root, [f"{day}/dep={dep}" for dep in departements], signature)
     return written
 
 

@@ -2,15 +2,39 @@
 
 from functools import reduce
 
+import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .manifest import known_signatures
 from .parts import by_signature, list_files, open_part, scoped_folders
 
 
+def signature_of(fields: pa.Schema) -> str:
+    return ";".join(f"{f.name}:{f.type}" for f in fields)
+
+
 def schema_of(path: str) -> str:
     with open_part(path) as handle:
-        return ";".join(f"{f.name}:{f.type}" for f in pq.read_schema(handle))
+        return signature_of(pq.read_schema(handle))
+
+
+def codecs(files: DataFrame) -> DataFrame:
+    """``path`` and ``codec`` of every column chunk of listed Parquet files; only footers are read."""
+
+    def read(batches):
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                with open_part(path) as handle:
+                    footer = pq.read_metadata(handle)
+                groups = [footer.row_group(g) for g in range(footer.num_row_groups)]
+                kinds = {group.column(c).compression for group in groups for c in range(group.num_columns)}
+                found += [(path, kind) for kind in sorted(kinds)]
+            yield pd.DataFrame(found, columns=["path", "codec"])
+
+    return files.select("path").mapInPandas(read, "path string, codec string")
 
 
 def read_text_parts(
@@ -20,7 +44,8 @@ def read_text_parts(
 
     One scan per distinct file schema, so pruning and push-down still reach Parquet.  Columns a part
     lacks are NULL.  Partition values keep their exact text ("01", "2A").  ``scope`` maps partition
-    columns to the values wanted; of the first one, folders of other values are not even listed.
+    columns to the values wanted; of the first one, folders of other values are not even listed.  Files
+    that the table's manifest lists are not opened to plan.
     """
     scope, first = scope or {}, partitions[0] if partitions else None
     folders = scoped_folders(spark, root, first, scope[first]) if first in scope else [root]
@@ -29,7 +54,7 @@ def read_text_parts(
         files = list_files(spark, folders, "*.parquet")
         for name, values in scope.items():
             files = files.where(F.regexp_extract("path", f"/{name}=([^/]+)/", 1).isin(*values))
-        groups = by_signature(files, schema_of)
+        groups = by_signature(known_signatures(spark, root, files), schema_of)
     if not groups:
         raise FileNotFoundError(f"no part below {root} for {scope or 'any partition'}")
     return reduce(

@@ -13,10 +13,15 @@ FILES_PER_TASK = 200
 
 
 def list_files(spark: SparkSession, roots: list[str], pattern: str) -> DataFrame:
-    """``path`` and ``folder`` of the files below ``roots``; only listings are read, never contents."""
+    """``path``, ``folder``, ``modified`` and ``bytes`` of the files below ``roots``; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    paths = reader.option("pathGlobFilter", pattern).load(roots).select("path")
-    return paths.withColumn("folder", F.regexp_replace("path", r"/[^/]*$", ""))
+    found = reader.option("pathGlobFilter", pattern).load(roots)
+    return found.select(
+        "path",
+        F.regexp_replace("path", r"/[^/]*$", "").alias("folder"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("bytes"),
+    )
 
 
 def scoped_folders(spark: SparkSession, root: str, column: str, values) -> list[str]:
@@ -47,19 +52,29 @@ def first_line(path: str) -> str:
         return io.TextIOWrapper(io.BufferedReader(stream), "utf-8-sig", newline="").readline().rstrip("\r\n")
 
 
-def by_signature(files: DataFrame, signature: Callable[[str], str]) -> dict[str, list[str]]:
-    """Signature -> the folders whose files all have it, and single files of the other folders.
-
-    Signatures are taken in tasks.  What comes to the driver is one row per folder; paths of files only
-    where a folder is mixed, which is the exception.
-    """
+def signed_files(files: DataFrame, signature: Callable[[str], str]) -> DataFrame:
+    """The files with their ``signature``, taken in tasks."""
 
     def signed(batches):
         for batch in batches:
             yield batch.assign(signature=[signature(p) for p in batch["path"]])
 
     tasks = max(1, files.count() // FILES_PER_TASK)
-    marked = files.repartition(tasks).mapInPandas(signed, "path string, folder string, signature string")
+    columns = files.select("path", "folder", "modified", "bytes")
+    return columns.repartition(tasks).mapInPandas(signed, "path string, folder string, modified timestamp, bytes bigint, signature string")
+
+
+def by_signature(files: DataFrame, signature: Callable[[str], str]) -> dict[str, list[str]]:
+    """Signature -> the folders whose files all have it, and single files of the other folders.
+
+    Files that come with a ``signature`` are not opened.  What comes to the driver is one row per folder;
+    paths of files only where a folder is mixed, which is the exception.
+    """
+    known = files.where("signature IS NOT NULL") if "signature" in files.columns else files.limit(0).withColumn("signature", F.lit(""))
+    unknown = files.where("signature IS NULL").drop("signature") if "signature" in files.columns else files
+    marked = known.select("path", "folder", "signature")
+    if not unknown.isEmpty():
+        marked = marked.unionByName(signed_files(unknown, signature).select("path", "folder", "signature"))
     kinds = marked.groupBy("folder").agg(
         F.min("signature").alias("signature"),
         F.when(F.min("signature") != F.max("signature"), F.collect_list(F.struct("path", "signature"))).alias("files"),

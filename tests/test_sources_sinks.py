@@ -76,6 +76,65 @@ def test_newest_partition_is_read_from_the_listing(spark, folder):
     assert newest_partition(spark, folder) == "2026-06-10"
 
 
+def test_listed_files_are_not_opened_to_plan(spark, folder, monkeypatch):
+    from territory_analytics.sources import drifting_parquet, manifest, text_files
+
+    def closed(path):
+        raise AssertionError(f"{path} was opened")
+
+    a = spark.createDataFrame([(1, 2.5, "33"), (2, None, "2A")], "a bigint, b double, dep string")
+    b = spark.createDataFrame([("x", "44")], "a string, dep string")
+    sinks.add_raw_parts(a, folder, "2026-06-18", ["33", "2A"])
+    sinks.add_raw_parts(b, folder, "2026-06-18", ["44"])
+    listed = manifest.entries(spark, folder)
+    assert rows(listed.groupBy("signature").agg(F.sum("rows"))) == [("a:int64;b:double", 2), ("a:string", 1)]
+    want = sorted([("1", "2.5", "33"), ("2", None, "2A"), ("x", None, "44")], key=repr)
+    monkeypatch.setattr(drifting_parquet, "schema_of", closed)
+    scope = {"dt": ["2026-06-18"]}
+    assert rows(read_text_parts(spark, folder, ["a", "b"], scope=scope), "a", "b", "dep") == want
+    monkeypatch.undo()
+    # A file that somebody else landed is opened; a rewritten one no longer matches its entry.
+    spark.createDataFrame([(7,)], "a int").write.parquet(f"{folder}/dt=2026-06-18/dep=57")
+    sinks.add_raw_parts(b.withColumn("a", F.lit("y")), folder, "2026-06-18", ["44"])
+    got = rows(read_text_parts(spark, folder, ["a", "b"], scope=scope), "a", "b", "dep")
+    assert got == sorted([want[0], want[1], ("7", None, "57"), ("y", None, "44")], key=repr)
+
+    csv = f"{folder}/csv"
+    for name, text in (("1.csv", "u,v\n1,2\n"), ("2.csv", "v,u\n4,3\n")):
+        (p := __import__("pathlib").Path(csv, name)).parent.mkdir(exist_ok=True)
+        p.write_text(text)
+    assert text_files.index_headers(spark, csv) == 2 and text_files.index_headers(spark, csv) == 0
+    monkeypatch.setattr(text_files, "first_line", closed)
+    assert rows(text_files.read_csv_text(spark, csv), "u", "v") == [("1", "2"), ("3", "4")]
+
+
+def test_a_partitioned_table_reads_its_newest_partition_only(spark, folder):
+    from territory_analytics.operators import serving
+    from territory_analytics.sources.tables import PartitionedTable
+
+    fact = spark.createDataFrame([("33281", "maison", "A"), ("33281", "maison", "F")], "code_insee string, type_bien string, etiquette string")
+    whole = fact.select(*[(F.col(c) if c in fact.columns else F.lit(None).cast(f.dataType)).alias(c) for c, f in zip(schemas.FACT.names, schemas.FACT)])
+    for day, n in (("2026-06-09", 2), ("2026-06-10", 1), ("2026-06-11", 0)):
+        sinks.replace_partition(whole.limit(n), folder, day)
+    table = PartitionedTable(spark, folder, schemas.FACT)
+    communes = spark.createDataFrame([("33281", "Merignac", "33", "75", 1)], schemas.DIM_COMMUNE)
+    counts = serving.label_counts(table, communes)
+    assert [f for f in counts.inputFiles() if "/dt=" in f and "dt=2026-06-10" not in f] == []
+    assert sum(r["nb"] for r in counts.collect()) == 1
+    assert table.rows().count() == 3 and table.at("2026-06-09").first()["dt"] == date(2026, 6, 9)
+    assert PartitionedTable(spark, f"{folder}/dt=2026-06-09", schemas.FACT).newest().count() == 0
+
+
+def test_figures_ask_for_rows_without_order(spark):
+    from territory_analytics.operators import serving
+
+    columns = "z double, indice_sous_cotation double, score_opportunite double, pct_passoires double"
+    rows_in = spark.createDataFrame([(-2.0, -5.0, None, 30.0)], columns)
+    plain = serving.pick_opportunities(rows_in, 1.0, ordered=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plain
+    assert "Sort" in serving.pick_opportunities(rows_in, 1.0)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_business_date(monkeypatch):
     assert sinks.business_date("2026-01-02", "2025-01-01") == "2026-01-02"
     assert sinks.business_date(None, "2025-01-01") == "2025-01-01"
