@@ -1,17 +1,18 @@
 """Exact continuous quantiles per group, safe for groups of any size.
 
 The built-in ``percentile`` is exact but holds every distinct value of a group in one task.  That is
-the cheapest plan for moderate groups, which a combinable count tells apart.  In an oversized group
-the quantile is found by counting: rows are counted in value slots, only the slots that hold a wanted
-rank are opened again on a finer grid, and so on until the open slots are small.  No task ever holds
-such a group, the counts combine before every shuffle, and the result is still exact.
+the cheapest plan for moderate groups, which a combinable count tells apart.  In an oversized group two
+scans find the quantile.  The first builds a mergeable quantile sketch, whose values just below and just
+above a wanted rank bracket it; the second counts the rows below each bracket and the values inside it,
+some thousandth of the group, which are then placed exactly.  Brackets follow ranks, so no distribution
+needs a third scan; should a sketch err beyond its bound, the counts show it and only that bracket is
+widened and counted again.
 """
 
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.numbers import even_slot, ordered_slot
 from ..storage import durable
 from .joins import join_groups
 
@@ -20,9 +21,9 @@ GROUP_LIMIT = 1_000_000
 # Rows of a group whose values may sit in the percentile buffer.  An aggregating task holds up to 128
 # such buffers of some 100 bytes a value on its heap, so this stays near one gigabyte.
 VALUE_LIMIT = 100_000
-GRID = 1024
-# A first slot spans at most 2**52 doubles and every round divides the span by GRID = 2**10.
-MOST_ROUNDS = 7
+# The sketch errs by one in so many rows of a group; a bracket reaches that many times as far.
+ACCURACY, REACH = 10_000, 4
+WIDER = 16
 
 _METRIC, _VALUE, _ALL = "_metric", "_value", "_all"
 
@@ -125,71 +126,69 @@ def _by_counting(df, keys, wanted, others, limit) -> DataFrame:
         ),
     ).where(F.col(_VALUE).isNotNull())
 
-    path = [*keys, _METRIC, "_slot0"]
-    rows = rows.withColumn("_slot0", ordered_slot(F.col(_VALUE)))
-    for round_no in range(MOST_ROUNDS):
-        slots = rows.groupBy(*path).agg(
-            F.count("*").alias("_n"),
-            F.min(_VALUE).alias("_low"),
-            F.max(_VALUE).alias("_high"),
-            *([F.first("_before").alias("_start"), F.first("_total").alias("_total")] if round_no else []),
-        )
-        group = W.partitionBy(*path[:-1])
-        earlier = group.orderBy(path[-1]).rowsBetween(W.unboundedPreceding, -1)
-        start = F.col("_start") if round_no else F.lit(0)
-        slots = slots.withColumn(
-            "_before", start + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-        )
-        if round_no == 0:
-            slots = slots.withColumn("_total", F.sum("_n").over(group))
-        open_slots = durable(
-            slots.where(_holds_wanted_rank(asked)).select(
-                *path, "_n", "_low", "_high", "_before", "_total"
-            )
-        )
-        widest = open_slots.where("_high > _low").agg(F.max("_n")).first()[0] or 0
-        rows = join_groups(rows.select(*path, _VALUE), open_slots, path, "inner")
-        if widest <= limit:
+    # At least two ranks of a group of more than ``limit`` rows.
+    reach = max(REACH / ACCURACY, 2 / max(1, limit))
+    brackets = durable(_brackets(rows, keys, asked, reach))
+    placed = durable(_placed_in(rows, keys, brackets))
+    while reach < 1:
+        missed = durable(_missed(brackets, placed, keys))
+        if missed.isEmpty():
             break
-        finer = f"_slot{round_no + 1}"
-        rows = rows.withColumn(
-            finer, even_slot(F.col(_VALUE), F.col("_low"), F.col("_high"), GRID)
-        )
-        path = [*path, finer]
-
-    found = _pick(rows, keys, path, asked, wanted)
+        reach *= WIDER
+        path = [*keys, _METRIC, "_share"]
+        kept = join_groups(brackets, missed, path, "left_anti")
+        wider = join_groups(_brackets(rows, keys, asked, reach), missed, path, "left_semi")
+        brackets = durable(kept.unionByName(wider))
+        placed = durable(_placed_in(rows, keys, brackets))
+    found = _at_wanted_ranks(placed, keys, wanted)
     base = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *others).drop("_rows")
     result = join_groups(base, found, keys)
     return result.drop(_ALL) if whole_table else result
 
 
-def _holds_wanted_rank(asked) -> Column:
-    """Does a slot cover the lower or upper neighbour of a wanted position?"""
-    end = F.col("_before") + F.col("_n")
+def _brackets(rows, keys, asked, reach: float) -> DataFrame:
+    """First scan: per group, column and wanted share the values that enclose its rank; NULL where open."""
+    shares = sorted({p for ps in asked.values() for p in ps})
+    cuts = sorted({c for p in shares for c in (p - reach, p + reach) if 0 < c < 1})
+    sketch = F.percentile_approx(_VALUE, [*cuts, 0.5], ACCURACY)
+    sketched = rows.groupBy(*keys, _METRIC).agg(F.count("*").alias("_total"), sketch.alias("_cuts"))
 
-    def covers(rank):
-        return (rank >= F.col("_before")) & (rank < end)
+    def cut(share: float):
+        return F.col("_cuts")[cuts.index(share)] if share in cuts else F.lit(None).cast("double")
 
-    tests = [
-        (F.col(_METRIC) == column) & (covers(F.floor(_place(p))) | covers(F.ceil(_place(p))))
-        for column, shares in asked.items()
-        for p in shares
+    # One entry per share that the column is asked for.
+    entries = [
+        F.struct(F.lit(column).alias("_asked"), F.lit(p).alias("_share"), cut(p - reach).alias("_low"), cut(p + reach).alias("_high"))
+        for column, ps in asked.items()
+        for p in ps
     ]
-    return reduce(lambda a, b: a | b, tests)
-
-
-def _pick(rows, keys, path, asked, wanted) -> DataFrame:
-    """Values at the wanted ranks of rows that know how many others lie below their slot."""
-    values = rows.groupBy(*path, _VALUE).agg(
-        F.count("*").alias("_copies"),
-        F.first("_before").alias("_before"),
-        F.first("_total").alias("_total"),
-    )
-    earlier = W.partitionBy(*path).orderBy(_VALUE).rowsBetween(W.unboundedPreceding, -1)
-    values = values.withColumn(
-        "_from", F.col("_before") + F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
-    )
-    return _at_wanted_ranks(values, keys, wanted)
+    each = sketched.select(*keys, _METRIC, "_total", F.inline(F.array(*entries)))
+    return each.where(F.col("_asked") == F.col(_METRIC)).drop("_asked")
+
+
+def _placed_in(rows, keys, brackets) -> DataFrame:
+    """Second scan: values inside the brackets with the number of rows before them; counts combine early."""
+    path = [*keys, _METRIC, "_share"]
+    met = join_groups(rows, brackets, [*keys, _METRIC], "inner")
+    inside = met.where(F.col("_high").isNull() | (F.col(_VALUE) <= F.col("_high")))
+    # Rows below a bracket are only counted.
+    below = F.col("_low").isNotNull() & (F.col(_VALUE) < F.col("_low"))
+    counted = inside.groupBy(*path, "_total", F.when(~below, F.col(_VALUE)).alias(_VALUE)).agg(F.count("*").alias("_copies"))
+    # A row below sorts first, as NULL does.
+    earlier = W.partitionBy(*path).orderBy(F.col(_VALUE).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    return counted.withColumn("_from", F.coalesce(F.sum("_copies").over(earlier), F.lit(0))).where(F.col(_VALUE).isNotNull())
+
+
+def _missed(brackets, placed, keys) -> DataFrame:
+    """Brackets that do not hold both neighbours of their rank."""
+    path = [*keys, _METRIC, "_share"]
+    place = F.col("_share") * (F.col("_total") - 1)
+    covers = [
+        F.count_if((rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_copies")))
+        for rank in (F.floor(place), F.ceil(place))
+    ]
+    held = placed.groupBy(*path).agg(F.least(*covers).alias("_held")).where("_held > 0").drop("_held")
+    return join_groups(brackets.select(*path), held, path, "left_anti")
 
 
 def quantiles_of_counts(counts: DataFrame, keys, metric: str, value: str, n: str, wanted) -> DataFrame:

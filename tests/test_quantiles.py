@@ -161,3 +161,40 @@ def test_only_oversized_groups_are_ranked_by_counting(spark, monkeypatch):
     split = sorted(map(repr, rank_in_group(df, ["k"], "v", "r", limit=150).collect()))
     assert seen == [200]
     assert split == sorted(map(repr, rank_in_group(df, ["k"], "v", "r").collect()))
+
+
+def test_two_scans_find_the_quantile_of_any_distribution(spark, monkeypatch):
+    """A hot group over all magnitudes, one packed into a hair's breadth, one with a value that fills half of it."""
+    from territory_analytics.operators import quantiles
+
+    n = 60_000
+    x = F.rand(3)
+    df = spark.range(n).select(
+        F.element_at(F.array(F.lit("wide"), F.lit("packed"), F.lit("heavy")), (F.col("id") % 3 + 1).cast("int")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.exp(x * 600 - 300))
+        .when(F.col("id") % 3 == 1, 1 + x * 1e-12)
+        .otherwise(F.when(F.col("id") % 2 == 0, 7.25).otherwise(x * 20)).alias("v"),
+    )
+    df = quantiles.durable(df)
+    wanted = {f"q{k}": ("v", p) for k, p in enumerate((0.0, 0.1, 0.5, 0.77, 1.0))}
+    scans = []
+    plain = quantiles._placed_in
+    monkeypatch.setattr(quantiles, "_placed_in", lambda rows, keys, b: scans.append(1) or plain(rows, keys, b))
+    counted = sorted(map(tuple, grouped_quantiles(df, ["k"], wanted, limit=15_000).collect()))
+    assert counted == sorted(map(tuple, grouped_quantiles(df, ["k"], wanted, limit=10**6).collect()))
+    assert scans == [1]
+
+
+def test_a_sketch_that_errs_is_made_up_for(spark, monkeypatch):
+    from territory_analytics.operators import quantiles
+
+    df = spark.range(5_000).select(F.lit("a").alias("k"), (F.col("id") * 7 % 5_000).cast("double").alias("v"))
+    plain = quantiles._brackets
+
+    def wrong(rows, keys, asked, reach):
+        found = plain(rows, keys, asked, reach)
+        return found.withColumn("_low", F.col("_high")) if reach < 0.01 else found
+
+    monkeypatch.setattr(quantiles, "_brackets", wrong)
+    got = grouped_quantiles(df, ["k"], {"m": ("v", 0.5), "h": ("v", 0.9)}, limit=1_000).first()
+    assert (got["m"], got["h"]) == (2499.5, 4499.1)
