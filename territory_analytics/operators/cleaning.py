@@ -13,10 +13,11 @@ def text(name: str) -> Column:
     return F.trim(F.col(name).cast("string"))
 
 
-def clean_certificates(raw: DataFrame, ds: str, ties=None) -> DataFrame:
+def clean_certificates(raw: DataFrame, ds: str | None, ties=None) -> DataFrame:
     """Typed certificates of business date ``ds``, the newest issue of each number only.
 
-    Rows without number, area code or label go, as do areas that are present but not a positive
+    Without ``ds`` every row has the date of its partition ``dt``, and the newest issue of each date
+    counts.  Rows without number, area code or label go, as do areas that are present but not a positive
     number; a missing area stays.
     """
     area = F.col("surface_habitable_logement").cast("string")
@@ -25,7 +26,7 @@ def clean_certificates(raw: DataFrame, ds: str, ties=None) -> DataFrame:
     )
     typed = usable.select(
         F.col("numero_dpe").cast("string").alias("numero_dpe"),
-        F.lit(ds).cast("date").alias("dt"),
+        (F.col("dt") if ds is None else F.lit(ds)).cast("date").alias("dt"),
         text("code_insee_ban").alias("code_insee"),
         text("code_postal_ban").alias("code_postal"),
         text("nom_commune_ban").alias("nom_commune"),
@@ -40,7 +41,8 @@ def clean_certificates(raw: DataFrame, ds: str, ties=None) -> DataFrame:
         F.lower(text("type_energie_principale_chauffage")).alias("energie_chauffage"),
         calendar_date(text("date_etablissement_dpe")).alias("date_etablissement"),
     )
-    return keep_latest(typed, ["numero_dpe"], "date_etablissement", ties)
+    keys = ["numero_dpe"] if ds is not None else ["numero_dpe", "dt"]
+    return keep_latest(typed, keys, "date_etablissement", ties)
 
 
 def plausible(sales: DataFrame) -> DataFrame:

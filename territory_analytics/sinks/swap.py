@@ -19,15 +19,20 @@ from ..storage import file_system
 NEW, OLD, JOURNAL = ".new-", ".old-", ".swap-"
 
 
-def write_counted(df: DataFrame, path: str, buckets: tuple[int, str] | None = None, **options) -> int:
+def write_counted(
+    df: DataFrame, path: str, buckets: tuple[int, str] | None = None, partition: str | None = None, **options
+) -> int:
     """Write ``df`` to ``path`` and return the rows written, counted by the write itself.
 
+    ``partition`` names a column that has a folder per value.
     ``buckets`` (number, column) writes bucketed files; only writers of catalog tables can, so there is one
     for as long as the write takes.
     """
     seen = Observation()
     writer = df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite")
     writer = writer.options(**{"compression": "zstd", **options})
+    if partition is not None:
+        writer = writer.partitionBy(partition)
     if buckets is None:
         writer.parquet(path)
     else:
@@ -74,6 +79,25 @@ class Swap:
         new = _beside(place, NEW, self.run)
         return write_counted(df, f"{new}/{below}" if below else new, **options)
 
+    def write_partitions(self, df: DataFrame, root: str, column: str, values) -> int:
+        """Write the future rows of the partitions ``values`` below ``root`` aside, in one job; rows written.
+
+        Listed partitions without rows become empty ones.
+        """
+        system, path = file_system(self.spark, self.root)
+        together = _beside(f"{root}/parts", NEW, self.run)
+        written = write_counted(df, together, partition=column)
+        for value in values:
+            place = f"{root}/{column}={value}"
+            new = path(f"{together}/{column}={value}")
+            if system.exists(new):
+                self.places.append(place)
+                _rename(system, new, path(_beside(place, NEW, self.run)))
+            else:
+                self.write(self.spark.createDataFrame([], df.drop(column).schema), place)
+        system.delete(path(together), True)
+        return written
+
     def at(self, place: str) -> str:
         """Where the rows of ``place`` are to be read from inside the block: the new ones if it has any."""
         place = place.rstrip("/")

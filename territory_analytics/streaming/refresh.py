@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
 from ..operators.cleaning import clean_certificates
-from ..sinks.tables import replace_partition
+from ..sinks.swap import Swap
 from ..sources.drifting_parquet import read_text_parts
 
 FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -32,15 +32,21 @@ def refresh_silver(
 ) -> None:
     """Process everything that arrived since the last call, then stop.
 
-    A date with new files is recomputed from all of its raw files, whose types and columns may drift,
-    so late parts, repeated batches and restarts from ``progress`` give the same silver partition.
+    The dates with new files are recomputed together, in one plan over all of their raw files, whose types
+    and columns may drift, and become visible together.  So late parts, repeated batches and restarts from
+    ``progress`` give the same silver partitions, and a backfill of many dates is one job.
     """
 
     def recompute(batch: DataFrame, _batch_id: int) -> None:
         # Dates, not rows, come back: one per touched day.
-        for (ds,) in batch.distinct().collect():
-            raw = read_text_parts(batch.sparkSession, raw_root, schema.names, scope={"dt": [ds]})
-            replace_partition(clean_certificates(raw, ds, ties), silver_root, ds)
+        dates = sorted(row["dt"] for row in batch.distinct().collect())
+        if not dates:
+            return
+        session = batch.sparkSession
+        raw = read_text_parts(session, raw_root, schema.names, scope={"dt": dates})
+        cleaned = clean_certificates(raw, None, ties).hint("rebalance", "dt")
+        with Swap(session, silver_root) as swap:
+            swap.write_partitions(cleaned, silver_root, "dt", dates)
 
     query = (
         touched_dates(spark, raw_root)

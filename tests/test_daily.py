@@ -106,3 +106,23 @@ def test_stream_refresh_recomputes_touched_dates(spark, folder):
     drifted = raw(spark, 28).withColumn("surface_habitable_logement", area).drop("cout_total_5_usages")
     arrive(drifted, "2026-06-17")
     assert counts() == {"2026-06-17": 28, "2026-06-18": 10}
+
+
+def test_a_backfill_of_many_dates_is_one_write(spark, folder, monkeypatch):
+    from territory_analytics.sinks import swap
+
+    root, silver, progress = f"{folder}/raw", f"{folder}/silver", f"{folder}/progress"
+    dates = [f"2026-05-{day:02d}" for day in range(1, 31)]
+    rows_in = raw(spark, 60).withColumn("dt", F.concat(F.lit("2026-05-"), F.lpad((F.substring("numero_dpe", 2, 9).cast("int") % 30 + 1).cast("string"), 2, "0")))
+    # One date has nothing usable; one number occurs on two dates.
+    unusable = rows_in.withColumn("etiquette_dpe", F.when(F.col("dt") != "2026-05-07", F.col("etiquette_dpe")))
+    twice = unusable.where("numero_dpe = 'D0'").withColumn("dt", F.lit("2026-05-30"))
+    unusable.unionByName(twice).write.partitionBy("dt", "dep").parquet(root)
+    writes, plain = [], swap.write_counted
+    monkeypatch.setattr(swap, "write_counted", lambda df, path, **named: writes.append(path) or plain(df, path, **named))
+    refresh_silver(spark, root, silver, progress)
+    assert len(writes) == 2, "all dates in one, and the one that is empty"
+    counts = {str(k): n for k, n in rows(read_table(spark, silver, schemas.CERTIFICATE).groupBy("dt").count())}
+    assert counts == {d: 3 if d == "2026-05-30" else 2 for d in dates if d != "2026-05-07"}
+    assert Path(silver, "dt=2026-05-07").exists()
+    assert [p.name for p in Path(silver).iterdir() if p.name.startswith(".new")] == []
