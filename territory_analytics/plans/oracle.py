@@ -610,6 +610,24 @@ ORACLE = {
           SELECT o_orderkey, o_orderstatus AS dt FROM orders
           WHERE o_orderstatus = 'P' OR (o_orderstatus IN ('F', 'O') AND o_orderkey % 2 = 1)
           UNION ALL SELECT o_orderkey, 'X' FROM orders WHERE o_orderkey <= 10) GROUP BY dt""",
+    "page_chains": """
+        WITH pages AS (
+          SELECT 'o' || l_orderkey AS dep, l_linenumber AS place, l_returnflag <> 'R' AS goes_on FROM lineitem
+          UNION ALL SELECT 'customers', c_custkey + 1, c_custkey < (SELECT max(c_custkey) FROM customer) FROM customer
+        ), nodes AS (
+          SELECT dep, place, count(DISTINCT goes_on) > 1 AS branches, bool_or(NOT goes_on) AS may_end, bool_or(goes_on) AS may_go
+          FROM pages GROUP BY dep, place
+        ), ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY dep ORDER BY place) AS rank,
+            coalesce(count_if(NOT may_go) OVER (PARTITION BY dep ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ended
+          FROM nodes
+        ), sets AS (
+          SELECT dep, count(*) AS pages, count_if(rank = place AND ended = 0) AS reached, bool_or(branches) AS branched,
+            max(CASE WHEN rank = place AND ended = 0 THEN place END) AS stop FROM ranked GROUP BY dep
+        )
+        SELECT sets.dep, pages, reached, CASE WHEN may_go THEN (stop + 1)::VARCHAR END AS missing,
+          reached = pages AND NOT coalesce(may_go, false) AND NOT branched AS complete
+        FROM sets LEFT JOIN nodes ON nodes.dep = sets.dep AND nodes.place = stop""",
     "scope_errors": """
         SELECT perimetre, nullif((SELECT count(*) FROM orders
           WHERE list_contains(list_transform(string_split(perimetre, ','), lambda s: trim(s)), o_orderstatus)), 0) AS lignes

@@ -701,6 +701,29 @@ def page_set_status(t):
     return pages.page_set_status(landed)
 
 
+@registered
+def page_chains(t):
+    """Completeness of page sets from cursors alone, without page numbers.
+
+    The lines of an order are its pages, each pointing to the next line number unless it was returned, so
+    there are gaps and early ends; the customers are one long set.
+    """
+    line = t.given("lineitem").select(
+        F.concat(F.lit("o"), F.col("l_orderkey")).alias("dep"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_linenumber").cast("string")).alias("own"),
+        F.when(F.col("l_returnflag") != "R", (F.col("l_linenumber") + 1).cast("string")).alias("after"),
+    )
+    customer = t.given("customer")
+    last = customer.agg(F.max("c_custkey")).first()[0]
+    one = customer.select(
+        F.lit("customers").alias("dep"),
+        F.when(F.col("c_custkey") > 0, (F.col("c_custkey") + 1).cast("string")).alias("own"),
+        F.when(F.col("c_custkey") < last, (F.col("c_custkey") + 2).cast("string")).alias("after"),
+    )
+    chains = pages.page_chains(line.unionByName(one), F.col("own"), F.col("after"))
+    return pages.chain_status(chains)
+
+
 @registered
 def source_filter(t):
     raw = t.raw_certificates.select(

@@ -216,6 +216,30 @@ def test_pages(spark, folder):
     assert rows(pages.page_set_status(stored)) == [("2A", 1, False), ("33", 3, True)]
 
 
+def test_page_chains(spark):
+    links = {
+        "whole": [(None, "b"), ("b", "c"), ("c", None)],
+        "gap": [(None, "b"), ("c", "d"), ("d", None)],
+        "cycle": [(None, "b"), ("b", "c"), ("c", "b")],
+        "branch": [(None, "b"), (None, "c"), ("b", None), ("c", None)],
+        "twice": [(None, "b"), ("b", None), ("b", None)],
+        "headless": [("b", "c"), ("c", None)],
+        "stray": [(None, None), ("x", None)],
+        "long": [(str(k) if k else None, str(k + 1) if k < 999 else None) for k in range(1_000)],
+    }
+    landed = spark.createDataFrame([(d, *link) for d, links_ in links.items() for link in links_], "dep string, own string, after string")
+    chains = pages.page_chains(landed.repartition(5), F.col("own"), F.col("after"))
+    got = {r["dep"]: (r["pages"], r["reached"], r["missing"], r["complete"]) for r in pages.chain_status(chains).collect()}
+    assert got == {
+        "whole": (3, 3, None, True), "gap": (3, 1, "b", False), "cycle": (3, 0, None, False),
+        "branch": (3, 2, None, False), "twice": (2, 2, None, True), "headless": (2, 0, None, False),
+        "stray": (2, 1, None, False), "long": (1_000, 1_000, None, True),
+    }
+    steps = {r["cursor"]: r["steps"] for r in chains.where("dep = 'whole'").collect()}
+    assert steps == {"": 2, "b": 1, "c": 0}
+    assert pages.chain_status(pages.page_chains(landed.limit(0), F.col("own"), F.col("after"))).count() == 0
+
+
 def test_partition_replace_is_repeatable(spark, folder):
     def day(n):
         return spark.range(n).select("id", F.lit("x").cast("date").alias("dt") if n < 0 else F.lit("2026-06-18").alias("dt"))
