@@ -170,17 +170,29 @@ class Reader:
 # --- Encoding ------------------------------------------------------------------------------------
 
 
-# Words of printable ASCII without an apostrophe, and the pieces such a word falls into.
-_PLAIN = re.compile(rb"[!-&(-~]+")
-_PIECE = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# Words of printable ASCII (no apostrophe) and of the letters of Latin-1, which are whole characters in
+# normal form, and the pieces that such a word falls into.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_AS_CHARACTERS = _byte_characters()
 
 
 class Encoder:
     """Ids of texts by a tokenizer that never joins words across white space.
 
-    Such a tokenizer gives a text the ids of its words one after the other, so each word is encoded by
-    the library once and remembered; the memory is bounded and starts anew when full.  Where the
-    vocabulary splits and lower-cases as ``VOCABULARY`` does, plain words go straight to its model.
+    Such a tokenizer gives a text the ids of its words one after the other, so each word is encoded
+    once and remembered; the memory is bounded and starts anew when full.  Where the vocabulary splits
+    and lower-cases as ``VOCABULARY`` does, plain words are put together from their pieces, which go to
+    its model once: far fewer than words, because case and punctuation are not part of them.
     """
 
     def __init__(self, path: str):
@@ -189,17 +201,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.by_model = os.path.basename(path) == VOCABULARY
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            as_bytes = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_AS_CHARACTERS)
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(as_bytes)], "<u4").tobytes()
+            if len(piece) <= LONGEST_WORD:
+                if len(self.pieces) >= MOST_WORDS:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
+
     def _encode(self, words: list[bytes]) -> Iterator[bytes]:
-        plain = [self.by_model and _PLAIN.fullmatch(w) is not None and b"<|" not in w for w in words]
-        others = [w.decode() for w, p in zip(words, plain, strict=True) if not p]
+        texts = [w.decode() for w in words]
+        plain = [self.by_model and _PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        others = [t for t, p in zip(texts, plain, strict=True) if not p]
         found = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else [])
-        tokenize = self.tokenizer.model.tokenize
-        for word, is_plain in zip(words, plain, strict=True):
+        for text, is_plain in zip(texts, plain, strict=True):
             if is_plain:
-                pieces = _PIECE.findall(word.decode().lower())
-                yield np.array([t.id for piece in pieces for t in tokenize(piece)], "<u4").tobytes()
+                yield b"".join(map(self._piece, _PIECE.findall(text.lower())))
             else:
                 yield np.array(next(found).ids, "<u4").tobytes()
 
