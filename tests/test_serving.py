@@ -7,7 +7,7 @@ from conftest import rows
 from territory_analytics import fixed_values as V, schemas
 from territory_analytics.operators import reports, serving
 from territory_analytics.operators.filters import (
-    COMMUNES, DWELLINGS, TYPED, Filters, for_table, predicate, with_arrondissements,
+    COMMUNES, DWELLINGS, TYPED, Filters, for_table, predicate,
 )
 
 VIEW = ("commune string, code_insee string, departement string, region string, type_bien string, "
@@ -64,15 +64,17 @@ def test_grains():
     assert dwelling.etiquettes == ("A",) and dwelling.passoires_only
     assert dwelling.prix_m2_min is dwelling.prix_m2_max is dwelling.surface_max is None
     assert dwelling.nb_dpe_min == 0
-    assert all(len(g.communes) == 10 for g in (commune, typed, dwelling))
+    assert all(g.communes == ("Lyon",) for g in (commune, typed, dwelling))
     assert for_table(Filters(types_bien=("tous",)), TYPED).types_bien == ()
 
 
-def test_city_members():
-    assert with_arrondissements(("Nice",)) == ("Nice",)
-    assert len(with_arrondissements(("Paris", "Lyon", "Marseille"))) == 3 + 45
-    assert "Paris 1er Arrondissement" in with_arrondissements(("Paris",))
-    assert "Marseille 2e Arrondissement" in with_arrondissements(("Marseille",))
+def test_city_members(spark):
+    named = ["Nice", "Paris", "Paris 1er Arrondissement", "Paris 20e Arrondissement", "Marseille 2e Arrondissement", None]
+    table = spark.createDataFrame([(n,) for n in named], "commune string")
+    kept = lambda *names: {r[0] for r in table.where(predicate(Filters(communes=names))).collect()}
+    assert kept("Nice") == {"Nice"} and kept("Paris") == set(named[1:4])
+    assert kept("Nice", "Marseille") == {"Nice", "Marseille 2e Arrondissement"}
+    assert kept("Paris 20e Arrondissement") == {"Paris 20e Arrondissement"}
 
 
 MART = [("1", "Un", "33", "75", 10, 3000.0, 40, 10.0, 200.0, 20.0, 1000.0, 1980.0, 5.0, True, -5.0, -1.0, 2),
