@@ -19,7 +19,6 @@ from pyspark.sql.functions import arrow_udf
 from ..storage import durable
 from .common import fresh, small_batches, table, text_bytes
 from .components import components
-from .linking import split_large, verified_links
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -27,11 +26,6 @@ MAX_DISTANCE = 2
 #: Shingles whose bits are unpacked at a time.
 BLOCK = 1 << 16
 
-STAGE_SHINGLE_WORDS = 5
-STAGE_SIMILARITY = 0.8
-#: Sampled shingles: the hash range is cut into so many parts, and of each the smallest few make a key.
-SAMPLE_KEYS, SAMPLE_SIZE = 8, 4
-
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
     """XXH64 of every ``width`` words joined by spaces; of all words if there are fewer."""
@@ -108,13 +102,19 @@ def close_pairs(fingerprints: DataFrame, column: str = "fp", max_distance: int =
 
 def near_classes(rows: DataFrame, id_col: str = "doc_id", max_distance: int = MAX_DISTANCE) -> DataFrame:
     """``fp``, ``component_id`` for the fingerprints of stored ``rows`` (``id_col``, ``fp``)."""
-    points = durable(rows.groupBy("fp").agg(F.min(id_col).alias("least_id")))
+    return _least_of_components(rows, F.min(id_col).alias("component_id"), max_distance)
+
+
+def _least_of_components(rows: DataFrame, least: Column, max_distance: int) -> DataFrame:
+    """``fp`` and the ``least`` aggregate of its component, for the fingerprints of stored ``rows``."""
+    name = rows.select(least).columns[0]
+    points = durable(rows.groupBy("fp").agg(least))
     roots = components(close_pairs(points, "fp", max_distance))
     placed = points.join(roots, points["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
+        "fp", name, F.coalesce("root", "fp").alias("root")
     )
-    least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return placed.join(least, "root").select("fp", "component_id")
+    best = placed.groupBy("root").agg(F.min(name).alias(name))
+    return placed.drop(name).join(best, "root").select("fp", name)
 
 
 def near_duplicates(
@@ -143,141 +143,38 @@ def near_duplicates(
 # --- One document of each group ------------------------------------------------------------------
 
 
-def sample_keys(hashes: np.ndarray) -> list[int]:
-    """Keys that similar texts are likely to share.
-
-    The range of hashes is cut into equal parts; a key is the hash of the smallest few shingles of a
-    part.  At a Jaccard similarity of 0.8 two texts share at least one of the eight keys with a
-    probability of 0.985.
-    """
-    distinct = np.unique(hashes)
-    part = distinct // np.uint64(2**64 // SAMPLE_KEYS)
-    cuts = np.searchsorted(part, np.arange(SAMPLE_KEYS + 1, dtype=np.uint64))
-    keys = []
-    for k in range(SAMPLE_KEYS):
-        least = distinct[cuts[k] : min(cuts[k + 1], cuts[k] + SAMPLE_SIZE)]
-        if len(least):
-            keys.append(xxhash.xxh64_intdigest(least.tobytes(), k) - 2**63)
-    return keys
-
-
-@arrow_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]))
-def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        prints, keys = [], []
-        for text in text_bytes(texts):
-            hashes = shingle_hashes(text, STAGE_SHINGLE_WORDS)
-            prints.append(fingerprint(hashes))
-            keys.append(sample_keys(hashes))
-        yield pa.StructArray.from_arrays(
-            [pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["fp", "keys"]
-        )
-
-
-@arrow_udf(T.ArrayType(T.LongType()))
-def _shingle_sets(texts: pa.Array) -> pa.Array:
-    sets = [np.unique(shingle_hashes(t, STAGE_SHINGLE_WORDS)).view(np.int64) for t in text_bytes(texts)]
-    return pa.array(sets, pa.list_(pa.int64()))
-
-
-def _sets(column: pa.Array) -> Iterator[np.ndarray]:
-    for one in column:
-        yield one.values.to_numpy()
-
-
-@arrow_udf(T.DoubleType())
-def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
-    found = []
-    for x, y in zip(_sets(left), _sets(right), strict=True):
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        found.append(both / max(1, len(x) + len(y) - both))
-    return pa.array(found, pa.float64())
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    # Sets of too different sizes cannot be similar, and their shingles are not fetched.
-    sizes = sets.select("node", "n")
-    sized = pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-    near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    scored = sized.where(near).select("a", "b").join(left, "a").join(right, "b").withColumn("jaccard", _jaccard("left", "right"))
-    return scored.where(F.col("jaccard") >= similarity).select("a", "b")
-
-
 def keep_one_per_group(
     documents: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    similarity: float = STAGE_SIMILARITY,
+    width: int = SHINGLE_WORDS,
+    max_distance: int = MAX_DISTANCE,
 ) -> DataFrame:
     """The documents without near copies, all columns as they are; the smallest id of a group stays.
 
-    Candidates are texts whose fingerprints over five words differ in at most two bits (the grid
-    join), and texts that share a key of sampled shingles, since a fingerprint alone moves by some ten
-    bits at a similarity of 0.8.  A candidate counts as a link if the Jaccard similarity of the shingle
-    sets, computed from the whole texts, reaches ``similarity``; components of links are the groups.
-    Large keys are split by rare shingles, and within a key only pairs that links join already are left
-    out, so a large group of copies costs no pairs of all with all.
-
-    Texts without words are copies of each other.  NULL counts as empty; a NULL id sorts last; of rows
-    that agree in id and text one stays.
+    Groups are the components of ``near_duplicates``: fingerprints linked at ``max_distance`` bits.  Texts
+    without words are copies of each other.  NULL counts as empty; a NULL id sorts last, and among equal
+    ids the smallest hash of the text decides; of rows that agree in id and text one stays.
     """
-    spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(documents.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = durable(
-        documents.select(
-            F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), _sketch(F.col(text_col)).alias("s")
-        ).select("id", "text_hash", F.when(F.size("s.keys") > 0, F.col("text_hash")).otherwise(0).alias("node"), "s.fp", "s.keys")
-    )
-    nodes = durable(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys")))
-
-    # Candidates: texts of one fingerprint or one sampled key, and those of close fingerprints.
-    with_words = durable(nodes.where(F.size("keys") > 0))
-    prints = with_words.select("fp", "node")
-    near = durable(close_pairs(prints, "fp"))
-    ends = near.select(F.xxhash64("a", "b").alias("key"), F.explode(F.array("a", "b")).alias("fp"))
-    by_print = ends.join(prints, "fp").select("key", "node")
-    by_key = with_words.select(F.explode(F.concat("keys", F.array("fp"))).alias("key"), "node")
-    candidates = by_key.unionByName(by_print)
-    ranges = candidates.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    members = durable(candidates.join(ranges.where("low <> high"), "key").select("key", "node"))
-    sets = durable(_sets_of(documents, text, members.select("node")))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, sets, similarity)
-
-    links = verified_links(split_large(members, sets, similarity), verify)
-    roots = components(links)
-
-    # Every row of a group but its first goes.
-    placed = rows.join(roots, "node", "left").select(
-        "id", "text_hash", F.coalesce("root", "node").alias("root")
-    )
-    order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("text_hash"))
-    best = placed.groupBy("root").agg(F.min(order).alias("best"))
-    stay = durable(best.select("best.id", "best.text_hash"))
-    key_id, key_hash, rank = fresh(documents, "kept_id"), fresh(documents, "kept_hash"), fresh(documents, "kept_rank")
+    row = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"))
+    printed = durable(documents.select(row.alias("row"), fingerprint_of(F.col(text_col), width).alias("fp")))
+    best = _least_of_components(printed, F.min("row").alias("best"), max_distance)
+    stay = durable(best.select("best.id", "best.text_hash").distinct())
+    key_id, key_hash, mark = fresh(documents, "kept_id"), fresh(documents, "kept_hash"), fresh(documents, "kept_mark")
     stay = stay.select(F.col("id").alias(key_id), F.col("text_hash").alias(key_hash))
-    hashed = documents.withColumn(rank, F.xxhash64(text))
-    same = F.col(id_col).eqNullSafe(F.col(key_id)) & (F.col(rank) == F.col(key_hash))
+    hashed = documents.withColumn(mark, F.xxhash64(text))
+    same = F.col(id_col).eqNullSafe(F.col(key_id)) & (F.col(mark) == F.col(key_hash))
     kept = hashed.join(stay, same, "left_semi")
     # Rows that agree in id and text are told apart by nothing; one of them stays.
-    repeated = durable(rows.groupBy("id", "text_hash").count().where("count > 1").drop("count"))
+    repeated = durable(printed.groupBy("row").count().where("count > 1").select("row.id", "row.text_hash"))
     if repeated.isEmpty():
-        return kept.drop(rank)
+        return kept.drop(mark)
     twice = repeated.select(F.col("id").alias(key_id), F.col("text_hash").alias(key_hash))
     once = kept.join(twice, same, "left_anti")
-    again = kept.join(twice, same, "left_semi").dropDuplicates([id_col, rank])
-    return once.unionByName(again).drop(rank)
-
-
-def _sets_of(documents: DataFrame, text: Column, nodes: DataFrame) -> DataFrame:
-    """``node``, ``shingles`` and their number ``n``, of one text for each of ``nodes``."""
-    texts = documents.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    wanted = texts.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    return wanted.select("node", _shingle_sets("text").alias("shingles")).withColumn("n", F.size("shingles"))
+    again = kept.join(twice, same, "left_semi").dropDuplicates([id_col, mark])
+    return once.unionByName(again).drop(mark)
 
 
 def simhash_near_dedup(spark, sf_dir) -> DataFrame:

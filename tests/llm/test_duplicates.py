@@ -86,19 +86,39 @@ def test_near_duplicates_of_awkward_rows(spark):
 
 def test_one_of_each_group_stays(spark):
     a, b = prose(300), prose(300)
-    near = a.split()
-    near[150] = "changed"
     rows = [
-        (5, a, 1), (2, " ".join(near), 2), (8, b, 3), (8, b, 3), (1, prose(300), 4), (None, a, 5),
-        (6, "", 6), (3, None, 7), (None, prose(50), 8), (20, "short text", 9),
+        (5, a, 1), (2, a.upper(), 2), (8, b, 3), (8, b, 3), (1, prose(300), 4), (None, a, 5),
+        (6, "", 6), (3, None, 7), (None, prose(50), 8), (20, "short text", 9), (21, "x " * 100_000, 10),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int")
     kept = simhash.keep_one_per_group(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.kept_id for r in kept.collect()) == [2, 3, 4, 7, 8, 9]
+    assert sorted(r.kept_id for r in kept.collect()) == [2, 3, 4, 7, 8, 9, 10]
     assert simhash.keep_one_per_group(docs.limit(0)).count() == 0
 
 
+def test_groups_of_the_stage_by_brute_force(spark):
+    """Texts with a few changed words: some pairs within two bits, some only reachable over others."""
+    base, rows = [prose(400).split() for _ in range(6)], []
+    for k in range(150):
+        words = list(base[k % 6])
+        for place in range(k // 6 % 4):
+            words[(k * 37 + place * 91) % 400] = f"w{k}"
+        rows.append((1_000 - k, " ".join(words)))
+    prints = {d: brute_print(t, 3) for d, t in rows}
+    groups = {d: {d} for d in prints}
+    for x in prints:
+        for y in prints:
+            if (prints[x] ^ prints[y]).bit_count() <= 2 and groups[x] is not groups[y]:
+                both = groups[x] | groups[y]
+                for d in both:
+                    groups[d] = both
+    want = sorted({min(g) for g in groups.values()})
+    assert 6 < len(want) < 150
+    kept = simhash.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == want
+
+
 def test_groups_are_linked_without_all_pairs(spark):
     # 40 similar items, and 70 that match nothing, under one key; links are equal last digits of 10.
     members = [(1, k * 10) for k in range(40)] + [(1, 1000 + k * 10 + k % 9 + 1) for k in range(70)]
