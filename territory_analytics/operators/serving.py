@@ -6,8 +6,9 @@ from .. import fixed_values as V
 from ..functions.colours import feature_json, fill_colour, geometry, palette_of
 from ..functions.labels import opportunity_score, raw_score, serving_wording
 from ..functions.numbers import down_to_step, half_even
+from ..clustering import Clustered
 from ..storage import durable
-from .filters import COMMUNES, DWELLINGS, TYPED, Filters, for_table, predicate
+from .filters import COMMUNES, DWELLINGS, TYPED, Filters, Grain, for_table, intervals, predicate
 from .joins import fresh
 from ..sources.tables import PartitionedTable
 from .latest import latest_partition
@@ -80,6 +81,12 @@ def market_rows(mart_commune: DataFrame, geo: DataFrame, filters: Filters = Filt
     return market_view(mart_commune, geo).where(predicate(for_table(filters, COMMUNES)))
 
 
+def clustered_rows(table: Clustered, filters: Filters, grain: Grain) -> DataFrame:
+    """Filtered rows of a clustered table, read from the files that can hold any."""
+    own = for_table(filters, grain)
+    return table.pick(intervals(own)).where(predicate(own))
+
+
 def market(mart_commune: DataFrame, geo: DataFrame, filters: Filters = Filters()) -> DataFrame:
     """Filtered communes, dearest first."""
     return market_rows(mart_commune, geo, filters).orderBy(F.desc_nulls_last("prix_m2"))

@@ -401,6 +401,14 @@ ORACLE = {
     "commune_grain": _with("shown", """
         SELECT commune, departement, region, prix_m2, nb_dpe FROM shown
         WHERE region = 'NORD' AND prix_m2 BETWEEN 1000 AND 4000"""),
+    "clustered_market": _with("shown", """
+        SELECT commune, departement, region, prix_m2, nb_dpe FROM shown
+        WHERE region = 'NORD' AND prix_m2 BETWEEN 1000 AND 4000"""),
+    "clustered_dwellings": _with("homes communes", """
+        SELECT nom AS commune, type_bien, etiquette, count(*) AS n
+        FROM homes JOIN communes USING (code_insee)
+        WHERE region = 'NORD' AND type_bien IN ('appartement', 'maison') AND etiquette IN ('F', 'G')
+          AND surface BETWEEN 40 AND 120 GROUP BY ALL"""),
     "opportunity_view": _with("deals", "SELECT * FROM deals"),
     "typed_grain": _with("deals", """
         SELECT commune, type_bien, prix_m2, nb_dpe FROM deals WHERE type_bien = 'maison' AND nb_dpe >= 30"""),

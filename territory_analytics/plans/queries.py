@@ -5,17 +5,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V, schemas
+from ..clustering import write_clustered
 from ..functions import casts, colours, labels, numbers
 from ..operators import (
     cleaning, dimensions, geography, latest, pricing, profiles, quality, ranking, reports, sampling,
     serving,
 )
-from ..operators.filters import TYPED, Filters, for_table, predicate
+from ..operators.filters import COMMUNES, TYPED, Filters, Grain, for_table, predicate
 from ..operators.quantiles import grouped_quantiles, largest_group
 from ..sinks import tables as sinks
 from ..sinks.swap import Swap
 from ..sources import drifting_parquet, pages, parts, tables as sources, text_files
-from ..storage import scratch_path
+from ..storage import durable, scratch_path
 from ..streaming.refresh import refresh_silver
 from . import incremental, standin as S
 from .daily import Lake, run_day
@@ -281,6 +282,31 @@ def commune_grain(t):
     return _market(t, chosen).select("commune", "departement", "region", "prix_m2", "nb_dpe")
 
 
+@registered
+def clustered_market(t):
+    """The market clustered over region, area and price; the filters open only the cells they touch."""
+    market = durable(serving.market_view(t.mart_commune, t.geo))
+    cuts = {"region": 2, "code_insee": 4, "prix_m2": 4}
+    table = write_clustered(market, scratch_path(t.spark, "market"), cuts, ["nb_dpe"], ["commune"])
+    chosen = Filters(regions=("NORD",), prix_m2_min=1000, prix_m2_max=4000)
+    kept = serving.clustered_rows(table, chosen, COMMUNES)
+    return kept.select("commune", "departement", "region", "prix_m2", "nb_dpe")
+
+
+@registered
+def clustered_dwellings(t):
+    """Dwellings clustered over region, area and living space, counted under the filters of all columns."""
+    homes = durable(_homes(t))
+    cuts = {"region": 2, "code_insee": 8, "surface": 8}
+    table = write_clustered(homes, scratch_path(t.spark, "homes"), cuts, ["commune"], ["commune", "etiquette"])
+    chosen = Filters(
+        regions=("NORD",), types_bien=("appartement", "maison"), passoires_only=True,
+        surface_min=40, surface_max=120, nb_dpe_min=0,
+    )
+    kept = serving.clustered_rows(table, chosen, Grain(frozenset(homes.columns), has_evidence=False))
+    return kept.groupBy("commune", "type_bien", "etiquette").agg(F.count("*").alias("n"))
+
+
 @registered
 def opportunity_view(t):
     return serving.opportunity_view(t.mart_opportunites, t.geo)

@@ -21,6 +21,7 @@ SOME = (
     "partition_replace", "exact_sample", "daily_run", "stream_refresh",
     "map_opportunities", "map_layer_points", "dimension_tables", "arrondissement_names", "default_types",
     "failed_gate", "signals", "headline_kpis", "typed_grain",
+    "clustered_market", "clustered_dwellings",
 )
 CHOSEN = sorted(QUERIES) if os.environ.get("ORACLE_ALL") else SOME
 
