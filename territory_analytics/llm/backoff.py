@@ -5,7 +5,7 @@ frequency of the trigram; if it occurs nowhere else, that of the bigram times a
 word times the factor again.  Counts are over all documents, less the occurrence that is scored, so a
 text is not its own evidence.
 
-n-grams are named by 60-bit hashes, and rows are packed: the corpus is stored as blocks of words, a block sends
+n-grams are named by 64-bit hashes, and rows are packed: the corpus is stored as blocks of words, a block sends
 each of its different n-grams once, sorted, to the part of the count table that the leading bits of the
 hash name, and gets the totals back in the same order.  So an n-gram that is in every text costs one
 entry per block, a part of the table holds a bounded number of entries, and the exchange has some five
@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..storage import durable
-from .common import release_shuffles, small_batches, table, text_bytes
+from .common import small_batches, table, text_bytes
 
 ORDER = 3
 FACTOR = 0.4
@@ -32,7 +32,7 @@ PART_ENTRIES = 1 << 21
 #: Stretches of documents in a block, which bounds it where texts are short or empty.
 MOST_STRETCHES = 100_000
 #: Bits of an n-gram's name; two different ones share a name with a probability of 2**-HASH_BITS.
-HASH_BITS = 60
+HASH_BITS = 64
 SEED = 42
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -305,7 +305,6 @@ def backoff_scores(
     n_words = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = max(0, (n_words * order // part_entries).bit_length())
     answers = durable(count_table(requests(blocks, order, bits)))
-    release_shuffles(documents.sparkSession)  # the requests are the largest exchange
     stretches = _scores(blocks, answers, order, n_words, factor)
     whole = stretches.groupBy("doc_key").agg(
         F.max("doc_id").alias(id_col), F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score")

@@ -1,7 +1,5 @@
 """Helpers that several operators of this subpackage share."""
 
-import gc
-import time
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -22,18 +20,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(ROWS_PER_BATCH))
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Have Spark remove the files of finished shuffles that nothing refers to any more.
-
-    It does so when the driver's JVM collects its garbage, which an idle driver may not do for long; the
-    first collection frees the plans, the second what they held.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or the first of ``name_1``, ``name_2``, ... that is no column of ``df``."""
     taken = {c.lower() for c in df.columns}
