@@ -27,7 +27,7 @@ from .common import small_batches, table, text_bytes
 ORDER = 3
 FACTOR = 0.4
 #: Words of a block, and entries of a part of the count table.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 3 << 19
 PART_ENTRIES = 1 << 21
 #: Stretches of documents in a block, which bounds it where texts are short or empty.
 MOST_STRETCHES = 100_000
