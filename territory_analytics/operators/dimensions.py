@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V, schemas
 from ..functions.casts import strip, whole_number
+from .joins import fresh
 from .latest import keep_first
 
-PRIORITY = "_priority"
-
 
 def first_wins(sources, keys, ties=()) -> DataFrame:
     """Union of tables where an earlier table wins over a later one, one row per key.
@@ -17,11 +16,15 @@ def first_wins(sources, keys, ties=()) -> DataFrame:
     Within one table ``ties`` decides, then all other columns, so the outcome does not depend on
     row order.
     """
-    tagged = [df.withColumn(PRIORITY, F.lit(i)) for i, df in enumerate(sources)]
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    rest = [c for c in union.columns if c not in (*keys, PRIORITY, *ties)]
-    order = [F.col(c).asc_nulls_last() for c in (PRIORITY, *ties, *rest)]
-    return keep_first(union, keys, order).drop(PRIORITY)
+
+    def united(tables):
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+    priority = fresh(united(sources), "priority")
+    union = united([df.withColumn(priority, F.lit(i)) for i, df in enumerate(sources)])
+    rest = [c for c in union.columns if c not in (*keys, priority, *ties)]
+    order = [F.col(c).asc_nulls_last() for c in (priority, *ties, *rest)]
+    return keep_first(union, keys, order).drop(priority)
 
 
 def build_dim_commune(communes: DataFrame, arrondissements: DataFrame, ties=()) -> DataFrame:

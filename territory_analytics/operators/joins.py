@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def fresh(df: DataFrame, name: str) -> str:
-    """``name``, with underscores before it until no column of ``df`` has it."""
-    while name in df.columns:
+    """``name``, with underscores before it until no column of ``df`` has it, in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
         name = f"_{name}"
     return name
 

@@ -7,7 +7,7 @@ from ..functions.labels import is_sieve, mart_wording, opportunity_score, underp
 from ..functions.numbers import half_away, percent_gap, percent_true, ratio
 from ..layout import ByArea
 from ..storage import durable
-from .joins import join_groups
+from .joins import fresh, join_groups
 from .quantiles import VALUE_LIMIT, grouped_quantiles, largest_group
 from .ranking import rank_in_group
 
@@ -63,12 +63,13 @@ def parent_position(
     One plan at every size: mean, deviation and median of each parent are aggregated and joined back,
     so no task gathers a whole parent.  ``largest`` bounds the rows per parent where the caller knows it.
     """
-    centre = median or "_median"
+    centre = median or fresh(df, "_median")
+    mean, spread = fresh(df, "_mean"), fresh(df, "_spread")
     stats = grouped_quantiles(
         df.select(*parent, value),
         parent,
         {centre: (value, 0.5)},
-        others=[F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_spread")],
+        others=[F.avg(value).alias(mean), F.stddev_pop(value).alias(spread)],
         largest=largest,
         limit=limit,
     )
@@ -76,11 +77,11 @@ def parent_position(
     x = F.col(value)
     placed = with_stats.withColumns(
         {
-            z: half_away(ratio(x - F.col("_mean"), F.col("_spread")), 3),
+            z: half_away(ratio(x - F.col(mean), F.col(spread)), 3),
             gap: half_away(percent_gap(x, F.col(centre)), 1),
         }
     )
-    return placed.drop("_mean", "_spread", *([] if median else ["_median"]))
+    return placed.drop(mean, spread, *([] if median else [centre]))
 
 
 def area_summary(fact: DataFrame | ByArea, scale: DataFrame, **limits) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..storage import durable
-from .joins import join_groups
+from .joins import fresh, join_groups
 from .quantiles import GROUP_LIMIT, largest_group
 
 
@@ -30,7 +30,8 @@ def rank_in_group(
     if largest <= limit:
         return _window_ranks(df, keys, value, name)
     # At most rows / limit keys.
-    oversized = durable(df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
+    size = fresh(df, "size")
+    oversized = durable(df.groupBy(*keys).agg(F.count("*").alias(size)).where(F.col(size) > limit).select(*keys))
     moderate = join_groups(df, oversized, keys, "left_anti")
     hot = join_groups(df, oversized, keys, "left_semi")
     ranks = durable(_value_ranks(hot, keys, value, name))
@@ -50,18 +51,19 @@ def _value_ranks(df, keys, value, name) -> DataFrame:
     value's rank is one more than the rows in the files above its own and above it in its own.
     """
     falling = F.col(value).desc_nulls_last()
-    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    n, file, file_n, top, above = (fresh(df, x) for x in ("n", "file", "file_n", "top", "above"))
+    counted = df.groupBy(*keys, value).agg(F.count("*").alias(n))
     stored = durable(counted.orderBy(*keys, falling), maxRecordsPerFile=VALUES_PER_FILE)
-    stored = stored.withColumn("_file", F.col("_metadata.file_path"))
+    stored = stored.withColumn(file, stored.metadataColumn("_metadata")["file_path"])
 
-    files = stored.groupBy(*keys, "_file").agg(F.sum("_n").alias("_file_n"), F.max(value).alias("_top"))
+    files = stored.groupBy(*keys, file).agg(F.sum(n).alias(file_n), F.max(value).alias(top))
     before = W.unboundedPreceding, -1
-    files_above = W.partitionBy(*keys).orderBy(F.col("_top").desc_nulls_last()).rowsBetween(*before)
-    values_above = W.partitionBy(*keys, "_file").orderBy(falling).rowsBetween(*before)
+    files_above = W.partitionBy(*keys).orderBy(F.col(top).desc_nulls_last()).rowsBetween(*before)
+    values_above = W.partitionBy(*keys, file).orderBy(falling).rowsBetween(*before)
     starts = files.select(
-        *keys, "_file", F.coalesce(F.sum("_file_n").over(files_above), F.lit(0)).alias("_above")
+        *keys, file, F.coalesce(F.sum(file_n).over(files_above), F.lit(0)).alias(above)
     )
-    within = F.coalesce(F.sum("_n").over(values_above), F.lit(0))
-    return join_groups(stored, starts, [*keys, "_file"], "inner").select(
-        *keys, value, (F.lit(1) + F.col("_above") + within).cast("bigint").alias(name)
+    within = F.coalesce(F.sum(n).over(values_above), F.lit(0))
+    return join_groups(stored, starts, [*keys, file], "inner").select(
+        *keys, value, (F.lit(1) + F.col(above) + within).cast("bigint").alias(name)
     )

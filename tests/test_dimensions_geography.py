@@ -18,6 +18,11 @@ def test_first_list_wins(spark):
     assert {k: v.count() for k, v in built.items()} == {"dim_commune": 3, "dim_dpe": 7, "dim_type_bien": 3}
 
 
+def test_a_column_named_like_the_order_of_tables_stays(spark):
+    first, later = (spark.createDataFrame([("1", p)], "code string, Priority int") for p in (9, 3))
+    assert rows(dimensions.first_wins([first, later], ["code"])) == [("1", 9)]
+
+
 def test_order_column_decides_inside_one_list(spark):
     df = spark.createDataFrame([("k", "z", 1), ("k", "a", 2)], "key string, v string, place int")
     assert rows(dimensions.first_wins([df], ["key"], ["place"]), "v") == [("z",)]

@@ -198,3 +198,17 @@ def test_a_sketch_that_errs_is_made_up_for(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "_brackets", wrong)
     got = grouped_quantiles(df, ["k"], {"m": ("v", 0.5), "h": ("v", 0.9)}, limit=1_000).first()
     assert (got["m"], got["h"]) == (2499.5, 4499.1)
+
+
+@pytest.mark.parametrize("limit", [2, 100])
+def test_ranks_with_names_the_operator_uses_itself(spark, limit):
+    data = [("a", v, str(v)) for v in (5.0, 3.0, 3.0, None)] + [("b", 1.0, "x")]
+    df = spark.createDataFrame(data, "n string, File double, above string")
+    got = {(r["n"], r["File"]): r["top"] for r in rank_in_group(df, ["n"], "File", "top", limit=limit).collect()}
+    assert got == {("a", 5.0): 1, ("a", 3.0): 2, ("a", None): 4, ("b", 1.0): 1}
+
+
+def test_parent_statistics_leave_columns_of_their_own_names_alone(spark):
+    df = spark.createDataFrame([("p", 1.0, 7, 8, 9), ("p", 3.0, 7, 8, 9)], "k string, v double, _mean int, _spread int, _median int")
+    got = sorted(profiles.parent_position(df, ["k"], "v", "gap", "z").collect(), key=lambda r: r["v"])
+    assert [tuple(r[c] for c in ("_mean", "_spread", "_median", "gap", "z")) for r in got] == [(7, 8, 9, -50.0, -1.0), (7, 8, 9, 50.0, 1.0)]
