@@ -378,3 +378,58 @@ def test_whole_passages_are_reported_and_removed(spark):
     texts = {r.doc_id: r.text for r in passages.remove_repeats(docs).collect()}
     assert texts[2].split() == f"{before} {after}".split()
     assert texts[3] == whole and texts[4].split() == ["own", "words"] and texts[5] == ""
+
+
+def test_units_of_several_texts_are_those_of_each():
+    rng = random.Random(21)
+    texts = [prose(n, rng).encode() for n in (0, 3, 21, 22, 30, 49, 50, 51, 200, 400)] + [b"again " * 90]
+    texts += [b"\n".join(prose(n, rng).encode() for n in (25, 4, 60, 22))]
+    together = passages.Units(texts)
+    keys, units = together.keys(6, 2)
+    for k, text in enumerate(texts):
+        alone = passages.Units([text])
+        own = together.text == k
+        got = zip(together.start[own] - together.first[k], together.stop[own] - together.first[k], together.unit[own])
+        assert sorted(got) == sorted(zip(alone.start, alone.stop, alone.unit))
+        assert sorted(keys[together.text[units] == k]) == sorted(alone.keys(6, 2)[0])
+
+
+def test_only_units_that_documents_share_are_stored(spark):
+    rng = random.Random(22)
+    passage = prose(60, rng)
+    rows = [(k, prose(80, rng)) for k in range(30)] + [(40 + k, f"{prose(9, rng)} {passage} {prose(30, rng)}") for k in range(2)]
+    rows.append((50, " ".join([prose(60, rng)] * 2)))  # repeated in itself alone
+    named = spark.createDataFrame([(d, d, t) for d, t in rows], "doc_id long, doc_key long, text string")
+    units, shared = passages.shared_units(named, *passages.tune())
+    assert {r.doc_id for r in units.collect()} == {40, 41}
+    assert {k for r in units.collect() for k in r["keys"]} == {r.key for r in shared.collect()}
+
+
+def test_paragraphs_with_two_other_shingles_share_a_key():
+    rng = random.Random(23)
+    words = prose(passages.PARAGRAPH, rng).encode().split()
+    for shift, cut in ((0, 1), (0, 2), (1, 0), (2, 0), (1, 1)):
+        other = [*words[shift : len(words) - cut], *prose(shift + cut, rng).encode().split()]
+        found = []
+        for text in (words, other):
+            own = passages.Units([b" ".join(text)])
+            assert own.at.tolist() == [0]
+            keys, units = own.keys(6, 2)
+            found.append(set(keys[units == 0].tolist()))
+        assert found[0] & found[1]
+
+
+def test_sketches_of_similar_paragraphs_are_near():
+    rng = random.Random(24)
+    most, unlike = passages.most_unlike(0.8), []
+    for k in range(300):
+        words = prose(49, rng).encode().split()
+        edited = [*words[:24], b"other", *words[25:]]
+        sides = []
+        for text in (words, edited, prose(49, rng).encode().split()):
+            sketch = passages._sketch(passages.shingles(text), np.array([0]), np.array([49]))
+            sides.append([int(x) & (2**64 - 1) for x in sketch[:, 0]])
+        far = [sum((x ^ y).bit_count() for x, y in zip(sides[0], side)) for side in sides[1:]]
+        assert far[0] <= most
+        unlike.append(far[1] > most)
+    assert sum(unlike) > 290
