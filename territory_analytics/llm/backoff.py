@@ -9,7 +9,8 @@ n-grams are named by 64-bit hashes, and rows are packed: the corpus is stored as
 each of its different n-grams once, sorted, to the part of the count table that the leading bits of the
 hash name, and gets the totals back in the same order.  So an n-gram that is in every text costs one
 entry per block, a part of the table holds a bounded number of entries, and the exchange has some five
-bytes per entry instead of a row.
+bytes per entry instead of a row.  The longest n-grams are asked for last, and only those whose two shorter
+ones occur more than once: the others occur once, as any n-gram is at most as frequent as its parts.
 """
 
 from collections.abc import Iterator
@@ -193,15 +194,41 @@ def _answered(grams, totals: np.ndarray) -> list[np.ndarray]:
 # --- Count tables --------------------------------------------------------------------------------
 
 
-def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
-    """``part``, ``block``, ``entries`` and ``counts``: the n-grams of each block by leading bits."""
+def _shorter(grams):
+    """All but the longest n-grams; those of order one have no longer ones."""
+    return grams[: max(1, len(grams) - 1)]
+
+
+def _longest(grams, counts: list[np.ndarray]):
+    """The longest n-grams that may occur more than once, by the ``counts`` of the shorter ones."""
+    hashes, there = grams[-1]
+    often = counts[-1] > 1
+    there = there & often
+    there[1:] &= often[:-1]
+    return [(hashes, there)]
+
+
+def _totals_of(parts: list[dict] | None, longest: bool) -> np.ndarray:
+    """What the table answered about the shorter or the longest n-grams of a block."""
+    own = sorted((p for p in parts or [] if p["longest"] == longest), key=lambda p: p["part"])
+    return np.concatenate([np.zeros(0, np.int64), *(_unpacked(p["totals"], np.int64) for p in own)])
+
+
+def requests(blocks: DataFrame, order: int, bits: int, longest: bool = False) -> DataFrame:
+    """``part``, ``block``, ``entries`` and ``counts``: the n-grams of each block by leading bits.
+
+    The shorter n-grams are asked for first; with their answers in ``parts``, the longest can be.
+    """
     schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("entries", pa.binary()), ("counts", pa.binary())])
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, lengths, contexts, words, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, lengths, contexts, words, places, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 grams, _, owned = _block_ngrams(words, places, lengths, contexts, order)
-                keys, counts = _entries(grams, owned)
+                wanted = _shorter(grams)
+                if longest:
+                    wanted = _longest(grams, _answered(wanted, _totals_of(parts[0], False)))
+                keys, counts = _entries(wanted, owned)
                 cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(HASH_BITS - bits)) if bits else []
                 cuts = [0, *cuts, len(keys)]
                 rows = [
@@ -213,7 +240,7 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
                     columns = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    narrow = blocks.select("block", "lengths", "contexts", "words", "places")
+    narrow = blocks.select("block", "lengths", "contexts", "words", "places", *(["parts"] if longest else []))
     return narrow.mapInArrow(asked, "part int, block long, entries binary, counts binary")
 
 
@@ -258,6 +285,12 @@ def _logs(grams, counts: list[np.ndarray], place: np.ndarray, n_words: int, fact
     return out
 
 
+def _with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
+    # As many answers for a block as the table has parts, together the size of the block.
+    gathered = answers.groupBy("block").agg(F.collect_list(F.struct("longest", "part", "totals")).alias("parts"))
+    return blocks.join(gathered, "block", "left")
+
+
 def _scores(blocks: DataFrame, answers: DataFrame, order: int, n_words: int, factor: float) -> DataFrame:
     """``doc_key``, ``doc_id``, ``n_words``, ``log_score`` per stretch of a document."""
     schema = pa.schema([("doc_key", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_score", pa.float64())])
@@ -267,19 +300,18 @@ def _scores(blocks: DataFrame, answers: DataFrame, order: int, n_words: int, fac
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 doc_keys, doc_ids, lengths, contexts, words, places, parts = row
                 grams, place, owned = _block_ngrams(words, places, lengths, contexts, order)
-                parts = sorted(parts or [], key=lambda p: p["part"])
-                totals = np.concatenate([_unpacked(p["totals"], np.int64) for p in parts]) if parts else np.zeros(0, np.int64)
-                logs = np.where(owned, _logs(grams, _answered(grams, totals), place, n_words, factor), 0.0)
+                counts = _answered(_shorter(grams), _totals_of(parts, False))
+                if order > 1:
+                    # Those that were not asked for occur once, and count no more than zero here.
+                    counts += _answered(_longest(grams, counts), _totals_of(parts, True))
+                logs = np.where(owned, _logs(grams, counts, place, n_words, factor), 0.0)
                 ends = np.cumsum(np.array(lengths, np.int64))
                 sums = [float(logs[e - n : e].sum()) for e, n in zip(ends.tolist(), lengths, strict=True)]
                 own = [n - c for n, c in zip(lengths, contexts, strict=True)]
                 columns = [doc_keys, doc_ids, own, sums]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    # As many answers for a block as the table has parts, together the size of the block.
-    gathered = answers.groupBy("block").agg(F.collect_list(F.struct("part", "totals")).alias("parts"))
-    joined = blocks.join(gathered, "block", "left")
-    rows = joined.select("doc_keys", "doc_ids", "lengths", "contexts", "words", "places", "parts")
+    rows = _with_answers(blocks, answers).select("doc_keys", "doc_ids", "lengths", "contexts", "words", "places", "parts")
     return rows.mapInArrow(scored, "doc_key long, doc_id long, n_words long, log_score double")
 
 
@@ -303,8 +335,15 @@ def backoff_scores(
     small_batches(documents.sparkSession)
     blocks = word_blocks(documents, id_col, text_col, order, block_words)
     n_words = blocks.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(0, (n_words * order // part_entries).bit_length())
-    answers = durable(count_table(requests(blocks, order, bits)))
+
+    def bits(orders: int) -> int:
+        return max(0, (n_words * orders // part_entries).bit_length())
+
+    asked = requests(blocks, order, bits(max(1, order - 1)))
+    answers = durable(count_table(asked)).withColumn("longest", F.lit(False))
+    if order > 1:
+        asked = requests(_with_answers(blocks, answers), order, bits(1), longest=True)
+        answers = answers.unionByName(durable(count_table(asked)).withColumn("longest", F.lit(True)))
     stretches = _scores(blocks, answers, order, n_words, factor)
     whole = stretches.groupBy("doc_key").agg(
         F.max("doc_id").alias(id_col), F.sum("n_words").alias("n_words"), F.sum("log_score").alias("log_score")

@@ -54,6 +54,18 @@ def test_scores_by_brute_force(spark, order, block, part):
         assert a[3] == b[3] if b[3] is None else a[3] == pytest.approx(b[3], abs=2e-4)
 
 
+def test_trigrams_with_a_single_bigram_are_not_asked_for(spark):
+    texts = ["a b c d e f", "a b c x y z", "b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    blocks = backoff.word_blocks(docs, "doc_id", "text", 3, 1 << 20)
+    asked = backoff.requests(blocks, 3, 0)
+    answers = backoff.count_table(asked).withColumn("longest", backoff.F.lit(False))
+    last = backoff.requests(backoff._with_answers(blocks, answers), 3, 0, longest=True)
+    sizes = [[len(backoff._unpacked(r["counts"], "uint32")) for r in x.collect()] for x in (asked, last)]
+    # Nine words and eight bigrams, but of the trigrams only "a b c" and "b c d".
+    assert sizes == [[17], [2]]
+
+
 def test_no_documents_no_scores(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert backoff.backoff_scores(docs).count() == 0
