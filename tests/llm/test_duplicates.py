@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from territory_analytics import storage
 from territory_analytics.llm import components, exact, linking, passages, simhash
 
 RNG = random.Random(5)
@@ -433,3 +434,61 @@ def test_sketches_of_similar_paragraphs_are_near():
         assert far[0] <= most
         unlike.append(far[1] > most)
     assert sum(unlike) > 290
+
+
+def test_words_are_those_of_split():
+    rng = random.Random(25)
+    for size in [*range(40), 700]:
+        text = bytes(rng.choice(b"aB \n\t\x0b\x0c\r\x1c\x00\xc3\xa9z") for _ in range(size))
+        begins, ends = passages.split(text)
+        assert [text[a:b] for a, b in zip(begins, ends)] == text.split()
+        pairs = set(zip(text.lower().split(), passages.hashed(text).tolist()))
+        assert len(pairs) == len({word for word, _ in pairs}) == len({value for _, value in pairs})
+    long = b" ".join(b"x" * k for k in range(1, 2 * passages.LONG_WORD))
+    assert len(set(passages.hashed(long).tolist())) == 2 * passages.LONG_WORD - 1
+
+
+def test_a_key_of_many_copies_is_two_rows_a_chunk():
+    pa = __import__("pyarrow")
+    batch = pa.RecordBatch.from_pydict({"doc_key": pa.array(range(50), pa.int64()), "text": [prose(30, random.Random(1))] * 50})
+    rows = [r for b in passages._keys(6, 2)(iter([batch])) for r in b.to_pylist()]
+    docs = {}
+    for r in rows:
+        docs.setdefault(r["key"], []).append(r["doc_key"])
+    assert docs and all(found == [0, 49] for found in docs.values())
+
+
+def test_matches_grow_as_far_as_both_sides_agree():
+    def by_words(a, b, at, end, low, high):
+        if end - at != high - low or (a[at:end] != b[low:high]).any():
+            x, y = passages._folded(a[at:end]), passages._folded(b[low:high])
+            one, two = np.flatnonzero(np.isin(x, y)), np.flatnonzero(np.isin(y, x))
+            if len(one):
+                at, end, low, high = at + one[0], at + one[-1] + 5, low + two[0], low + two[-1] + 5
+        while at and low and a[at - 1] == b[low - 1]:
+            at, low = at - 1, low - 1
+        while end < len(a) and high < len(b) and a[end] == b[high]:
+            end, high = end + 1, high + 1
+        return at, end, low, high
+
+    rng = np.random.default_rng(26)
+    for _ in range(60):
+        a = rng.integers(0, 50, 200).astype(np.uint64)
+        b = np.concatenate([rng.integers(0, 50, 3).astype(np.uint64), a])
+        b[rng.integers(0, 200, 4)] = 99
+        at, size = rng.integers(0, 140, 20), rng.choice([22, 49], 20)
+        low = np.clip(at + rng.integers(0, 6, 20), 0, 140)
+        spans = at, at + size, low, low + size
+        got = passages.extended(a, b, *spans)
+        assert [tuple(map(int, x)) for x in zip(*got)] == [tuple(map(int, by_words(a, b, *x))) for x in zip(*spans)]
+
+
+def test_tables_that_no_result_reads_are_removed(spark):
+    passage = prose(60, random.Random(27))
+    rows = [(k, f"{passage} {prose(20, random.Random(k))}") for k in range(3)]
+    before = storage._stored.get(spark.sparkContext.applicationId, [])[:]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = [p for p in storage._stored[spark.sparkContext.applicationId] if p not in before]
+    columns = [set(spark.read.parquet(p).columns) for p in left]
+    assert not any({"keys", "words"} & c for c in columns)
+    assert {(r.doc_id, r.removed) for r in got.collect()} == {(0, False), (1, True), (2, True)}
