@@ -492,3 +492,19 @@ def test_tables_that_no_result_reads_are_removed(spark):
     columns = [set(spark.read.parquet(p).columns) for p in left]
     assert not any({"keys", "words"} & c for c in columns)
     assert {(r.doc_id, r.removed) for r in got.collect()} == {(0, False), (1, True), (2, True)}
+
+
+def test_roots_of_the_rounds_are_components_of_the_links(spark):
+    # A chain under one key takes several rounds; a second key joins its end to another chain.
+    members = [(1, k) for k in range(90, 0, -1)] + [(2, 1), (2, 300)] + [(3, 300 + k) for k in range(80)] + [(4, 900), (4, 901)]
+    steps = {(k, k + 1) for k in range(1, 90)} | {(1, 300)} | {(300 + k, 301 + k) for k in range(79)}
+
+    def verify(pairs):
+        return spark.createDataFrame([tuple(r) for r in pairs.collect() if tuple(r) in steps], "a long, b long")
+
+    links, roots = linking.linked(spark.createDataFrame(members, "key long, node long"), verify)
+    got = {r.node: r.root for r in roots.collect()}
+    assert got == {r.node: r.root for r in components.components(links).collect()}
+    assert got == {k: 1 for k in [*range(1, 91), *range(300, 380)]}
+    links, roots = linking.linked(spark.createDataFrame([], "key long, node long"), verify)
+    assert links.count() == roots.count() == 0
