@@ -97,7 +97,8 @@ def close_pairs(fingerprints: DataFrame, column: str = "fp", max_distance: int =
     right = cells.select("cell", F.col("fp").alias("b"))
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     near = (F.col("a") < F.col("b")) & (differing <= max_distance)
-    return left.join(right, "cell").where(near).select("a", "b").distinct()
+    # Spark sizes the 33 cells of a fingerprint like one row, and would broadcast them.
+    return left.hint("merge").join(right, "cell").where(near).select("a", "b").distinct()
 
 
 def near_classes(rows: DataFrame, id_col: str = "doc_id", max_distance: int = MAX_DISTANCE) -> DataFrame:

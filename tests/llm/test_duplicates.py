@@ -72,6 +72,17 @@ def test_close_pairs_by_brute_force(spark, distance):
         simhash.close_pairs(df, max_distance=3)
 
 
+def broadcasts(df):
+    df.collect()
+    return "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_of_fingerprints_are_never_broadcast(spark):
+    df = storage.durable(spark.range(200).selectExpr("xxhash64(id) AS fp"))
+    assert broadcasts(df.join(df.distinct(), "fp"))
+    assert not broadcasts(simhash.close_pairs(df))
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     a = prose(120)
     rows = [(9, a), (4, a), (4, a), (None, a), (7, ""), (8, None), (None, " "), (3, prose(80)), (2, "x" * 200_000)]
