@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import corpus_pipeline
 from territory_analytics import storage
 from territory_analytics.llm import components, exact, linking, passages, simhash
 
@@ -109,6 +110,15 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one_per_group(docs.limit(0)).count() == 0
 
 
+def test_the_stage_broadcasts_no_cells(spark, monkeypatch):
+    rows = [(k, prose(30)) for k in range(40)]
+    seen, close_pairs = [], simhash.close_pairs
+    monkeypatch.setattr(simhash, "close_pairs", lambda *a: seen.append(close_pairs(*a)) or seen[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert corpus_pipeline.one_of_each_group(spark, docs, "").count() == 40
+    assert len(seen) == 1 and not broadcasts(seen[0])
+
+
 def test_groups_of_the_stage_by_brute_force(spark):
     """Texts with a few changed words: some pairs within two bits, some only reachable over others."""
     base, rows = [prose(400).split() for _ in range(6)], []
