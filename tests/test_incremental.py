@@ -1,12 +1,14 @@
 """Mergeable states against the rows they stand for, and marts kept up to date wave by wave."""
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from test_daily import DS, raw, sales_csv
 from test_layout import fact
 
-from territory_analytics import schemas
+from territory_analytics import schemas, storage
 from territory_analytics.operators import profiles, states
 from territory_analytics.operators.dimensions import label_scale
 from territory_analytics.operators.quantiles import quantiles_of_counts
@@ -50,6 +52,10 @@ def test_quantiles_of_counts(spark):
 
 @pytest.fixture
 def lake(spark, folder):
+    return with_sales(spark, folder)
+
+
+def with_sales(spark, folder):
     lake = Lake(folder)
     sales_csv(lake)
     dims = [("33281", "Merignac", "33", "75", 1), ("33001", "Abzac", "33", "75", 1)]
@@ -86,3 +92,49 @@ def test_waves_equal_a_full_run(spark, lake, folder, monkeypatch):
     add_raw_parts(everything.unionByName(newer), lake.at("raw", "dpe"), DS, ["33"])
     run_day(spark, lake, DS)
     assert set(MARTS) >= {"mart_commune"} and marts(spark, lake) == waved
+
+
+def test_a_wave_leaves_no_passing_tables_and_no_shuffle_files(spark, lake):
+    def left():
+        stored = set(storage._stored[spark.sparkContext.applicationId])
+        files = {f.name for f in Path(local).rglob("shuffle_*.data")}
+        return stored, files
+
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    incremental.open_day(spark, lake, DS)
+    everything = storage.durable(raw(spark, 400))
+    stored, files = left()
+    assert incremental.add_wave(spark, lake, DS, everything)["ajoutes"] == 400
+    tables, shuffled = left()
+    # Those of the marts stay, with a row per area and type at most.
+    kept = [spark.read.parquet(path) for path in tables - stored]
+    assert len(kept) <= 2 and all("nb_dpe" in df.columns for df in kept)
+    # Only what the counts shuffled, which are a number per task.
+    assert sum((f.stat().st_size for f in Path(local).rglob("shuffle_*.data") if f.name in shuffled - files), 0) < 10_000
+
+
+def test_waves_in_slices_equal_whole_waves(spark, folder, monkeypatch):
+    everything = raw(spark, 400)
+    newer = everything.where("numero_dpe IN ('D1', 'D2', 'D30')").withColumn("date_etablissement_dpe", F.lit("2026-03-01"))
+    found = []
+    for name, limit in (("whole", 10**6), ("sliced", 150)):
+        monkeypatch.setattr(incremental, "SLICE_ROWS", limit, raising=False)
+        lake = with_sales(spark, f"{folder}/{name}")
+        incremental.open_day(spark, lake, DS)
+        counts = [incremental.add_wave(spark, lake, DS, wave, k=1.0) for wave in (everything, newer)]
+        found.append((counts, marts(spark, lake), rows(read_table(spark, lake.at("silver", "dpe")))))
+    assert found[0] == found[1] and found[0][0][1]["ajoutes"] == 3
+
+
+def test_numbers_of_certificates_are_never_broadcast(spark):
+    numbers = [(f"D{k}",) for k in range(50)]
+    known = storage.durable(spark.createDataFrame(numbers, "numero_dpe string").withColumns({c: F.lit(None).cast(schemas.CERTIFICATE[c].dataType) for c in schemas.CERTIFICATE.names[1:]}))
+    added, replaced = incremental.changes(known, known.where("numero_dpe > 'D2'"))
+    assert added.count() == 0 and replaced.count() == 0
+    assert "BroadcastHashJoin" not in replaced._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_of_a_measure_are_shuffled_once(spark):
+    counts = storage.durable(spark.createDataFrame([("a", "x", 1.0, 3)], "k string, m string, v double, n long"))
+    plan = quantiles_of_counts(counts, ["k"], "m", "v", "n", {"mx": ("x", 0.5)})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # by key and measure, and the few found values by key
